@@ -1,50 +1,39 @@
-"""European number text (``.`` for thousands, ``,`` for decimals)."""
+"""European number text (``.`` for thousands, ``,`` for decimals).
 
-from __future__ import annotations
-
-from pyspark.sql import Column, functions as F
+As in ``ratios``, these functions take and return SQL text.
+"""
 
-from .keys import col
-from .ratios import as_double
+from __future__ import annotations
 
 
-def es_num(c: Column | str, decimals: int = 0) -> Column:
-    return F.translate(F.format_number(as_double(c), decimals), ",.", ".,")
+def es_num(x: str, decimals: int = 0) -> str:
+    return f"translate(format_number(CAST({x} AS DOUBLE), {decimals}), ',.', '.,')"
 
 
-def es_pct(c: Column | str, decimals: int = 1) -> Column:
-    return F.concat(es_num(as_double(c) * 100, decimals), F.lit(" %"))
+def es_pct(x: str, decimals: int = 1) -> str:
+    return f"concat({es_num(f'({x}) * 100', decimals)}, ' %')"
 
 
-def es_mill(c: Column | str) -> Column:
-    return F.concat(es_num(as_double(c) / 1e6, 1), F.lit(" mill."))
+def es_mill(x: str) -> str:
+    return f"concat({es_num(f'({x}) / 1e6', 1)}, ' mill.')"
 
 
-def es_scale(c: Column | str) -> Column:
+def es_scale(x: str) -> str:
     """Millions, thousands or the plain integer, by magnitude."""
-    v = as_double(c)
-    size = F.abs(v)
-    return (
-        F.when(size >= 1e6, es_mill(v))
-        .when(size >= 1e3, F.concat(es_num(v / 1e3, 1), F.lit(" mil")))
-        .otherwise(es_num(v, 0))
-    )
+    thousands = f"concat({es_num(f'({x}) / 1e3', 1)}, ' mil')"
+    return f"CASE WHEN abs({x}) >= 1e6 THEN {es_mill(x)} WHEN abs({x}) >= 1e3 THEN {thousands} ELSE {es_num(x)} END"
 
 
-def es_sig(c: Column | str, sig: int = 2, max_decimals: int = 8) -> Column:
+def es_sig(x: str, sig: int = 2, max_decimals: int = 8) -> str:
     """At least ``sig`` significant digits, at most ``max_decimals`` decimals."""
-    v = as_double(c)
-    exponent = F.floor(F.log10(F.abs(v)))
-    wanted = F.least(F.greatest(F.lit(0), F.lit(sig - 1) - exponent), F.lit(max_decimals))
-    expr = F.when(v == 0, F.lit("0"))
-    for decimals in range(max_decimals + 1):
-        expr = expr.when(wanted == decimals, es_num(v, decimals))
-    return expr
+    wanted = f"least(greatest(0, {sig - 1} - floor(log10(abs({x})))), {max_decimals})"
+    branches = " ".join(f"WHEN {d} THEN {es_num(x, d)}" for d in range(max_decimals + 1))
+    return f"CASE WHEN {x} = 0 THEN '0' ELSE CASE {wanted} {branches} END END"
 
 
-def with_symbol(symbol: Column, text: Column) -> Column:
-    return F.concat(symbol, F.lit(" "), text)
+def with_symbol(symbol: str, text: str) -> str:
+    return f"concat({symbol}, ' ', {text})"
 
 
-def es_num_or_dash(c: Column | str, decimals: int = 0) -> Column:
-    return F.coalesce(es_num(col(c), decimals), F.lit("–"))
+def or_dash(text: str) -> str:
+    return f"COALESCE({text}, '–')"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.ratios import divide
+
 
 def with_totals(members: DataFrame, sums: dict[str, str], by: list[str] | None = None) -> DataFrame:
     """Add ``{total: sum(member column)}`` over ``by`` (all rows when empty).
@@ -13,23 +15,18 @@ def with_totals(members: DataFrame, sums: dict[str, str], by: list[str] | None =
     twice. It is attached as a scalar or by an equi join, never by a window
     over the whole frame: that would pull all members of a market into one task.
     """
-    totals = [F.sum(c).alias(t) for t, c in sums.items()]
+    totals = [f"SUM(`{c}`) AS `{t}`" for t, c in sums.items()]
     if not by:
-        packed = members.agg(*totals).select(F.struct(*sums).alias("t")).scalar()
-        return (
-            members.withColumn("_totals", packed)
-            .withColumns({t: F.col(f"_totals.{t}") for t in sums})
-            .drop("_totals")
+        fields = ", ".join(f"'{t}', SUM(`{c}`)" for t, c in sums.items())
+        packed = members.selectExpr(f"named_struct({fields})").scalar()
+        return members.select("*", packed.alias("_totals")).selectExpr(
+            *[f"`{c}`" for c in members.columns], *[f"_totals.`{t}` AS `{t}`" for t in sums]
         )
-    grouped = members.groupBy(*by).agg(*totals).withColumnsRenamed({b: f"_by_{b}" for b in by})
-    condition = None
-    for b in by:
-        same = F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-        condition = same if condition is None else condition & same
-    return members.join(grouped, condition).drop(*[f"_by_{b}" for b in by])
+    grouped = members.groupBy(*[F.expr(f"`{b}` AS `_by_{b}`") for b in by]).agg(*[F.expr(t) for t in totals])
+    same = " AND ".join(f"`{b}` <=> `_by_{b}`" for b in by)
+    return members.join(grouped, F.expr(same)).drop(*[f"_by_{b}" for b in by])
 
 
 def percent_of_total(members: DataFrame, value: str, out: str, by: list[str] | None = None) -> DataFrame:
     total = with_totals(members, {"_total": value}, by)
-    ratio = F.when(F.col("_total") == 0, None).otherwise(F.col(value).cast("double") / F.col("_total").cast("double"))
-    return total.withColumn(out, ratio).drop("_total")
+    return total.withColumn(out, F.expr(divide(value, "_total"))).drop("_total")

@@ -119,3 +119,10 @@ def month_calendar(limits: DataFrame, as_of: Column | None = None) -> DataFrame:
         dates.flag(d == F.trunc(today, "month")).alias("current_month"),
         dates.pidx_of_date(d).alias("pidx"),
     )
+
+
+def month_index(limits: DataFrame) -> DataFrame:
+    """Only what the period windows need: ``period_id, pidx`` per month of a one-row date range."""
+    return months_between(limits).selectExpr(
+        "year(DAT_COD) * 100 + month(DAT_COD) AS period_id", "year(DAT_COD) * 12 + month(DAT_COD) AS pidx"
+    )

@@ -6,7 +6,6 @@ model's (Spanish) measure names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -62,35 +61,20 @@ def field_column(name: str) -> str:
     return known[name]
 
 
-class Context:
-    """Columns a measure may use, for one aggregated frame."""
+def sales(window: str) -> str:
+    """SQL text of a window's sales; some windows count as 0 when empty."""
+    column = f"`s_{window}`"
+    return ratios.zero(column) if WINDOWS[window][2] else ratios.as_double(column)
 
-    def __init__(self, field: str | None, prior: dict[str, Column]):
-        self.field = field
-        self._prior = prior
 
-    def sales(self, window: str) -> Column:
-        value = ratios.as_double(f"s_{window}")
-        return F.coalesce(value, F.lit(0.0)) if WINDOWS[window][2] else value
+def share(window: str) -> str:
+    return ratios.share(sales(window), f"`m_{window}`")
 
-    def share(self, window: str) -> Column:
-        return ratios.share(self.sales(window), F.col(f"m_{window}"))
 
-    def whole(self, window: str) -> Column:
-        """Sales with the breakdown field's own filter removed; blank for other fields."""
-        if self.field is None or self.field not in FIELDS:
-            return F.lit(None).cast("double")
-        value = ratios.as_double(f"w_{window}")
-        return F.coalesce(value, F.lit(0.0)) if WINDOWS[window][2] else value
-
-    def has_prior(self, window: str) -> Column:
-        return self._prior[window]
-
-    def total_sales(self) -> Column:
-        return ratios.as_double("s_all")
-
-    def total_share(self) -> Column:
-        return ratios.share(self.total_sales(), F.col("m_all"))
+def whole(window: str) -> str:
+    """Sales with the breakdown field's own filter removed; the total is NULL for fields without one."""
+    column = f"`w_{window}`"
+    return f"CASE WHEN _has_whole THEN {ratios.zero(column) if WINDOWS[window][2] else ratios.as_double(column)} END"
 
 
 @dataclass(frozen=True)
@@ -98,7 +82,7 @@ class Measure:
     name: str
     folder: str
     windows: tuple[str, ...]
-    make: Callable[[Context], Column]
+    sql: str
     market: bool = False  # needs the total over companies
     whole: bool = False  # needs the total over the breakdown field
 
@@ -109,18 +93,18 @@ SALES, SHARES, POINTS = "1. Ventas", "2. Market Share y %", "3. BPS"
 def _registry() -> dict[str, Measure]:
     found: dict[str, Measure] = {}
 
-    def add(name, folder, windows, make, **needs):
-        found[name] = Measure(name, folder, tuple(windows), make, **needs)
+    def add(name, folder, windows, sql, **needs):
+        found[name] = Measure(name, folder, tuple(windows), sql, **needs)
 
-    add("Ventas", SALES, [], lambda c: c.total_sales())
-    add("Market Share", SHARES, [], lambda c: c.total_share(), market=True)
+    add("Ventas", SALES, [], ratios.as_double("s_all"))
+    add("Market Share", SHARES, [], ratios.share("s_all", "m_all"), market=True)
     for w in WINDOWS:
-        add(f"Ventas {w}", SALES, [w], lambda c, w=w: c.sales(w))
+        add(f"Ventas {w}", SALES, [w], sales(w))
     for w in ["L3M", "L3M LY", "L4M", "L4M-1", "Mes", "Mes LY", "Mes-1", "TAM", "TAM-1", "YTD", "YTD-1"]:
-        add(f"Market Share {w}", SHARES, [w], lambda c, w=w: c.share(w), market=True)
+        add(f"Market Share {w}", SHARES, [w], share(w), market=True)
     for w in ["L4M", "L4M-1", "Mes", "Mes LY", "Mes-1", "TAM", "TAM-1", "YTD", "YTD-1"]:
-        add(f"Ventas Globales {w} Switch", SALES, [w], lambda c, w=w: c.whole(w), whole=True)
-        add(f"%Peso {w}", SHARES, [w], lambda c, w=w: ratios.share(c.sales(w), c.whole(w)), whole=True)
+        add(f"Ventas Globales {w} Switch", SALES, [w], whole(w), whole=True)
+        add(f"%Peso {w}", SHARES, [w], ratios.share(sales(w), whole(w)), whole=True)
 
     # Measure suffix → (window, the window it is compared with).
     pairs = {
@@ -128,13 +112,11 @@ def _registry() -> dict[str, Measure]:
         "YTD": ("YTD", "YTD-1"),
     }
     for name, (cur, prev) in (pairs | {"L6M": ("L6M", "L6M-1")}).items():
-        add(f"Crecimiento {name}", SALES, [cur, prev], lambda c, a=cur, b=prev: ratios.growth(c.sales(a), c.sales(b)))
+        add(f"Crecimiento {name}", SALES, [cur, prev], ratios.growth(sales(cur), sales(prev)))
     for name, (cur, prev) in (pairs | {"L6M": ("L6M", "L6M-1"), "L3M": ("L3M", "L3M LY")}).items():
-        add(f"%Crecimiento {name}", SHARES, [cur, prev],
-            lambda c, a=cur, b=prev: ratios.pct_growth(c.sales(a), c.sales(b)))
+        add(f"%Crecimiento {name}", SHARES, [cur, prev], ratios.pct_growth(sales(cur), sales(prev)))
     for name, (cur, prev) in (pairs | {"L3M LY": ("L3M", "L3M LY")}).items():
-        add(f"BPS {name}", POINTS, [cur, prev],
-            lambda c, a=cur, b=prev: ratios.bps(c.share(a), c.share(b), c.has_prior(b)), market=True)
+        add(f"BPS {name}", POINTS, [cur, prev], ratios.bps(share(cur), share(prev), f"`p_{prev}`"), market=True)
     return found
 
 
@@ -257,25 +239,29 @@ def measure_table(
     unwindowed = any(not m.windows for m in wanted.values())
     rows = fact if unwindowed or not blocks else periods.within(fact, *blocks.values())
 
-    sums = [F.sum(F.when(b.contains(), F.col(value))).alias(f"s_{w}") for w, b in blocks.items()]
+    sums = [f"{b.sum_of(value)} AS `s_{w}`" for w, b in blocks.items()]
     if unwindowed:
-        sums.append(F.sum(value).alias("s_all"))
-    members = rows.groupBy(*group).agg(*sums)
+        sums.append(f"SUM({value}) AS s_all")
+    members = rows.groupBy(*group).agg(*[F.expr(x) for x in sums])
 
     suffixes = [*windows, *(["all"] if unwindowed else [])]
     if any(m.market for m in wanted.values()):
         by = [g for g in group if g != company]
         members = with_totals(members, {f"m_{s}": f"s_{s}" for s in suffixes}, by)
-    if any(m.whole for m in wanted.values()) and field in FIELDS:
+    with_whole = any(m.whole for m in wanted.values())
+    if with_whole and field in FIELDS:
         by = [g for g in group if g != FIELDS[field]]
         members = with_totals(members, {f"w_{s}": f"s_{s}" for s in suffixes}, by)
-
-    compared = {w: periods.loaded(calendar, blocks[w]) for w in windows} if any(
-        m.folder == POINTS for m in wanted.values()
-    ) else {}
-    members = members.withColumns({f"p_{w}": c for w, c in compared.items()})
-    context = Context(field, {w: F.col(f"p_{w}") for w in compared})
-    return members.select(*group, *[m.make(context).alias(n) for n, m in wanted.items()])
+    elif with_whole:
+        members = members.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS `w_{s}`" for s in suffixes])
+
+    flags = {"_has_whole": F.lit(field in FIELDS)}
+    if any(m.folder == POINTS for m in wanted.values()):
+        compared = {m.windows[1] for m in wanted.values() if m.folder == POINTS}
+        flags |= {f"p_{w}": periods.loaded(calendar, blocks[w]) for w in compared}
+    return members.withColumns(flags).selectExpr(
+        *[f"`{g}`" for g in group], *[f"{m.sql} AS `{n}`" for n, m in wanted.items()]
+    )
 
 
 def select_company(table: DataFrame, companies: list[str], company: str = "manufacturer") -> DataFrame:

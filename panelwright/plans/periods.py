@@ -8,7 +8,6 @@ All anchors at once: range frames over a month grid.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -39,9 +38,13 @@ class Block:
     def last(self) -> int:
         return max(hi for _, hi in self.spans)
 
-    def contains(self, pidx: Column | str = "pidx") -> Column:
-        p = F.col(pidx) if isinstance(pidx, str) else pidx
-        return reduce(lambda a, b: a | b, [p.between(lo, hi) for lo, hi in self.spans])
+    def condition(self, pidx: str = "pidx") -> str:
+        """SQL text: the month is in the block."""
+        return "(" + " OR ".join(f"{pidx} BETWEEN {lo} AND {hi}" for lo, hi in self.spans) + ")"
+
+    def sum_of(self, value: str, pidx: str = "pidx") -> str:
+        """SQL text: sum of a value over the block."""
+        return f"SUM(CASE WHEN {self.condition(pidx)} THEN {value} END)"
 
     def shift(self, months: int) -> Block:
         return Block(tuple((lo + months, hi + months) for lo, hi in self.spans))
@@ -94,7 +97,7 @@ def resolve(years: list[int], months: list[int], kind: str = "MES") -> Selection
 
 def loaded(calendar: DataFrame, months: Block) -> Column:
     """Whether the calendar has any month of the block (partial blocks count)."""
-    return calendar.filter(months.contains()).select(F.count(F.lit(1)) > 0).scalar()
+    return calendar.filter(months.condition()).selectExpr("COUNT(1) > 0").scalar()
 
 
 def anchor_in(calendar: DataFrame, period: int) -> int:
@@ -115,14 +118,14 @@ def within(df: DataFrame, *blocks: Block) -> DataFrame:
     low, high = min(b.first for b in blocks), max(b.last for b in blocks)
     key = "period_id" if "period_id" in df.columns else "pidx"
     bounds = (dates.from_pidx(low), dates.from_pidx(high)) if key == "period_id" else (low, high)
-    return df.filter(F.col(key).between(*bounds))
+    return df.filter(f"{key} BETWEEN {bounds[0]} AND {bounds[1]}")
 
 
 # ---- one anchor ------------------------------------------------------------
 
 def block_sums(df: DataFrame, dims: list[str], blocks: dict[str, Block], value: str = "value") -> DataFrame:
     """Sum per member and block in one pass and one shuffle. Members without sales in a block get NULL there."""
-    sums = [F.sum(F.when(b.contains(), F.col(value))).alias(name) for name, b in blocks.items()]
+    sums = [F.expr(f"{b.sum_of(value)} AS {name}") for name, b in blocks.items()]
     return df.groupBy(*dims).agg(*sums)
 
 

@@ -43,32 +43,35 @@ def _members(market: DataFrame, dims: list[str], sel: Selection, keep_empty: boo
     Rows without a member count in the totals but are no member.
     """
     rows = market if keep_empty else periods.within(market, sel.current, sel.previous)
-    sums = periods.block_sums(rows, dims, {"cur": sel.current, "prev": sel.previous})
-    sums = with_totals(sums, {"all_cur": "cur", "all_prev": "prev"})
-    named = reduce(lambda a, b: a & b, [F.col(d).isNotNull() for d in dims])
-    out = sums.filter(named)
+    # the number of named rows tells members from the rest after the aggregation: a filter on the member itself
+    # would move below it, and the totals could no longer share the aggregate
+    named = F.expr("COUNT(CASE WHEN " + " AND ".join(f"{d} IS NOT NULL" for d in dims) + " THEN 1 END) AS named")
+    sums = rows.groupBy(*dims).agg(
+        F.expr(f"{sel.current.sum_of('value')} AS cur"), F.expr(f"{sel.previous.sum_of('value')} AS prev"), named
+    )
+    sums = with_totals(sums, {"all_cur": "cur", "all_prev": "prev", "all_named": "named"})
+    out = sums.filter("named > 0")
     if not keep_empty:
         out = out.filter("cur > 0")
-    return out.select(
+    return out.selectExpr(
         *dims,
-        ratios.zero("cur").alias("vc"),
-        ratios.zero("prev").alias("vp"),
-        ratios.zero("all_cur").alias("tc"),
-        ratios.zero("all_prev").alias("tp"),
+        f"{ratios.zero('cur')} AS vc",
+        f"{ratios.zero('prev')} AS vp",
+        f"{ratios.zero('all_cur')} AS tc",
+        f"{ratios.zero('all_prev')} AS tp",
     )
 
 
 def _compared(df: DataFrame, has_prior: Column) -> DataFrame:
     """Comparison columns of a member frame."""
-    share, share_prev = ratios.divide("vc", "tc", 0.0), ratios.divide("vp", "tp", 0.0)
-    return df.withColumn("has_prior", has_prior).withColumns(
-        {
-            "share": share,
-            "share_prev": share_prev,
-            "bps": ratios.bps(share, share_prev, F.col("has_prior")),
-            "growth": F.when(F.col("has_prior"), F.col("vc") - F.col("vp")).otherwise(0.0),
-            "pct_growth": ratios.pct_growth("vc", "vp"),
-        }
+    shares = df.select("*", has_prior.alias("has_prior")).selectExpr(
+        "*", f"{ratios.share('vc', 'tc')} AS share", f"{ratios.share('vp', 'tp')} AS share_prev"
+    )
+    return shares.selectExpr(
+        "*",
+        f"{ratios.bps('share', 'share_prev')} AS bps",
+        "CASE WHEN has_prior THEN vc - vp ELSE 0D END AS growth",
+        f"{ratios.pct_growth('vc', 'vp')} AS pct_growth",
     )
 
 
@@ -77,9 +80,8 @@ def company_table(
 ) -> DataFrame:
     """Companies: sales, share, BPS, growth, relative growth; greatest sales first."""
     table = _compared(_members(market, [company], sel, keep_empty), sel.has_prior(calendar))
-    table = table.withColumnRenamed("vc", "sales")
-    return topk.ranked(table.select(company, "sales", "share", "bps", "growth", "pct_growth", "has_prior"),
-                       "sales", company)
+    table = table.selectExpr(company, "vc AS sales", "share", "bps", "growth", "pct_growth", "has_prior")
+    return topk.ranked(table, "sales", company)
 
 
 def breakdown_table(
@@ -87,11 +89,11 @@ def breakdown_table(
 ) -> DataFrame:
     """Any breakdown column with all comparisons; share and weight are of the whole market."""
     table = _compared(_members(market, [field], sel, keep_empty), sel.has_prior(calendar))
-    table = table.withColumnsRenamed({"vc": "sales", "vp": "sales_prev"}).withColumns(
-        {"weight": F.col("share"), "weight_prev": F.col("share_prev")}
+    table = table.selectExpr(
+        field, "vc AS sales", "vp AS sales_prev", "growth", "pct_growth", "share", "share_prev", "bps",
+        "share AS weight", "share_prev AS weight_prev", "has_prior",
     )
-    columns = ["sales", "sales_prev", "growth", "pct_growth", "share", "share_prev", "bps", "weight", "weight_prev"]
-    return topk.ranked(table.select(field, *columns, "has_prior"), "sales", field)
+    return topk.ranked(table, "sales", field)
 
 
 def with_total_row(report: DataFrame, dims: list[str], sums: list[str]) -> DataFrame:
@@ -106,54 +108,51 @@ def with_total_row(report: DataFrame, dims: list[str], sums: list[str]) -> DataF
 
 def _company_sums(market: DataFrame, company: str, blocks: dict[str, Block], column: str = COMPANY) -> DataFrame:
     """One row: ``c_*`` of the company and ``m_*`` of the market per block."""
-    mine = F.col(column) == company
-    rows = periods.within(market, *blocks.values())
+    rows = periods.within(market, *blocks.values()).withColumn("_mine", F.col(column) == company)
     sums = []
     for name, b in blocks.items():
-        value = F.when(b.contains(), F.col("value"))
-        sums += [F.sum(F.when(mine, value)).alias(f"c_{name}"), F.sum(value).alias(f"m_{name}")]
-    return rows.agg(*sums)
+        sums += [f"{b.sum_of('CASE WHEN _mine THEN value END')} AS c_{name}", f"{b.sum_of('value')} AS m_{name}"]
+    return rows.selectExpr(*sums)
 
 
-def _span(b: Block) -> Column:
-    return dates.span_label(F.lit(dates.from_pidx(b.first)), F.lit(dates.from_pidx(b.last)))
+def _span(b: Block) -> str:
+    first, last = ((p - 1) for p in (b.first, b.last))
+    return f"{first % 12 + 1:02d}/{first // 12} - {last % 12 + 1:02d}/{last // 12}"
 
 
 def kpi_card(market: DataFrame, company: str, anchor: int, calendar: DataFrame) -> DataFrame:
     """Last six months against the six before, and the month's share."""
     cur, prev = periods.block(anchor, "L6M"), periods.block(anchor, "L6M", "prev")
     one = _company_sums(market, company, {"cur": cur, "prev": prev, "month": periods.block(anchor, "MES")})
-    has_prior = periods.loaded(calendar, prev)
-    return one.select(
-        _span(prev).alias("label_prev"),
-        _span(cur).alias("label"),
-        ratios.zero("c_prev").alias("sales_prev"),
-        ratios.zero("c_cur").alias("sales"),
-        ratios.growth("c_cur", "c_prev").alias("diff"),
-        ratios.divide(ratios.growth("c_cur", "c_prev"), "c_prev", 0.0).alias("pct_diff"),
-        ratios.divide(ratios.zero("c_month"), "m_month", 0.0).alias("share_month"),
-        has_prior.alias("has_prior"),
-        ratios.trend(ratios.growth("c_cur", "c_prev"), has_prior).alias("trend"),
+    diff = ratios.growth("c_cur", "c_prev")
+    return one.select("*", periods.loaded(calendar, prev).alias("has_prior")).selectExpr(
+        f"'{_span(prev)}' AS label_prev",
+        f"'{_span(cur)}' AS label",
+        f"{ratios.zero('c_prev')} AS sales_prev",
+        f"{ratios.zero('c_cur')} AS sales",
+        f"{diff} AS diff",
+        f"{ratios.divide(diff, 'c_prev', '0')} AS pct_diff",
+        f"{ratios.share(ratios.zero('c_month'), 'm_month')} AS share_month",
+        "has_prior",
+        f"{ratios.trend(diff)} AS trend",
     )
 
 
 def kpi_card_selection(market: DataFrame, company: str, sel: Selection, calendar: DataFrame) -> DataFrame:
     """The same card for a selection of several months or years."""
-    one = _company_sums(market, company, {"cur": sel.current, "prev": sel.previous}).withColumn(
-        "has_prior", sel.has_prior(calendar)
-    )
-    share = ratios.divide(ratios.zero("c_cur"), "m_cur", 0.0)
-    share_prev = ratios.divide(ratios.zero("c_prev"), "m_prev", 0.0)
+    one = _company_sums(market, company, {"cur": sel.current, "prev": sel.previous})
+    share = ratios.share(ratios.zero("c_cur"), "m_cur")
+    share_prev = ratios.share(ratios.zero("c_prev"), "m_prev")
     diff = ratios.growth("c_cur", "c_prev")
-    return one.select(
-        ratios.zero("c_prev").alias("sales_prev"),
-        ratios.zero("c_cur").alias("sales"),
-        diff.alias("diff"),
-        ratios.divide(diff, "c_prev", 0.0).alias("pct_diff"),
-        share.alias("share"),
-        ratios.bps(share, share_prev, F.col("has_prior")).alias("bps"),
+    return one.select("*", sel.has_prior(calendar).alias("has_prior")).selectExpr(
+        f"{ratios.zero('c_prev')} AS sales_prev",
+        f"{ratios.zero('c_cur')} AS sales",
+        f"{diff} AS diff",
+        f"{ratios.divide(diff, 'c_prev', '0')} AS pct_diff",
+        f"{share} AS share",
+        f"{ratios.bps(share, share_prev)} AS bps",
         "has_prior",
-        ratios.trend(diff, F.col("has_prior")).alias("trend"),
+        f"{ratios.trend(diff)} AS trend",
     )
 
 
@@ -165,29 +164,22 @@ def window_comparison(
     for k in kinds:
         blocks[f"{k}_cur"], blocks[f"{k}_prev"] = periods.block(anchor, k), periods.block(anchor, k, "prev")
     one = _company_sums(market, company, blocks)
+    priors = [periods.loaded(calendar, blocks[f"{k}_prev"]).alias(f"p_{k}") for k in kinds]
     rows = []
-    for order, k in enumerate(kinds):
-        share = ratios.divide(ratios.zero(f"c_{k}_cur"), f"m_{k}_cur", 0.0)
-        share_prev = ratios.divide(ratios.zero(f"c_{k}_prev"), f"m_{k}_prev", 0.0)
-        has_prior = periods.loaded(calendar, blocks[f"{k}_prev"])
+    for position, k in enumerate(kinds):
+        share = ratios.share(ratios.zero(f"c_{k}_cur"), f"m_{k}_cur")
+        share_prev = ratios.share(ratios.zero(f"c_{k}_prev"), f"m_{k}_prev")
         rows.append(
-            F.struct(
-                F.lit(order).alias("position"),
-                F.lit(k).alias("kind"),
-                ratios.zero(f"c_{k}_cur").alias("sales"),
-                ratios.zero(f"c_{k}_prev").alias("sales_prev"),
-                share.alias("share"),
-                share_prev.alias("share_prev"),
-                ratios.bps(share, share_prev, has_prior).alias("bps"),
-                has_prior.alias("has_prior"),
-            )
+            f"{position}, '{k}', {ratios.zero(f'c_{k}_cur')}, {ratios.zero(f'c_{k}_prev')}, {share}, {share_prev}, "
+            f"{ratios.bps(share, share_prev, f'p_{k}')}, p_{k}"
         )
-    return one.select(F.inline(F.array(*rows)))
+    names = "position, kind, sales, sales_prev, share, share_prev, bps, has_prior"
+    return one.select("*", *priors).selectExpr(f"stack({len(kinds)}, {', '.join(rows)}) AS ({names})")
 
 
 def bps_by_window(market: DataFrame, company: str, anchor: int, calendar: DataFrame) -> DataFrame:
     table = window_comparison(market, company, anchor, calendar)
-    return table.select("kind", "bps", "has_prior", ratios.trend("bps", F.col("has_prior")).alias("trend"))
+    return table.selectExpr("kind", "bps", "has_prior", f"{ratios.trend('bps')} AS trend")
 
 
 def company_kpis(market: DataFrame, company: str, sel: Selection) -> DataFrame:
@@ -195,29 +187,24 @@ def company_kpis(market: DataFrame, company: str, sel: Selection) -> DataFrame:
 
     The market's growth is named as such; the company's own growth stands next to it.
     """
-    one = _company_sums(market, company, {"cur": sel.current, "prev": sel.previous})
-    cc, cp = ratios.as_double("c_cur"), ratios.as_double("c_prev")
-    mc, mp = ratios.as_double("m_cur"), ratios.as_double("m_prev")
-    bps = (
-        F.when(mc.isNull() | (mc == 0), F.lit(None).cast("double"))
-        .when(mp.isNull() | (mp == 0), F.lit(0.0))
-        .otherwise((cc / mc - F.coalesce(cp, F.lit(0.0)) / mp) * 10000)
+    one = _company_sums(market, company, {"cur": sel.current, "prev": sel.previous}).selectExpr(
+        *[f"CAST({c} AS DOUBLE) AS {c}" for c in ("c_cur", "c_prev", "m_cur", "m_prev")]
     )
-    row = one.select(
-        F.coalesce(cc, F.lit(0.0)).alias("comp_cur"),
-        ratios.divide(cc, mc).alias("ms_cur"),
-        ratios.divide(cp, mp).alias("ms_prev"),
-        (ratios.divide(mc, mp) - 1).alias("pct_var_market"),
-        ratios.pct_growth("c_cur", "c_prev").alias("pct_var_company"),
-        bps.alias("bps"),
+    row = one.selectExpr(
+        f"{ratios.zero('c_cur')} AS comp_cur",
+        f"{ratios.divide('c_cur', 'm_cur')} AS ms_cur",
+        f"{ratios.divide('c_prev', 'm_prev')} AS ms_prev",
+        f"{ratios.divide('m_cur', 'm_prev')} - 1 AS pct_var_market",
+        f"{ratios.pct_growth('c_cur', 'c_prev')} AS pct_var_company",
+        "CASE WHEN COALESCE(m_cur, 0) = 0 THEN NULL WHEN COALESCE(m_prev, 0) = 0 THEN 0D "
+        "ELSE (c_cur / m_cur - COALESCE(c_prev, 0) / m_prev) * 10000 END AS bps",
     )
-    return row.withColumns(
-        {
-            "sales_text": formats.es_scale("comp_cur"),
-            "share_text": formats.es_pct("ms_cur"),
-            "pct_var_text": formats.es_pct("pct_var_market"),
-            "bps_text": formats.es_sig("bps"),
-        }
+    return row.selectExpr(
+        "*",
+        f"{formats.es_scale('comp_cur')} AS sales_text",
+        f"{formats.es_pct('ms_cur')} AS share_text",
+        f"{formats.es_pct('pct_var_market')} AS pct_var_text",
+        f"{formats.es_sig('bps')} AS bps_text",
     )
 
 
@@ -226,31 +213,27 @@ def company_kpis(market: DataFrame, company: str, sel: Selection) -> DataFrame:
 def monthly_yoy(market: DataFrame, company: str, year: int, calendar: DataFrame) -> DataFrame:
     """Twelve months of a year against the year before; missing months count 0."""
     cur, prev = Block(((year * 12 + 1, year * 12 + 12),)), Block(((year * 12 - 11, year * 12),))
-    mine = F.col(COMPANY) == company
-    rows = periods.within(market, cur, prev).withColumn("month_number", dates.month_of_pidx("pidx"))
-    sums = {}
-    for name, b in {"cur": cur, "prev": prev}.items():
-        value = F.when(b.contains(), F.col("value"))
-        sums[f"c_{name}"], sums[f"m_{name}"] = F.sum(F.when(mine, value)), F.sum(value)
-    by_month = rows.groupBy("month_number").agg(*[c.alias(n) for n, c in sums.items()])
-    months = [(m, name, year * 12 + m, year * 12 - 12 + m) for m, name in enumerate(dates.ES_SHORT, 1)]
-    spine = inline_rows(market.sparkSession, "month_number int, month string, _cur int, _prev int", months)
-    known = calendar.select(F.col("pidx").alias("_prev")).distinct().withColumn("has_prior", F.lit(True))
-    joined = (
-        spine.join(known, "_prev", "left")
-        .join(by_month, "month_number", "left")
-        .withColumn("has_prior", F.coalesce("has_prior", F.lit(False)))
+    rows = periods.within(market, cur, prev).withColumns(
+        {"month_number": F.expr("(pidx - 1) % 12 + 1"), "_mine": F.col(COMPANY) == company}
     )
-    share = ratios.divide(ratios.zero("c_cur"), "m_cur", 0.0)
-    share_prev = ratios.divide(ratios.zero("c_prev"), "m_prev", 0.0)
-    return joined.select(
+    sums = []
+    for name, b in {"cur": cur, "prev": prev}.items():
+        sums += [f"{b.sum_of('CASE WHEN _mine THEN value END')} AS c_{name}", f"{b.sum_of('value')} AS m_{name}"]
+    by_month = rows.groupBy("month_number").agg(*[F.expr(x) for x in sums])
+    months = [(m, name, year * 12 - 12 + m) for m, name in enumerate(dates.ES_SHORT, 1)]
+    spine = inline_rows(market.sparkSession, "month_number int, month string, _prev int", months)
+    known = calendar.select(F.col("pidx").alias("_prev"), F.lit(True).alias("_known"))
+    joined = spine.join(known, "_prev", "left").join(by_month, "month_number", "left")
+    share = ratios.share(ratios.zero("c_cur"), "m_cur")
+    share_prev = ratios.share(ratios.zero("c_prev"), "m_prev")
+    return joined.selectExpr(
         "month_number",
         "month",
-        ratios.zero("c_cur").alias("sales"),
-        ratios.zero("c_prev").alias("sales_prev"),
-        share.alias("share"),
-        share_prev.alias("share_prev"),
-        ratios.bps(share, share_prev, F.col("has_prior")).alias("bps"),
+        f"{ratios.zero('c_cur')} AS sales",
+        f"{ratios.zero('c_prev')} AS sales_prev",
+        f"{share} AS share",
+        f"{share_prev} AS share_prev",
+        f"{ratios.bps(share, share_prev, '_known IS NOT NULL')} AS bps",
     ).orderBy("month_number")
 
 
@@ -260,9 +243,9 @@ def top_companies(
     market: DataFrame, sel: Selection, calendar: DataFrame, k: int = 7, company: str = COMPANY
 ) -> DataFrame:
     """The k greatest companies with their trend against the prior period."""
-    table = _compared(_members(market, [company], sel, True), sel.has_prior(calendar)).withColumnRenamed("vc", "sales")
-    best = topk.top(table.select(company, "sales", "growth", "has_prior"), k, "sales", company)
-    return best.withColumn("trend", ratios.trend("growth", F.col("has_prior")))
+    table = _compared(_members(market, [company], sel, True), sel.has_prior(calendar))
+    table = table.selectExpr(company, "vc AS sales", "growth", "has_prior", f"{ratios.trend('growth')} AS trend")
+    return topk.top(table, k, "sales", company)
 
 
 def top_companies_by_own_history(market: DataFrame, sel: Selection, k: int = 7, company: str = COMPANY) -> DataFrame:
@@ -270,12 +253,12 @@ def top_companies_by_own_history(market: DataFrame, sel: Selection, k: int = 7,
     sums = periods.block_sums(
         periods.within(market, sel.current, sel.previous), [company], {"cur": sel.current, "prev": sel.previous}
     ).filter("cur > 0")
-    has_own = F.col("prev").isNotNull()
-    table = sums.select(
+    growth = ratios.growth("cur", "prev")
+    table = sums.selectExpr(
         company,
-        ratios.as_double("cur").alias("sales"),
-        ratios.growth("cur", "prev").alias("growth"),
-        ratios.trend(ratios.growth("cur", "prev"), has_own).alias("trend"),
+        "CAST(cur AS DOUBLE) AS sales",
+        f"{growth} AS growth",
+        f"{ratios.trend(growth, '(prev IS NOT NULL)')} AS trend",
     )
     return topk.top(table, k, "sales", company)
 
@@ -283,13 +266,14 @@ def top_companies_by_own_history(market: DataFrame, sel: Selection, k: int = 7,
 def ranked_market(market: DataFrame, sel: Selection, calendar: DataFrame, company: str = COMPANY) -> DataFrame:
     """The company table of members with current sales, with its text columns."""
     table = company_table(market, sel, calendar, company, keep_empty=False)
-    symbol = lambda c: ratios.trend_symbol(c, F.col("has_prior"))
-    return table.select(
+    change = formats.with_symbol(ratios.trend_symbol("growth"), formats.es_num("growth"))
+    relative = formats.with_symbol(ratios.trend_symbol("pct_growth"), formats.es_pct("pct_growth"))
+    return table.selectExpr(
         company, "sales", "share", "growth", "pct_growth",
-        formats.es_num("sales").alias("sales_text"),
-        formats.es_pct("share").alias("share_text"),
-        formats.with_symbol(symbol("growth"), formats.es_num("growth")).alias("growth_text"),
-        formats.with_symbol(symbol("pct_growth"), formats.es_pct("pct_growth")).alias("pct_growth_text"),
+        f"{formats.es_num('sales')} AS sales_text",
+        f"{formats.es_pct('share')} AS share_text",
+        f"{change} AS growth_text",
+        f"{relative} AS pct_growth_text",
     )
 
 
@@ -298,10 +282,14 @@ def ranked_market(market: DataFrame, sel: Selection, calendar: DataFrame, compan
 def _trend_months(market: DataFrame, field: str, k: int) -> tuple[DataFrame, DataFrame]:
     """Monthly sales of the top-k members over all periods, and the monthly market."""
     monthly = market.groupBy(field, "pidx").agg(F.sum("value").alias("sales"))
-    totals = monthly.filter(F.col(field).isNotNull()).groupBy(field).agg(F.sum("sales").alias("_all"))
-    best = topk.top(totals, k, "_all", field)
+    totals = monthly.groupBy(field).agg(F.sum("sales").alias("_all"))
+    # all three uses share the monthly aggregate, so none of them may push a filter on the member below it:
+    # rows without a member sort last and are dropped after the limit, and the semi join is null-safe
+    best = totals.orderBy(F.expr(f"{field} IS NULL"), F.desc_nulls_last("_all"), field).limit(k)
+    best = best.filter(f"{field} IS NOT NULL").select(F.col(field).alias("_best"))
     whole = monthly.groupBy("pidx").agg(F.sum("sales").alias("market"))
-    return topk.only_members(monthly, field, best), whole
+    # at most k rows
+    return monthly.join(F.broadcast(best), F.expr(f"{field} <=> _best"), "left_semi"), whole
 
 
 def trend(market: DataFrame, field: str, k: int = 6) -> DataFrame:
@@ -315,15 +303,13 @@ def trend(market: DataFrame, field: str, k: int = 6) -> DataFrame:
     grid = filled.withColumn("_b", bounds).select(
         field, "_by_month", F.explode(F.sequence("_b.lo", "_b.hi")).alias("pidx")
     )
-    out = grid.join(whole, "pidx", "left").select(
-        dates.period_of_pidx("pidx").alias("period_id"),
-        field,
-        ratios.zero(F.col("_by_month")[F.col("pidx")]).alias("sales"),
-        "market",
+    sales = ratios.zero("_by_month[pidx]")
+    return (
+        grid.join(whole, "pidx", "left")
+        .withColumn("period_id", dates.period_of_pidx("pidx"))
+        .selectExpr("period_id", field, f"{sales} AS sales", f"{ratios.share(sales, 'market')} AS share")
+        .orderBy("period_id", field)
     )
-    return out.select(
-        "period_id", field, "sales", ratios.divide("sales", "market", 0.0).alias("share")
-    ).orderBy("period_id", field)
 
 
 def trend_matrix(market: DataFrame, field: str, period_ids: list[int], k: int = 6) -> DataFrame:
@@ -349,9 +335,8 @@ def segment_comparison(
             raise ValueError(f"at most {k} segments")
         members = members.filter(F.col(field).isin(chosen))
     table = _compared(members, sel.has_prior(calendar))
-    return table.select(
-        field, F.col("vc").alias("cur"), F.col("vp").alias("prev"), "growth", "pct_growth", "bps",
-        ratios.trend(F.col("vc") - F.col("vp"), F.col("has_prior")).alias("trend"),
+    return table.selectExpr(
+        field, "vc AS cur", "vp AS prev", "growth", "pct_growth", "bps", f"{ratios.trend('(vc - vp)')} AS trend"
     ).orderBy(field)
 
 
@@ -360,17 +345,14 @@ def segment_table(market: DataFrame, sel: Selection, field: str = "category") ->
     named = periods.within(market, sel.current, sel.previous).filter(F.col(field).isNotNull())
     sums = periods.block_sums(named, [field], {"cur": sel.current, "prev": sel.previous})
     sums = with_totals(sums, {"tc": "cur", "tp": "prev"}).filter("cur > 0")
-    cur, prev, tc, tp = (ratios.as_double(c) for c in ("cur", "prev", "tc", "tp"))
-    bps = F.when(tp.isNull() | (tp == 0), F.lit(0.0)).otherwise(
-        (cur / tc - F.coalesce(prev, F.lit(0.0)) / tp) * 10000
-    )
-    table = sums.select(
+    table = sums.selectExpr(
         field,
-        cur.alias("cur"),
-        prev.alias("prev"),
-        ratios.growth("cur", "prev").alias("growth"),
-        (ratios.divide(cur, prev) - 1).alias("pct_growth"),
-        bps.alias("bps"),
+        "CAST(cur AS DOUBLE) AS cur",
+        "CAST(prev AS DOUBLE) AS prev",
+        f"{ratios.growth('cur', 'prev')} AS growth",
+        f"{ratios.divide('cur', 'prev')} - 1 AS pct_growth",
+        f"CASE WHEN {ratios.zero('tp')} = 0 THEN 0D ELSE ({ratios.divide('cur', 'tc')} - "
+        f"{ratios.share(ratios.zero('prev'), 'tp')}) * 10000 END AS bps",
     )
     return topk.ranked(table, "cur", field)
 
@@ -387,7 +369,7 @@ def dynamic_report(market: DataFrame, dims: list[str], sel: Selection) -> DataFr
     """Sales of the window by any number of columns, greatest first."""
     if not dims:
         raise ValueError("choose at least one field")
-    rows = periods.within(market, sel.current).filter(sel.current.contains())
+    rows = periods.within(market, sel.current).filter(sel.current.condition())
     sums = rows.groupBy(*dims).agg(F.sum("value").cast("double").alias("sales"))
     return topk.ranked(sums, "sales", *dims)
 

@@ -60,7 +60,7 @@ def _window_sales(window: str):
         market = wide(spark, sf, ["manufacturer", "pidx"])
         b = periods.block(ANCHOR, *kind_variant(window))
         sums = periods.block_sums(market, ["manufacturer"], {"sales": b})
-        return sums.withColumn("sales", ratios.zero("sales"))
+        return sums.selectExpr("manufacturer", f"{ratios.zero('sales')} AS sales")
 
     return query
 
@@ -271,7 +271,7 @@ def sales_by_window(spark, sf):
     market = wide(spark, sf, ["manufacturer", "pidx"])
     out = periods.sales_by_window(market, ["manufacturer"], windows)
     labels = periods.window_labels(windows)
-    return out.join(F.broadcast(labels), ["kind", "variant"]).withColumn("sales", ratios.as_double("sales"))
+    return out.join(F.broadcast(labels), ["kind", "variant"]).withColumn("sales", F.col("sales").cast("double"))
 
 
 _values = ", ".join(
@@ -319,9 +319,8 @@ def shares_all_anchors(spark, sf):
     out = periods.all_anchors(market, ["manufacturer"], [("L4M", "current"), ("L4M", "prev")])
     out = with_totals(out, {"tc": "L4M_current", "tp": "L4M_prev"}, ["pidx"])
     share, before = ratios.share("L4M_current", "tc"), ratios.share("L4M_prev", "tp")
-    has_prior = F.col("tp").cast("double") > 0
-    out = out.select("manufacturer", "pidx", share.alias("share"), before.alias("share_prev"),
-                     ratios.bps(share, before, has_prior).alias("bps"))
+    out = out.selectExpr("manufacturer", "pidx", f"{share} AS share", f"{before} AS share_prev",
+                         f"{ratios.bps(share, before, '(tp > 0)')} AS bps")
     return rounded(out, share=8, share_prev=8, bps=4)
 
 
@@ -805,16 +804,13 @@ WITH {sql_wide()}, {SQL_CALENDAR} SELECT (SELECT max(period_id) FROM wf) AS defa
 def format_columns(spark, sf):
     sums = wide(spark, sf, ["sub_brand", "pidx"]).groupBy("sub_brand", "pidx").agg(
         F.sum("value").cast("double").alias("v"))
-    small = F.col("v") / 1e7 - F.lit(0.002)
-    has_prior = F.col("pidx") > F.lit(idx(199601))
-    change = F.col("v") - 100000
-    return sums.select(
+    has_prior = f"(pidx > {idx(199601)})"
+    return sums.withColumn("small", F.expr("v / 1e7 - 0.002D")).selectExpr(
         "sub_brand", "pidx",
-        formats.es_num("v").alias("num"), formats.es_num("v", 2).alias("num2"), formats.es_pct(small).alias("pct"),
-        formats.es_mill("v").alias("mill"), formats.es_scale("v").alias("scale"), formats.es_sig(small).alias("sig"),
-        ratios.trend_symbol(change, has_prior).alias("symbol"), ratios.trend(change, has_prior).alias("trend"),
-        dates.period_label(dates.period_of_pidx("pidx")).alias("label"),
-    )
+        f"{formats.es_num('v')} AS num", f"{formats.es_num('v', 2)} AS num2", f"{formats.es_pct('small')} AS pct",
+        f"{formats.es_mill('v')} AS mill", f"{formats.es_scale('v')} AS scale", f"{formats.es_sig('small')} AS sig",
+        f"{ratios.trend_symbol('v - 100000', has_prior)} AS symbol", f"{ratios.trend('v - 100000', has_prior)} AS trend",
+    ).withColumn("label", dates.period_label(dates.period_of_pidx("pidx")))
 
 
 _small = "(v / 1e7 - 0.002)"

@@ -5,179 +5,174 @@ Every column names the table it comes from, so a query joins only what it uses.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwright.functions import dates
 from panelwright.plans import calendars, star
 
 from .registry import table
 
 METRICS = ["Volumen Kg", "Valor €", "Unidades", "Volumen L"]
-OFFLINE = ["BUILDING", "MACHINERY"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 SALES_TYPES = ["F", "O", "P"]
 
 
-def position(c: str, values: list[str]) -> Column:
-    return F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c)).cast("int")
-
-
-def format_of(size: str) -> Column:
-    s = F.col(size)
-    return (
-        F.when(s <= 10, "1kg").when(s <= 20, "500g").when(s <= 30, "250ml").when(s <= 40, "Single").otherwise("Multipack")
+def _position(c: str, values: list[str]) -> str:
+    return f"CAST(array_position(array({', '.join(repr(v) for v in values)}), {c}) AS INT)"
+
+
+FORMAT = ("CASE WHEN p_size <= 10 THEN '1kg' WHEN p_size <= 20 THEN '500g' WHEN p_size <= 30 THEN '250ml' "
+          "WHEN p_size <= 40 THEN 'Single' ELSE 'Multipack' END")
+AREA = "CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'Core' ELSE 'Range' END"
+
+# Star column → (table, Spark SQL expression).
+COLUMNS: dict[str, tuple[str, str]] = {
+    "product_id": ("part", "CAST(p_partkey AS INT)"),
+    "product": ("part", "p_name"),
+    "manufacturer": ("part", "p_brand"),
+    "brand": ("part", "p_brand"),
+    "sub_brand": ("part", "concat(p_brand, ' ', split_part(p_name, ' ', 1))"),
+    "category": ("part", "p_type"),
+    "category_id": ("part", _position("p_type", CATEGORIES)),
+    "sub_category": ("part", "concat(p_type, ' ', split_part(p_name, ' ', 1))"),
+    "business_area": ("part", AREA),
+    "product_pack": ("part", "split_part(p_name, ' ', 2)"),
+    "format": ("part", FORMAT),
+    "etapas": ("part", "CASE WHEN p_size <= 25 THEN 'Growth' ELSE 'Mature' END"),
+    "channel": ("customer", "c_mktsegment"),
+    "channel_id": ("customer", _position("c_mktsegment", SEGMENTS)),
+    "type_channel": ("customer", "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Offline' ELSE 'Online' END"),
+    "sub_channel": ("orders", "o_orderpriority"),
+    "sales_type": ("orders", "o_orderstatus"),
+    "sales_type_id": ("orders", _position("o_orderstatus", SALES_TYPES)),
+    "period_id": ("orders", "year(o_orderdate) * 100 + month(o_orderdate)"),
+    "year": ("orders", "year(o_orderdate)"),
+    "month_number": ("orders", "month(o_orderdate)"),
+    "pidx": ("orders", "year(o_orderdate) * 12 + month(o_orderdate)"),
+    "source": ("lineitem", "l_returnflag"),
+    "geo": ("supplier", "n_name"),
+    "market": ("supplier", "r_name"),
+}
+# Prices and discounts have two decimals: counted in cents and per cent, the net value is an exact whole number of
+# ten-thousandths. That is cheaper per row than turning doubles into decimals.
+KG = "CAST(CAST(l_quantity * 10000 AS BIGINT) AS DECIMAL(18,0))"
+NET = ("CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) "
+       "AS DECIMAL(18,0))")
+TEN_THOUSANDTH = "CAST(0.0001 AS DECIMAL(5,4))"
+
+
+def _exact(ten_thousandths: str) -> str:
+    return f"CAST({ten_thousandths} * {TEN_THOUSANDTH} AS DECIMAL(18,4))"
+
+
+def lines(spark: SparkSession, sf_dir: str, columns: list[str], values: dict[str, str],
+          with_format: bool = False) -> DataFrame:
+    """Lines with star columns and line values.
+
+    Every table derives its columns before the join: dates are taken apart once
+    per order, not once per line, and only what is asked for is shuffled.
+    Tables that supply nothing are not joined.
+    """
+    by_table: dict[str, list[str]] = {}
+    for c in columns:
+        source, expression = COLUMNS[c]
+        by_table.setdefault(source, []).append(f"{expression} AS {c}")
+    if with_format:
+        by_table.setdefault("part", []).extend([f"{FORMAT} AS _format", "p_size AS _size"])
+
+    def side(name: str, *keys: str) -> DataFrame:
+        return table(spark, sf_dir, name).selectExpr(*keys, *by_table.get(name, []))
+
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        *keys, *by_table.get("lineitem", []), *[f"{e} AS {n}" for n, e in values.items()]
     )
+    if "part" in by_table:
+        rows = rows.join(side("part", "p_partkey"), F.expr("l_partkey = p_partkey"))
+    if "supplier" in by_table:
+        nations = table(spark, sf_dir, "nation").join(
+            table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+        )
+        suppliers = table(spark, sf_dir, "supplier").join(nations, F.expr("s_nationkey = n_nationkey"))
+        rows = rows.join(suppliers.selectExpr("s_suppkey", *by_table["supplier"]), F.expr("l_suppkey = s_suppkey"))
+    if "orders" in by_table or "customer" in by_table:
+        if "customer" in by_table:
+            orders = side("orders", "o_orderkey", "o_custkey").join(
+                side("customer", "c_custkey"), F.expr("o_custkey = c_custkey")
+            )
+        else:
+            orders = side("orders", "o_orderkey")
+        rows = rows.join(orders, F.expr("l_orderkey = o_orderkey"))
+    return rows
 
 
-def _word(n: int) -> Column:
-    return F.split_part("p_name", F.lit(" "), F.lit(n))
-
-
-def _columns() -> dict[str, tuple[str, Column]]:
-    c = F.col
-    return {
-        "product_id": ("part", c("p_partkey").cast("int")),
-        "product": ("part", c("p_name")),
-        "manufacturer": ("part", c("p_brand")),
-        "brand": ("part", c("p_brand")),
-        "sub_brand": ("part", F.concat("p_brand", F.lit(" "), _word(1))),
-        "category": ("part", c("p_type")),
-        "category_id": ("part", position("p_type", CATEGORIES)),
-        "sub_category": ("part", F.concat("p_type", F.lit(" "), _word(1))),
-        "business_area": ("part", F.when(c("p_type").isin("ECONOMY", "STANDARD"), "Core").otherwise("Range")),
-        "product_pack": ("part", _word(2)),
-        "format": ("part", format_of("p_size")),
-        "etapas": ("part", F.when(c("p_size") <= 25, "Growth").otherwise("Mature")),
-        "channel": ("customer", c("c_mktsegment")),
-        "channel_id": ("customer", position("c_mktsegment", SEGMENTS)),
-        "type_channel": ("customer", F.when(c("c_mktsegment").isin(OFFLINE), "Offline").otherwise("Online")),
-        "sub_channel": ("orders", c("o_orderpriority")),
-        "sales_type": ("orders", c("o_orderstatus")),
-        "sales_type_id": ("orders", position("o_orderstatus", SALES_TYPES)),
-        "period_id": ("orders", dates.month_int("o_orderdate")),
-        "year": ("orders", F.year("o_orderdate")),
-        "month_number": ("orders", F.month("o_orderdate")),
-        "pidx": ("orders", dates.pidx_of_date("o_orderdate")),
-        "source": ("lineitem", c("l_returnflag")),
-        "geo": ("supplier", c("n_name")),
-        "market": ("supplier", c("r_name")),
-    }
-
-
-def _kg() -> Column:
-    return F.col("l_quantity").cast("decimal(18,4)")
-
-
-def _net() -> Column:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
-
-
-def _value(metric: str) -> tuple[bool, Column]:
-    """(needs part, expression)"""
-    if metric == "Volumen Kg":
-        return False, _kg()
-    if metric == "Valor €":
-        return False, _net()
+def wide(spark: SparkSession, sf_dir: str, columns: list[str], metric: str = "Valor €") -> DataFrame:
+    """Fact rows of one metric with the asked columns and ``value``."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric}")
+    derived = metric in ("Unidades", "Volumen L")
+    source = {"value": NET if metric == "Valor €" else KG}
+    rows = lines(spark, sf_dir, columns, source, with_format=derived)
+    exact = F.expr(_exact("value"))
     if metric == "Unidades":
-        return True, star.derived_units(_kg(), star.unit_weight(format_of("p_size"))).cast("decimal(18,4)")
-    if metric == "Volumen L":
-        factor = (1 + F.col("p_size").cast("decimal(5,2)") / 100).cast("decimal(9,4)")
-        return True, star.derived_litres(_kg(), factor).cast("decimal(18,4)")
-    raise ValueError(f"unknown metric {metric}")
+        exact = star.derived_units(exact, star.unit_weight("_format")).cast("decimal(18,4)")
+    elif metric == "Volumen L":
+        factor = F.expr("CAST(1 + CAST(_size AS DECIMAL(5,2)) / 100 AS DECIMAL(9,4))")
+        exact = star.derived_litres(exact, factor).cast("decimal(18,4)")
+    return rows.select(*columns, exact.alias("value"))
 
 
-def wide(spark: SparkSession, sf_dir: str, columns: list[str], metric: str = "Valor €") -> DataFrame:
-    """Fact rows of one metric with the asked columns and ``value``."""
-    known = _columns()
-    with_part, value = _value(metric)
-    used = {known[c][0] for c in columns} | ({"part"} if with_part else set())
-    rows = table(spark, sf_dir, "lineitem")
-    if "part" in used:
-        rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if "supplier" in used:
-        nations = table(spark, sf_dir, "nation").join(
-            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-    if used & {"orders", "customer"}:
-        orders = table(spark, sf_dir, "orders")
-        if "customer" in used:
-            orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select(*[known[c][1].alias(c) for c in columns], value.alias("value"))
+def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(min(o_orderdate) AS DATE) AS min_date", "CAST(max(o_orderdate) AS DATE) AS max_date"
+    )
 
 
 def calendar(spark: SparkSession, sf_dir: str, as_of: str = "2001-08-15") -> DataFrame:
     """Months from the first to the last order."""
-    limits = table(spark, sf_dir, "orders").agg(
-        F.min("o_orderdate").cast("date").alias("min_date"), F.max("o_orderdate").cast("date").alias("max_date")
-    )
-    return calendars.month_calendar(limits, F.lit(as_of).cast("date"))
+    return calendars.month_calendar(order_dates(spark, sf_dir), F.lit(as_of).cast("date"))
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar's two columns the windows need."""
-    return calendar(spark, sf_dir).select("period_id", "pidx")
+    return calendars.month_index(order_dates(spark, sf_dir))
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consolidated gold mart: a volume and a value row per line."""
-    known = _columns()
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(
-            table(spark, sf_dir, "orders").join(
-                table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-            ),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
-    )
+    """Consolidated gold mart: a volume and a value row per line, in one pass."""
     names = {"PER_DSC": "period_id", "PDT_COD": "product_id", "CHL_COD": "channel_id",
              "SAL_TYP_COD": "sales_type_id", "CTG_COD": "category_id", "PDT_PCK": "product_pack"}
-    kinds = F.array(
-        F.struct(F.lit("VOL").alias("KPI"), _kg().alias("SO_VALUE")),
-        F.struct(F.lit("VAL").alias("KPI"), _net().alias("SO_VALUE")),
-    )
-    return lines.select(*[known[c][1].alias(n) for n, c in names.items()], F.inline(kinds))
+    rows = lines(spark, sf_dir, list(names.values()), {"kg": KG, "net": NET})
+    kinds = f"inline(array(('VOL', {_exact('kg')}), ('VAL', {_exact('net')}))) AS (KPI, SO_VALUE)"
+    return rows.selectExpr(*[f"{c} AS {n}" for n, c in names.items()], kinds)
+
+
+def _of(table_name: str, *columns: str) -> list[str]:
+    assert all(COLUMNS[c][0] == table_name for c in columns)
+    return [f"{COLUMNS[c][1]} AS {c}" for c in columns]
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product dimension with the columns the star names."""
-    known = _columns()
-    wanted = ["product_id", "product", "brand", "sub_brand", "manufacturer", "business_area", "category",
-              "category_id", "sub_category", "format", "etapas", "product_pack"]
-    factor = 1 + F.col("p_size") / F.lit(100.0)
-    return table(spark, sf_dir, "part").select(
-        *[known[c][1].alias(c) for c in wanted],
-        factor.cast("double").alias("conversor_lkg"),
-        F.concat(known["business_area"][1], F.lit(" Market")).alias("market"),
+    described = _of("part", "product_id", "product", "brand", "sub_brand", "manufacturer", "business_area", "category",
+                    "category_id", "sub_category", "format", "etapas", "product_pack")
+    return table(spark, sf_dir, "part").selectExpr(
+        *described, "1 + p_size / 100D AS conversor_lkg", f"concat({AREA}, ' Market') AS market"
     )
 
 
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _columns()
-    wanted = ["channel_id", "channel", "type_channel"]
-    rows = table(spark, sf_dir, "customer").select(*[known[c][1].alias(c) for c in wanted]).distinct()
-    return rows.withColumn("sub_channel", F.concat("channel", F.lit(" Sub")))
+    rows = table(spark, sf_dir, "customer").selectExpr(*_of("customer", "channel_id", "channel", "type_channel"))
+    return rows.distinct().withColumn("sub_channel", F.concat("channel", F.lit(" Sub")))
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _columns()
-    rows = table(spark, sf_dir, "part").select(
-        known["category_id"][1].alias("category_id"), F.col("p_type").alias("category_name")
-    ).distinct()
-    return rows.withColumn("source_id", (F.col("category_id") % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "part").selectExpr(*_of("part", "category_id"), "p_type AS category_name").distinct()
+    return rows.withColumn("source_id", F.expr("CAST(category_id % 3 + 1 AS INT)"))
 
 
 def sales_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _columns()
-    return table(spark, sf_dir, "orders").select(
-        known["sales_type_id"][1].alias("sales_type_id"), F.col("o_orderstatus").alias("sales_type")
-    ).distinct()
+    return table(spark, sf_dir, "orders").selectExpr(*_of("orders", "sales_type_id", "sales_type")).distinct()
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
