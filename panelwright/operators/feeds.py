@@ -23,15 +23,14 @@ def feed_periods(feeds: list[DataFrame], period: str = "PER_DSC") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [f.select(period).distinct() for f in feeds]).distinct()
 
 
-def add_member(df: DataFrame, values: dict[str, Column], source: DataFrame | None = None) -> DataFrame:
-    """Append one row; ``values`` are aggregates over ``source`` (default ``df``).
-
-    Literals are allowed too: the aggregate always yields exactly one row.
-    """
-    source = df if source is None else source
-    aggregates = [F.max(v).alias(n) for n, v in values.items()]
-    row = source.agg(*aggregates).select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
-    return df.unionByName(row)
+def add_member(df: DataFrame, constants: dict[str, Column], audit: list[str], source: DataFrame | None = None) -> DataFrame:
+    """Append one row of constants that carries the greatest audit values of ``source`` (default ``df``)."""
+    greatest = (df if source is None else source).agg(*[F.max(c).alias(c) for c in audit])
+    cells = [
+        (constants[f.name] if f.name in constants else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in df.schema.fields
+    ]
+    return df.unionByName(greatest.select(*cells))
 
 
 def wide_to_tall(df: DataFrame, ids: list[str], measures: dict[str, Column], flag: str, value: str) -> DataFrame:

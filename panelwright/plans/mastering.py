@@ -21,8 +21,7 @@ def product_master(staging: DataFrame) -> DataFrame:
         "LOA_DAT",
     )
     fallback = {c: F.lit(FALLBACK_CODES.get(c, keys.NOT_ASSIGNED_LABEL)) for c in PT_PRODUCT_COLUMNS}
-    audit = {"SRC_DSC_ORG": F.col("SRC_DSC_ORG"), "LOA_DAT": F.col("LOA_DAT")}
-    return feeds.add_member(cleansed, fallback | audit, staging)
+    return feeds.add_member(cleansed, fallback, ["SRC_DSC_ORG", "LOA_DAT"], staging)
 
 
 def product_dimension(master: DataFrame) -> DataFrame:

@@ -53,8 +53,7 @@ add("product_master", master, f"WITH {SQL_MASTER} SELECT * FROM master")
 def fallback_member(spark, sf):
     """One extra member with the audit values of the orders."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return feeds.add_member(orders, {"o_orderkey": F.lit(99), "o_orderstatus": F.lit("NOT_ASSIGNED"),
-                                     "o_orderdate": F.col("o_orderdate")})
+    return feeds.add_member(orders, {"o_orderkey": F.lit(99), "o_orderstatus": F.lit("NOT_ASSIGNED")}, ["o_orderdate"])
 
 
 add("fallback_member", fallback_member, """
@@ -241,7 +240,7 @@ def sales_types(spark, sf):
     """Sales types whose codes come from the suppliers."""
     rows = table(spark, sf, "supplier").selectExpr(
         "CAST(s_suppkey + 100 AS INT) AS SAL_TYP_COD", "s_name AS SAL_TYP_DSC", "'erp' AS SOURCE_CODE",
-        "TIMESTAMP '2020-01-01 00:00:00' AS LOA_DAT")
+        "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS LOA_DAT")
     return mastering.sales_type_dimension(rows)
 
 

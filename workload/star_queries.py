@@ -183,6 +183,7 @@ add("single_selection_label", segment_text,
 # ---- calendars --------------------------------------------------------------------------
 
 _STAMP = "TIMESTAMP '2020-01-01 00:00:00'"
+_SPARK_STAMP = "TIMESTAMP_NTZ '2020-01-01 00:00:00'"
 
 
 def daily(spark, sf):
@@ -190,7 +191,7 @@ def daily(spark, sf):
     orders = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("_day")).agg(
         F.count(F.lit(1)).alias("n_orders"))
     limits = orders.select(F.struct(F.min("_day").alias("lo"), F.max("_day").alias("hi"))).scalar()
-    days = calendars.daily_calendar(spark, loaded_at=F.expr(_STAMP)).withColumn("_l", limits)
+    days = calendars.daily_calendar(spark, loaded_at=F.expr(_SPARK_STAMP)).withColumn("_l", limits)
     inside = days.filter("DAT_COD BETWEEN _l.lo AND _l.hi").drop("_l")
     return inside.join(orders, F.col("DAT_COD") == F.col("_day"), "left").drop("_day").withColumn(
         "n_orders", F.coalesce("n_orders", F.lit(0)).cast("bigint"))
@@ -223,7 +224,7 @@ def national(spark, sf):
     orders = table(spark, sf, "orders")
     period = F.when(F.col("o_orderstatus") == "F", dates.month_int("o_orderdate")).otherwise(dates.date_int("o_orderdate"))
     return calendars.national_calendar(
-        orders.select(period.alias("PER_DSC")), as_of=F.lit("2001-03-10").cast("date"), loaded_at=F.expr(_STAMP))
+        orders.select(period.alias("PER_DSC")), as_of=F.lit("2001-03-10").cast("date"), loaded_at=F.expr(_SPARK_STAMP))
 
 
 _pt_short = "['JAN','FEV','MAR','ABR','MAI','JUN','JUL','AGO','SET','OUT','NOV','DEZ'][month(d)]"
