@@ -103,6 +103,9 @@ class Warehouse:
         partition_by: str | None = None,
         options: dict[str, str] | None = None,
     ) -> None:
+        if partition_by:
+            # one writer per period, except that a period too large for one task is split at run time
+            df = df.hint("rebalance", partition_by)
         writer = df.write.mode(mode).options(**(options or {}))
         if partition_by:
             writer = writer.partitionBy(partition_by)

@@ -11,15 +11,18 @@ from panelwright.sources.rows import inline_rows
 
 from .registry import table
 
-# Lines with the dates of their order; text parts so that every panel can spell periods its own way.
+# Lines with the dates of their order as text parts, so that every panel can spell periods its own way. The parts are
+# cut once per order, before the join.
 BASE = """
 SELECT concat(l_orderkey, '') AS ordk, concat(l_partkey, '') AS partk, concat(l_suppkey, '') AS suppk,
-  l_linenumber AS ln, l_returnflag AS rf, l_linestatus AS ls, o_orderstatus AS os, o_orderpriority AS op,
-  concat(year(o_orderdate), '') AS yy, lpad(concat(month(o_orderdate), ''), 2, '0') AS mm,
-  lpad(concat(day(o_orderdate), ''), 2, '0') AS dd, month(o_orderdate) AS mon,
+  l_linenumber AS ln, l_returnflag AS rf, l_linestatus AS ls, os, op, yy, mm, dd, mon,
   CAST(l_quantity AS DECIMAL(18,4)) AS qty, CAST(l_extendedprice AS DECIMAL(18,4)) AS price,
   CAST(l_discount * 100 AS DECIMAL(18,4)) AS disc, l_shipdate AS loa
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
+FROM {lineitem} JOIN (
+  SELECT o_orderkey, o_orderstatus AS os, o_orderpriority AS op, concat(year(o_orderdate), '') AS yy,
+    lpad(concat(month(o_orderdate), ''), 2, '0') AS mm, lpad(concat(day(o_orderdate), ''), 2, '0') AS dd,
+    month(o_orderdate) AS mon FROM {orders}) AS o
+ON l_orderkey = o_orderkey"""
 
 _PT_MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"]
 _LABEL = "CASE mon " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(_PT_MONTHS, 1)) + " END"
