@@ -27,29 +27,25 @@ def national_fact(panels: dict[str, DataFrame], master: DataFrame, match: str =
     ``match="panel"`` resolves a row by its own panel's code; ``match="product"``
     by the master's product code. Either way the master is made unique on the
     matched code, so fact rows are never multiplied; unmatched rows keep their
-    code.
+    code. The panels are joined together, the master is read once.
     """
-    union = []
-    for code, panel in panels.items():
-        key = code if match == "panel" else "PDT_COD"
-        union.append(
-            resolve.resolve_by_any_key(panel, "PDT_COD", master, [key], NATIONAL_PRECEDENCE, unique=True)
-        )
-    return _gold(feeds.union_aligned(union), NATIONAL_PRECEDENCE)
-
-
-def top2_fact(
-    panel_c: DataFrame, panel_a: list[DataFrame], master: DataFrame, unique: bool = False
-) -> DataFrame:
+    if match not in ("panel", "product"):
+        raise ValueError(f"unknown match {match}")
+    union = feeds.union_aligned([df.withColumn("_panel", F.lit(code)) for code, df in panels.items()])
+    rules = {code: [code if match == "panel" else "PDT_COD"] for code in panels}
+    resolved = resolve.resolve_by_rules(union, "_panel", "PDT_COD", master, rules, NATIONAL_PRECEDENCE, unique=True)
+    return _gold(resolved, NATIONAL_PRECEDENCE)
+
+
+def top2_fact(panel_c: DataFrame, panel_a: list[DataFrame], master: DataFrame, unique: bool = False) -> DataFrame:
     """Panel C (matched by its code or the barcode) and the panel A feeds under one product key.
 
     A code that leads to two master rows gives two fact rows, as an OR join
     does; ``unique`` takes one by precedence instead.
     """
-    by_code_or_ean = resolve.resolve_by_any_key(
-        panel_c, "PDT_COD", master, ["PNL_C_COD", "EAN_COD"], TOP2_PRECEDENCE, unique
+    tagged = [panel_c.withColumn("_panel", F.lit("C")), *[a.withColumn("_panel", F.lit("A")) for a in panel_a]]
+    rules = {"C": ["PNL_C_COD", "EAN_COD"], "A": ["PNL_A_COD"]}
+    resolved = resolve.resolve_by_rules(
+        feeds.union_aligned(tagged), "_panel", "PDT_COD", master, rules, TOP2_PRECEDENCE, unique
     )
-    by_code = [
-        resolve.resolve_by_any_key(p, "PDT_COD", master, ["PNL_A_COD"], TOP2_PRECEDENCE, unique) for p in panel_a
-    ]
-    return _gold(feeds.union_aligned([by_code_or_ean, *by_code]), TOP2_PRECEDENCE)
+    return _gold(resolved, TOP2_PRECEDENCE)
