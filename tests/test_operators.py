@@ -153,3 +153,29 @@ def test_top(spark):
     assert rows(topk.top(df, 2, "v", "m")) == [("c", 3), ("a", 2)]
     assert rows(topk.first_members(df, "m", 3)) == [("a",), ("b",), ("c",)]
     assert topk.only_members(df, "m", topk.top(df, 1, "v", "m")).count() == 1
+
+
+def test_hot_key_is_split_in_the_resolving_join(spark):
+    """A third of the rows under one key: the join splits that key's partition at run time."""
+    fact = spark.range(60000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 5000) END AS code", "id", "repeat('x', 40) AS pad")
+    master = spark.range(5000).selectExpr("concat('k', id) AS c", "CASE WHEN id = 1 THEN 'hot' END AS e", "id AS name")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = resolve.resolve_by_any_key(fact.repartition(8), "code", master, ["c", "e"], ["name"], unique=True)
+        got = df.groupBy(F.col("name").isNull()).count()
+        df.write.format("noop").mode("overwrite").save()
+        assert rows(got) == [(False, 60000)]
+        df.collect()
+        assert "skew=true" in plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
