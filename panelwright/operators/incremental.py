@@ -5,16 +5,24 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 # Fixed value: the watermark of an empty target.
 EPOCH = dt.datetime(1900, 1, 1)
 
 
+def _stamp(value: dt.datetime, kind: DataType) -> Column:
+    """A stamp literal of the column's own type: a cast on the column would keep the filter from the scan."""
+    if isinstance(kind, TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value)
+
+
 def high_watermark(target: DataFrame | None, stamp: str = "LOA_DAT") -> Column:
     """Greatest load stamp of the target as a scalar; the epoch when there is none."""
     if target is None:
         return F.lit(EPOCH)
-    return F.coalesce(target.select(F.max(stamp)).scalar(), F.lit(EPOCH))
+    return F.coalesce(target.select(F.max(stamp)).scalar(), _stamp(EPOCH, target.schema[stamp].dataType))
 
 
 def watermark_value(target: DataFrame | None, stamp: str = "LOA_DAT") -> dt.datetime:
@@ -26,8 +34,9 @@ def watermark_value(target: DataFrame | None, stamp: str = "LOA_DAT") -> dt.date
 
 def newer_than(staging: DataFrame, watermark: Column | dt.datetime, stamp: str = "LOA_DAT") -> DataFrame:
     """Rows loaded after the watermark (strictly). A literal reaches the Parquet scan."""
-    bound = watermark if isinstance(watermark, Column) else F.lit(watermark)
-    return staging.filter(F.col(stamp) > bound)
+    if not isinstance(watermark, Column):
+        watermark = _stamp(watermark, staging.schema[stamp].dataType)
+    return staging.filter(F.col(stamp) > watermark)
 
 
 def incremental_slice(staging: DataFrame, target: DataFrame | None, stamp: str = "LOA_DAT") -> DataFrame:

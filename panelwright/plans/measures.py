@@ -264,6 +264,15 @@ def measure_table(
     )
 
 
+def parameter_table(
+    fact: DataFrame, group: list[str], parameter: str, anchor: int, calendar: DataFrame, period_type: str | int, **options
+) -> DataFrame:
+    """The measures of a measure parameter, named by its labels."""
+    choices = PARAMETERS[parameter]
+    table = measure_table(fact, group, list(dict.fromkeys(choices.values())), anchor, calendar, period_type, **options)
+    return table.select(*group, *[F.col(f"`{name}`").alias(label) for label, name in choices.items()])
+
+
 def select_company(table: DataFrame, companies: list[str], company: str = "manufacturer") -> DataFrame:
     """A company slicer, applied after the shares were taken."""
     return table.filter(F.col(company).isin(companies))

@@ -53,6 +53,13 @@ class Panel:
         """Periods delivered by a slice, rows that are filtered out later included."""
         return staged.select(self.period_text().alias("PER_DSC")).distinct()
 
+    def emptied(self, staged: DataFrame) -> DataFrame | None:
+        """Delivered periods all of whose rows are filtered out. One narrow aggregate, no deduplication."""
+        if self.where is None:
+            return None
+        kept = staged.select(self.period_text().alias("PER_DSC"), F.expr(f"COALESCE({self.where}, false) AS kept"))
+        return kept.groupBy("PER_DSC").agg(F.max("kept").alias("kept")).filter("NOT kept").select("PER_DSC")
+
 
 # Output columns of the three fact shapes, in order.
 PT_WIDE = ["PDT_COD", "CHL_COD", "SAL_TYP_COD", "SRC_DSC", "PER_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS",
@@ -227,7 +234,7 @@ def staged(panel: Panel, tables: dict[str, DataFrame], watermark: Column | dt.da
     else:
         rows = tables[panel.staging]
     if panel.incremental:
-        rows = incremental.newer_than(rows, F.lit(incremental.EPOCH) if watermark is None else watermark)
+        rows = incremental.newer_than(rows, incremental.EPOCH if watermark is None else watermark)
     return rows
 
 
@@ -269,7 +276,7 @@ def run(panel: Panel, warehouse: Warehouse, mapping_layer: str = "SILVER_DWH") -
     watermark = incremental.watermark_value(target) if panel.incremental else None
     batch = load(panel, tables, mappings, watermark)
     if panel.reload:
-        periods = panel.periods(staged(panel, tables, watermark))
-        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", periods)
+        emptied = panel.emptied(staged(panel, tables, watermark))
+        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", emptied)
     else:
         warehouse.append(batch, panel.target_layer, panel.target)

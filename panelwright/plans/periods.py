@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates
 from ..operators.grid import dense_months
@@ -24,6 +24,12 @@ PERIOD_SWITCH = {4: "MES", 3: "L4M", 2: "YTD", 1: "TAM"}
 REPORT_TYPES = ["MES", "L4M", "YTD", "TAM"]
 
 
+def period_types(spark: SparkSession) -> DataFrame:
+    """The period-type selector as a table."""
+    rows = [(kind, number) for number, kind in PERIOD_SWITCH.items()]
+    return inline_rows(spark, "period_type string, period_type_id int", rows)
+
+
 @dataclass(frozen=True)
 class Block:
     """A set of months, as closed ``pidx`` intervals."""

@@ -104,6 +104,13 @@ def with_total_row(report: DataFrame, dims: list[str], sums: list[str]) -> DataF
     return body.unionByName(total.withColumn("is_total", F.lit(1)))
 
 
+def with_texts(report: DataFrame, numbers: list[str], percents: list[str]) -> DataFrame:
+    """The report plus ``<column>_text`` columns in European format."""
+    texts = [f"{formats.or_dash(formats.es_num(c))} AS {c}_text" for c in numbers]
+    texts += [f"{formats.or_dash(formats.es_pct(c))} AS {c}_text" for c in percents]
+    return report.selectExpr("*", *texts)
+
+
 # ---- cards ---------------------------------------------------------------------
 
 def _company_sums(market: DataFrame, company: str, blocks: dict[str, Block], column: str = COMPANY) -> DataFrame:

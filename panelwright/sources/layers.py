@@ -70,25 +70,27 @@ class Warehouse:
         self.replace(self.spark.createDataFrame([], schema), layer, table)
 
     def reload(
-        self, batch: DataFrame, layer: str, table: str, period: str = "PER_DSC", periods: DataFrame | None = None
+        self, batch: DataFrame, layer: str, table: str, period: str = "PER_DSC", emptied: DataFrame | None = None
     ) -> None:
         """Delete the delivered periods and insert the batch.
 
-        Only the partitions of those periods are rewritten. ``periods`` may hold
-        periods without surviving rows: these are emptied first, so that a crash
-        in between leaves the watermark where it was and a rerun repeats the
-        load. Rows without a period are kept, as a delete would not match them.
+        Only the partitions of those periods are rewritten. ``emptied`` lists
+        delivered periods without surviving rows: they are cleared first, so
+        that a crash in between leaves the watermark where it was and a rerun
+        repeats the load. Rows without a period are kept, as a delete would not
+        match them.
         """
         if self.root is None:
             raise ValueError("period reload is by path")
         existing = self.read_or_none(layer, table, batch.schema)
         if existing is not None:
-            if periods is not None:
-                # a list of months: bounded by the calendar
-                gone = periods.select(period).distinct().join(batch.select(period).distinct(), period, "left_anti")
-                loaded = existing.select(period).distinct()
-                for row in gone.join(loaded, period, "left_semi").collect():
-                    nothing = existing.filter(F.lit(False)).drop(period)
+            # a list of periods: bounded by the calendar
+            gone = [r[0] for r in emptied.collect() if r[0] is not None] if emptied is not None else []
+            if gone:
+                # a partition filter: other periods are not opened
+                loaded = existing.filter(F.col(period).isin(gone)).select(period).distinct().collect()
+                nothing = existing.drop(period).filter("false")
+                for row in loaded:
                     nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{period}={row[0]}")
             without_period = existing.filter(F.col(period).isNull())
             batch = batch.unionByName(without_period.select(*batch.columns))

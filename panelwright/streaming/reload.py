@@ -3,7 +3,9 @@
 The stream's checkpoint takes the place of the high watermark: each staging
 file is loaded exactly once. A micro-batch goes through the same panel load
 and period reload as the batch job. A reloaded batch is written by partition
-overwrite, so a micro-batch repeated after a failure gives the same table.
+overwrite, so a micro-batch repeated after a failure gives the same table. A
+delivery of a period must arrive in one micro-batch: set no file limit that
+could cut it in two.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def start_panel_stream(
 
     def load_batch(rows: DataFrame, _: int) -> None:
         batch = load(panel, {panel.staging: rows}, mappings)
-        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", panel.periods(rows))
+        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", panel.emptied(rows))
 
     return (
         arrivals.writeStream.foreachBatch(load_batch)

@@ -846,3 +846,78 @@ add("context_series", lambda spark, sf: rounded(context(spark, sf), value=8),
     f"WITH {_context} SELECT period_id, year, month_long, period_name, round(value, 8) AS value FROM ctx")
 add("context_year_avg", lambda spark, sf: rounded(reports.yearly_average(context(spark, sf)), average=6),
     f"WITH {_context} SELECT year, round(avg(value), 6) AS average FROM ctx GROUP BY 1")
+
+
+# measure parameters, named by their labels
+def parameter(spark, sf, name, kind):
+    fact = wide(spark, sf, [*GROUP, "period_id", "pidx"])
+    out = measures.parameter_table(fact, GROUP, name, ANCHOR, months(spark, sf), kind, field="Compañía")
+    targets = measures.PARAMETERS[name]
+    return out.select(*GROUP, *[F.round(F.col(f"`{label}`"), digits(measures.SWITCHES[t][kind])).alias(f"p{i}")
+                                for i, (label, t) in enumerate(targets.items())])
+
+
+for name, kind in [("Market Period", "YTD"), ("Market Year", "MES"), ("Market Year-1", "TAM"), ("Market Period-1", "L4M")]:
+    _name_in_model = name.replace("Period", "Período")
+    _targets = [measures.SWITCHES[t][kind] for t in measures.PARAMETERS[_name_in_model].values()]
+    _used = {w for t in _targets for w in measures.MEASURES[t].windows}
+    _lo, _hi = min(sql_interval(w)[0] for w in _used), max(sql_interval(w)[1] for w in _used)
+    _shown = ", ".join(f"round({sql_measure(t)}, {digits(t)}) AS p{i}" for i, t in enumerate(_targets))
+    add(f"parameter_{slug(name)}", lambda spark, sf, n=_name_in_model, kind=kind: parameter(spark, sf, n, kind),
+        f"WITH {sql_measure_base()} SELECT category, manufacturer, {_shown} FROM x WHERE EXISTS (SELECT 1 FROM wf "
+        f"WHERE wf.category = x.category AND wf.manufacturer = x.manufacturer AND pidx BETWEEN {_lo} AND {_hi})")
+
+
+def breakdown_texts(spark, sf):
+    market = wide(spark, sf, ["format", "pidx"])
+    out = reports.breakdown_table(market, "format", selection("YTD"), months(spark, sf))
+    out = reports.with_texts(out, ["sales", "sales_prev"], ["weight"])
+    return out.select("format", "sales_text", "sales_prev_text", "weight_text")
+
+
+add("breakdown_with_texts", breakdown_texts,
+    f"WITH {sql_members('format', between('YTD'), between('YTD-1'), True, sql_prior('YTD-1', ANCHOR))} "
+    f"SELECT format, {sql_es('vc', 0)} AS sales_text, {sql_es('vp', 0)} AS sales_prev_text, "
+    f"{sql_es('share * 100', 1)} || ' %' AS weight_text FROM y")
+
+
+def period_texts(spark, sf):
+    """Label columns of the flat extract: period text, and whether a date is in the year to date."""
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, sf, "orders").select(
+        "o_orderkey", dates.period_text(F.year(day), F.date_format(day, "MMMM")).alias("period_text"),
+        dates.ytd_text(day, F.lit("2000-09-30").cast("date")).alias("ytd"))
+
+
+add("period_texts", period_texts, """
+SELECT o_orderkey, year(o_orderdate) || '-' || strftime(o_orderdate, '%B') AS period_text,
+  CASE WHEN o_orderdate <= DATE '2000-09-30' AND year(o_orderdate) = 2000 THEN 'YTD' ELSE 'Fuera' END AS ytd FROM orders""")
+
+
+def switch_long(spark, sf):
+    """Sales by company for every period type of the selector, current and previous."""
+    windows = periods.window_table(months(spark, sf), ANCHOR, periods.REPORT_TYPES, ["current", "prev"])
+    sums = periods.sales_by_window(wide(spark, sf, ["manufacturer", "pidx"]), ["manufacturer"], windows)
+    kinds = periods.period_types(spark)
+    return sums.join(kinds, F.expr("kind = period_type")).select(
+        "period_type_id", "manufacturer", "variant", F.col("sales").cast("double").alias("sales"))
+
+
+_rows = ", ".join(
+    f"({i}, '{v}', {lo}, {hi})" for i, k in [(4, "MES"), (3, "L4M"), (2, "YTD"), (1, "TAM")]
+    for v in ["current", "prev"] for lo, hi in [_sql_interval_kv(k, v)])
+add("period_switch_all", switch_long, f"""
+WITH {sql_wide()}, s AS (SELECT * FROM (VALUES {_rows}) AS s(period_type_id, variant, lo, hi))
+SELECT period_type_id, manufacturer, variant, CAST(sum(value) AS DOUBLE) AS sales
+FROM wf JOIN s ON pidx BETWEEN lo AND hi GROUP BY 1, 2, 3""")
+
+
+def first_categories(spark, sf):
+    """Default selection of the segment page."""
+    from panelwright.operators import topk
+
+    return topk.first_members(wide(spark, sf, ["category"]), "category", 4)
+
+
+add("selector_first_four", first_categories,
+    f"WITH {sql_wide()} SELECT DISTINCT category FROM wf ORDER BY 1 LIMIT 4")
