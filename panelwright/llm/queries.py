@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, quality_rules
+from . import curriculum, line_dedup, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,19 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return curriculum.taken(curriculum.placed(docs, carry=False)).select(
         "doc.doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_line_dedup", r"""
+WITH l AS (SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
+                  unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+b AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(b.key) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN b.key IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
+FROM k LEFT JOIN b ON k.key = b.key GROUP BY k.doc_id
+""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, min_docs=10).select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
