@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, line_dedup, quality_rules
+from . import curriculum, hyperminhash, line_dedup, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup(docs, min_docs=10).select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op10_hyperminhash")
+def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyperminhash.near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
