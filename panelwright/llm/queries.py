@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, hyperminhash, line_dedup, quality_rules
+from . import curriculum, hyperminhash, line_dedup, packing, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return hyperminhash.near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
