@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, embedding_dedup, hyperminhash, line_dedup, packing, quality_rules, suffix_dedup
+from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, quality_rules, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_embedding_near_dedup")
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
+@query("op8_html_extract")
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extracted(pages).select(
+        "page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
