@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, quality_rules, suffix_dedup
+from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,12 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extract.extracted(pages).select(
         "page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op2_pii_spans")
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k in pii.BASE],
+                        F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
