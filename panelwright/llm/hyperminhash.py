@@ -6,8 +6,9 @@ are first estimated from all registers, corrected for registers that agree by ch
 common shingles of the full sets.
 
 Groups of copies stay cheap. Equal sets are one node. In the first round the members of a band's bucket are compared
-with one hub only; in the second, members that the found links left in different components are compared with each
-other, in blocks. So no link that would join two components is skipped, and no group is expanded into all its pairs.
+with one hub only; in the second, members that the found links left in different components meet in blocks of a bucket,
+with their sets if a likely partner is there, and a block passes on only links that join something. So no link between
+components is skipped, and no list of a group's pairs is ever made.
 
 A pair at the threshold of 85 % is missed by all 21 bands of six registers with a probability of 5e-5, one at 90 % with
 1e-7. Sets of fewer than six shingles can only reach the threshold when equal, and equal sets need no search.
@@ -36,9 +37,8 @@ REGISTERS = BANDS * ROWS
 EMPTY = np.uint16(0xFFFF)
 #: The chance that registers of different minima agree: equal leading zeros (1/3) and equal mantissa bits.
 CHANCE = 1 / (3 << MANTISSA_BITS)
-#: Estimates deviate by 0.032 at the threshold; five and a half deviations are left. Only for sets this large, whose
-#: registers are nearly all their own.
-SLACK, LEAST_ESTIMATED = 0.175, 200
+#: Estimates are trusted to five and a half deviations, and not at all for sets smaller than this.
+DEVIATIONS, LEAST_ESTIMATED = 5.5, 32
 SPOKES, BLOCK = 1000, 1024
 _donors = (mixed(np.arange(64 * (1 << BUCKET_BITS), dtype=np.uint64)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64).reshape(64, -1)
 
@@ -72,6 +72,13 @@ def estimated(agreeing: np.ndarray) -> np.ndarray:
     return (agreeing / REGISTERS - CHANCE) / (1 - CHANCE)
 
 
+def likely(agreeing: np.ndarray, smaller: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether pairs may reach the threshold. Small sets fill fewer registers of their own, so they are given more room."""
+    own = REGISTERS * smaller / (smaller + (1 << BUCKET_BITS))
+    room = DEVIATIONS * np.sqrt(threshold * (1 - threshold) / np.maximum(own, 1))
+    return (smaller < LEAST_ESTIMATED) | (estimated(agreeing) >= threshold - room)
+
+
 def _sketch(k: int, least: int):
     def run(batches):
         for batch in batches:
@@ -101,8 +108,8 @@ def _likely(threshold: float):
     def run(batches):
         for batch in batches:
             agree = (_matrix(batch.column("code_a")) == _matrix(batch.column("code_b"))).sum(axis=1)
-            small = np.minimum(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) < LEAST_ESTIMATED
-            keep = pa.array(small | (estimated(agree) >= threshold - SLACK))
+            smaller = np.minimum(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy())
+            keep = pa.array(likely(agree, smaller, threshold))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
     return run
 
@@ -122,29 +129,95 @@ def _groups(batches, keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
         yield key, rows
 
 
+def _open_pairs(rows: list[dict], codes: np.ndarray, i: int, j: int, band: int, threshold: float) -> tuple[np.ndarray, ...]:
+    """Likely pairs of a block whose sides are in different components and whose first common band is this one; their
+    numbers in rows and the estimates."""
+    block = np.array([r["block"] for r in rows])
+    left, right = (np.flatnonzero(block == x) for x in (i, j))
+    a, b = codes[left], codes[right]
+    agree, fresh = np.zeros((len(a), len(b)), np.uint8), np.ones((len(a), len(b)), bool)
+    for t in range(BANDS):
+        same = [a[:, r, None] == b[None, :, r] for r in range(ROWS * t, ROWS * (t + 1))]
+        for x in same:
+            agree += x
+        if t < band:
+            fresh &= ~np.logical_and.reduce(same)
+    names: dict[bytes, int] = {}
+    comp, n = np.array([names.setdefault(r["comp"], len(names)) for r in rows]), np.array([r["n"] for r in rows])
+    fresh &= comp[left][:, None] != comp[right][None, :]
+    fresh &= likely(agree, np.minimum(n[left][:, None], n[right][None, :]), threshold)
+    if i == j:
+        fresh &= left[:, None] < right[None, :]
+    x, y = np.nonzero(fresh)
+    return left[x], right[y], agree[x, y]
+
+
 def _across(threshold: float):
-    """Within a block of a bucket: likely pairs from different components."""
+    """The members of a block that have a likely partner there."""
+    names = ["band", "i", "j", "b", "block", "node", "comp"]
+
     def run(batches):
         for (_, i, j), rows in _groups(batches, ["band", "i", "j"]):
-            left = [r for r in rows if r["block"] == i]
-            right = left if i == j else [r for r in rows if r["block"] == j]
-            if not left or not right:
-                continue
-            a, b = (np.stack([np.frombuffer(r["code"], np.uint16) for r in side]) for side in (left, right))
-            agree = np.zeros((len(a), len(b)), np.uint8)
-            for r in range(REGISTERS):
-                agree += a[:, r, None] == b[None, :, r]
-            names: dict[bytes, int] = {}
-            ca, cb = (np.array([names.setdefault(r["comp"], len(names)) for r in side]) for side in (left, right))
-            na, nb = (np.array([r["n"] for r in side]) for side in (left, right))
-            small = np.minimum(na[:, None], nb[None, :]) < LEAST_ESTIMATED
-            pairs = np.argwhere((ca[:, None] != cb[None, :]) & (small | (estimated(agree) >= threshold - SLACK)))
-            if i == j:
-                pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-            for at in range(0, len(pairs), 1 << 16):
-                some = pairs[at: at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([left[x]["node"] for x in some[:, 0]], pa.binary()),
-                                                  pa.array([right[y]["node"] for y in some[:, 1]], pa.binary())], ["a", "b"])
+            codes = np.stack([np.frombuffer(r["code"], np.uint16) for r in rows])
+            x, y, _ = _open_pairs(rows, codes, i, j, rows[0]["b"], threshold)
+            met = [rows[k] for k in np.union1d(x, y).tolist()]
+            if met:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in met], k) for c, k in zip(names, kinds)], names)
+    return run
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    common = int((a[at] == b).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _join(percent: int):
+    """Within a block of full sets: links between components, most similar first; what is joined already is passed by."""
+    def run(batches):
+        for (_, i, j), rows in _groups(batches, ["band", "i", "j"]):
+            sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
+            for r, s in zip(rows, sets):
+                r["n"] = len(s)
+            x, y, agree = _open_pairs(rows, registers(sets), i, j, rows[0]["b"], percent / 100)
+            parent = {r["comp"]: r["comp"] for r in rows}
+
+            def top(c: bytes) -> bytes:
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            a, b = [], []
+            for k in np.argsort(-agree.astype(np.int16), kind="stable").tolist():
+                p, q = int(x[k]), int(y[k])
+                u, v = top(rows[p]["comp"]), top(rows[q]["comp"])
+                if u != v and _similar(sets[p], sets[q], percent):
+                    parent[u] = v
+                    a.append(rows[p]["node"])
+                    b.append(rows[q]["node"])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    return run
+
+
+def _send_to_blocks(k: int):
+    names = ["band", "i", "j", "b", "block", "comp"]
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sent = [(node, to, s.tobytes()) for node, goes, s in zip(batch.column("node").to_pylist(), batch.column("asked").to_pylist(),
+                                                                        shingle_sets(batch.column("text"), k)) for to in goes]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+                columns = [pa.array([to[c] for _, to, _ in sent], t) for c, t in zip(names, kinds)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([x for x, _, _ in sent], pa.binary()), pa.array([x for _, _, x in sent], pa.binary())],
+                                                 [*names, "node", "set"])
     return run
 
 
@@ -183,10 +256,7 @@ def _confirm(percent: int):
                     continue
                 if to.as_py() != hub:
                     raise ValueError("a set came without its hub")
-                at = np.searchsorted(shingles, mine)
-                at[at == len(shingles)] = 0
-                common = int((shingles[at] == mine).sum())
-                if 100 * common >= percent * (len(mine) + len(shingles) - common):
+                if _similar(shingles, mine, percent):
                     a.append(node.as_py())
                     b.append(hub)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
@@ -209,9 +279,9 @@ class Search:
             F.max("code").alias("code")))
 
     def members(self) -> DataFrame:
-        """(band, node, hub, size): the rows of buckets with two or more nodes."""
-        bands = self.nodes.where("code is not null").select("node", F.explode(F.array(*[
-            F.xxhash64(F.lit(b), F.substring("code", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("band"))
+        """(b, band, node, hub, size): the rows of buckets with two or more nodes."""
+        bands = self.nodes.where("code is not null").select("node", F.posexplode(F.array(*[
+            F.xxhash64(F.lit(b), F.substring("code", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("b", "band"))
         shared = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
         return cut(bands.join(shared, "band"))
 
@@ -220,6 +290,12 @@ class Search:
         b = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("code").alias("code_b"))
         return pairs.join(a, "a").join(b, "b").mapInArrow(_likely(self.percent / 100), "a binary, b binary")
 
+    def asked_texts(self, asked: DataFrame) -> DataFrame:
+        """(node, asked, text): one document's text for each asked node."""
+        asked = asked.join(self.nodes.select("node", "who"), "node").select("node", "asked", F.col("who.tid").alias("t"), F.col("who.id").alias("i"))
+        same = (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i"))
+        return self.texts.join(asked, same).select("node", "asked", "text")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough; b is the hub, its other sides come in portions."""
         pairs = cut(pairs)
@@ -229,24 +305,28 @@ class Search:
         hubs = portions.select(F.col("b").alias("node"), F.col("b").alias("hub"),
                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("salt"), F.lit(1).alias("is_hub"))
         asked = spokes.unionByName(hubs).groupBy("node").agg(F.collect_list(F.struct("hub", "salt", "is_hub")).alias("asked"))
-        asked = asked.join(self.nodes.select("node", "who"), "node").select("node", "asked", F.col("who.tid").alias("t"), F.col("who.id").alias("i"))
-        texts = self.texts.join(asked, (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "asked", "text")
+        texts = self.asked_texts(asked)
         sets = texts.mapInArrow(_send(self.k), "hub binary, salt bigint, is_hub int, node binary, set binary")
         met = sets.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("is_hub"))
         return cut(met.mapInArrow(_confirm(self.percent), "a binary, b binary"))
 
     def across(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """Likely pairs of a bucket that are still in different components."""
+        """Confirmed links (a, b) between nodes of a bucket that are still in different components."""
         known = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
         open_ = known.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("band")
         rows = known.join(open_, "band").select(
-            "band", "node", "comp", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
+            "b", "band", "node", "comp", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
         rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
         rows = rows.join(self.nodes.select("node", "n", "code"), "node").select(
-            "band", "node", "comp", "block", "n", "code", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+            "b", "band", "node", "comp", "block", "n", "code", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
         met = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        return met.mapInArrow(_across(self.percent / 100), "a binary, b binary").distinct()
+        place = "band bigint, i bigint, j bigint, b int, block bigint"
+        partners = cut(met.mapInArrow(_across(self.percent / 100), f"{place}, node binary, comp binary"))
+        asked = partners.groupBy("node").agg(F.collect_list(F.struct("band", "i", "j", "b", "block", "comp")).alias("asked"))
+        sets = self.asked_texts(asked).mapInArrow(_send_to_blocks(self.k), f"{place}, comp binary, node binary, set binary")
+        met = sets.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        return cut(met.mapInArrow(_join(self.percent), "a binary, b binary"))
 
     def components(self) -> DataFrame:
         """(node, root) of the nodes with links."""
@@ -254,7 +334,7 @@ class Search:
         stars = members.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         links = self.confirmed(self.likely(stars))
         roots = components(links)
-        more = self.confirmed(self.across(members, roots))
+        more = self.across(members, roots)
         if more.isEmpty():
             return roots
         return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))

@@ -94,7 +94,10 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     covered = F.aggregate(
         F.transform(at, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW)))),
         F.lit(0), lambda a, x: a + x)
-    return at_repeats.select(*kept, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    measures = [*kept[1:], F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")]
+    # As a generated row the measurements stop a filter, which would else be pushed down to the text with all that they
+    # are made of written out in it, time and again.
+    return at_repeats.select("doc", F.inline(F.array(F.struct(*measures))))
 
 
 def ledger(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
