@@ -47,18 +47,73 @@ def calendar(spark):
     return calendars.month_calendar(limits, F.lit("2024-12-20").cast("date")).cache()
 
 
+# First and last month of each window, as "anchor kind current prev ly".
+WINDOWS = """
+202201 MES 202201..202201 - -
+202201 L3M 202201..202201 - -
+202201 L4M 202201..202201 - -
+202201 L6M 202201..202201 - -
+202201 YTD 202201..202201 - -
+202201 TAM 202201..202201 - -
+202203 MES 202203..202203 202202..202202 -
+202203 L3M 202201..202203 - -
+202203 L4M 202201..202203 - -
+202203 L6M 202201..202203 - -
+202203 YTD 202201..202203 - -
+202203 TAM 202201..202203 - -
+202301 MES 202301..202301 202212..202212 202201..202201
+202301 L3M 202211..202301 202208..202210 202201..202201
+202301 L4M 202210..202301 202206..202209 202201..202201
+202301 L6M 202208..202301 202202..202207 202201..202201
+202301 YTD 202301..202301 202201..202201 202201..202201
+202301 TAM 202202..202301 202201..202201 202201..202201
+202305 MES 202305..202305 202304..202304 202205..202205
+202305 L3M 202303..202305 202212..202302 202203..202205
+202305 L4M 202302..202305 202210..202301 202202..202205
+202305 L6M 202212..202305 202206..202211 202201..202205
+202305 YTD 202301..202305 202201..202205 202201..202205
+202305 TAM 202206..202305 202201..202205 202201..202205
+202306 MES 202306..202306 202305..202305 202206..202206
+202306 L3M 202304..202306 202301..202303 202204..202206
+202306 L4M 202303..202306 202211..202302 202203..202206
+202306 L6M 202301..202306 202207..202212 202201..202206
+202306 YTD 202301..202306 202201..202206 202201..202206
+202306 TAM 202207..202306 202201..202206 202201..202206
+202406 MES 202406..202406 202405..202405 202306..202306
+202406 L3M 202404..202406 202401..202403 202304..202306
+202406 L4M 202403..202406 202311..202402 202303..202306
+202406 L6M 202401..202406 202307..202312 202301..202306
+202406 YTD 202401..202406 202301..202306 202301..202306
+202406 TAM 202307..202406 202207..202306 202207..202306
+202407 MES 202407..202407 202406..202406 202307..202307
+202407 L3M 202405..202407 202402..202404 202305..202307
+202407 L4M 202404..202407 202312..202403 202304..202307
+202407 L6M 202402..202407 202308..202401 202302..202307
+202407 YTD 202401..202407 202301..202307 202301..202307
+202407 TAM 202308..202407 202208..202307 202208..202307
+202412 MES 202412..202412 202411..202411 202312..202312
+202412 L3M 202410..202412 202407..202409 202310..202312
+202412 L4M 202409..202412 202405..202408 202309..202312
+202412 L6M 202407..202412 202401..202406 202307..202312
+202412 YTD 202401..202412 202301..202312 202301..202312
+202412 TAM 202401..202412 202301..202312 202301..202312
+"""
+
+
+def written_out(text):
+    found = {}
+    for anchor, kind, *spans in map(str.split, text.strip().splitlines()):
+        for variant, span in zip(["current", "prev", "ly"], spans):
+            ends = [] if span == "-" else [int(p) for p in span.split("..")]
+            found[int(anchor), kind, variant] = months_of(*ends) if ends else []
+    return found
+
+
+EXPECTED = written_out(WINDOWS)
+
+
 def window(anchor, kind, variant):
-    """Windows by position in the list of periods, as an independent check of the interval arithmetic."""
-    if kind == "YTD":
-        shift = 0 if variant == "current" else 100
-        return [p for p in PERIODS if p // 100 == (anchor - shift) // 100 and p <= anchor - shift]
-    n = {"MES": 1, "L3M": 3, "L4M": 4, "L6M": 6, "TAM": 12}[kind]
-    at = PERIODS.index(anchor)
-    if variant == "prev":
-        at -= n
-    if variant == "ly":
-        at -= 12
-    return PERIODS[max(0, at - n + 1): at + 1] if at >= 0 else []
+    return EXPECTED[anchor, kind, variant]
 
 
 def total(ps, company="*", category="*"):
@@ -149,8 +204,9 @@ def test_all_anchors_equal_one_anchor(market):
     grid = periods.all_anchors(market, ["manufacturer", "category"], windows)
     cells = {(r["manufacturer"], r["category"], periods.dates.from_pidx(r["pidx"])): r for r in grid.collect()}
     assert len(cells) == 7 * len(PERIODS)
+    anchors = {anchor for anchor, _, _ in EXPECTED}
     for (company, category, anchor), r in cells.items():
-        for kind, variant in windows:
+        for kind, variant in windows if anchor in anchors else []:
             assert float(r[f"{kind}_{variant}"]) == total(window(anchor, kind, variant), company, category)
 
 
