@@ -39,6 +39,11 @@ def newer_than(staging: DataFrame, watermark: Column | dt.datetime, stamp: str =
     return staging.filter(F.col(stamp) > watermark)
 
 
+def up_to(staging: DataFrame, stamp_value: dt.datetime, stamp: str = "LOA_DAT") -> DataFrame:
+    """Rows loaded up to a stamp, so that files which arrive during a load wait for the next one."""
+    return staging.filter(F.col(stamp) <= _stamp(stamp_value, staging.schema[stamp].dataType))
+
+
 def incremental_slice(staging: DataFrame, target: DataFrame | None, stamp: str = "LOA_DAT") -> DataFrame:
     return newer_than(staging, high_watermark(target, stamp), stamp)
 

@@ -265,7 +265,11 @@ def load(
 
 
 def run(panel: Panel, warehouse: Warehouse, mapping_layer: str = "SILVER_DWH") -> None:
-    """Load a panel into its target table: one watermark, used for the period list and the rows."""
+    """Load a panel into its target table, then log how far it has looked.
+
+    The slice runs from the logged stamp to the highest one staged now, so all steps see the same rows even while
+    files arrive. A target from before the log starts at its own highest stamp.
+    """
     from ..schemas import MAPPINGS, STAGING
 
     names = list(panel.feed_sources.values()) or [panel.staging]
@@ -273,10 +277,23 @@ def run(panel: Panel, warehouse: Warehouse, mapping_layer: str = "SILVER_DWH") -
     needed = {c.mapping for c in panel.codes} | {f[0] for f in panel.feed_codes}
     mappings = {m: warehouse.read(mapping_layer, m, MAPPINGS[m]) for m in needed}
     target = warehouse.read_or_none(panel.target_layer, panel.target)
-    watermark = incremental.watermark_value(target) if panel.incremental else None
+    watermark, newest = None, None
+    if panel.incremental:
+        logged = warehouse.staged_to(panel.target_layer, panel.target)
+        # A reload may be repeated; an append whose log entry was lost must not be, and its own stamps tell.
+        held = incremental.watermark_value(target) if logged is None or not panel.reload else None
+        watermark = max(x for x in (logged, held) if x is not None)
+        newest = staged(panel, tables, watermark).agg(F.max("LOA_DAT")).first()[0]
+        if newest is None:
+            if target is None:
+                warehouse.append(load(panel, tables, mappings, watermark), panel.target_layer, panel.target, "PER_DSC")
+            return
+        tables = {n: incremental.up_to(t, newest) for n, t in tables.items()}
     batch = load(panel, tables, mappings, watermark)
     if panel.reload:
         emptied = panel.emptied(staged(panel, tables, watermark))
         warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", emptied)
     else:
-        warehouse.append(batch, panel.target_layer, panel.target)
+        warehouse.append(batch, panel.target_layer, panel.target, "PER_DSC")
+    if newest is not None:
+        warehouse.record_load(panel.target_layer, panel.target, newest)

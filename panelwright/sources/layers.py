@@ -6,6 +6,7 @@ periods only and a report reads the periods of its window only.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The layers, in load order.
 LAYERS = ["BRONZE_STG", "SILVER_DWH", "SILVER_TRA", "GOLD_DMT", "GOLD_STAR"]
+LOG, LOG_SCHEMA = "LOAD_LOG", "TARGET string, STAGED_TO string"
 
 
 @dataclass(frozen=True)
@@ -75,26 +77,64 @@ class Warehouse:
         """Delete the delivered periods and insert the batch.
 
         Only the partitions of those periods are rewritten. ``emptied`` lists
-        delivered periods without surviving rows: they are cleared first, so
-        that a crash in between leaves the watermark where it was and a rerun
-        repeats the load. Rows without a period are kept, as a delete would not
-        match them.
+        delivered periods without surviving rows; their partitions are dropped
+        right after the write, without a job. A crash in between is repaired by
+        a rerun, since the load log is written last. Rows without a period are
+        kept, as a delete would not match them, but for those that the batch
+        brings again: a batch written twice gives the same table.
         """
-        if self.root is None:
-            raise ValueError("period reload is by path")
-        existing = self.read_or_none(layer, table, batch.schema)
+        existing = self.read_or_none(layer, table, batch.schema if self.root else None)
+        # a list of periods: bounded by the calendar
+        gone = [r[0] for r in emptied.collect() if r[0] is not None] if emptied is not None and existing is not None else []
         if existing is not None:
-            # a list of periods: bounded by the calendar
-            gone = [r[0] for r in emptied.collect() if r[0] is not None] if emptied is not None else []
-            if gone:
-                # a partition filter: other periods are not opened
-                loaded = existing.filter(F.col(period).isin(gone)).select(period).distinct().collect()
-                nothing = existing.drop(period).filter("false")
-                for row in loaded:
-                    nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{period}={row[0]}")
-            without_period = existing.filter(F.col(period).isNull())
-            batch = batch.unionByName(without_period.select(*batch.columns))
-        self._write(batch, layer, table, "overwrite", period, {"partitionOverwriteMode": "dynamic"})
+            without_period = existing.filter(F.col(period).isNull()).select(*batch.columns)
+            again = batch.filter(F.col(period).isNull()).select(*[F.col(c).alias(f"_again_{c}") for c in batch.columns])
+            same = [F.col(c).eqNullSafe(F.col(f"_again_{c}")) for c in batch.columns]
+            condition = same[0]
+            for one in same[1:]:
+                condition &= one
+            batch = batch.unionByName(without_period.join(again, condition, "left_anti"))
+        if self.root is not None:
+            self._write(batch, layer, table, "overwrite", period, {"partitionOverwriteMode": "dynamic"})
+            self._drop_directories(layer, table, [f"{period}={value}" for value in gone])
+        elif existing is None:
+            self._write(batch, layer, table, "append", period)
+        else:
+            self._overwrite_partitions(batch, self.name(layer, table), period)
+            for value in gone:
+                self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS PARTITION ({period} = {int(value)})")
+
+    def _drop_directories(self, layer: str, table: str, names: list[str]) -> None:
+        jvm = self.spark._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, table)}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+    def _overwrite_partitions(self, batch: DataFrame, name: str, period: str) -> None:
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            columns = self.spark.table(name).columns
+            batch.hint("rebalance", period).select(*columns).write.mode("overwrite").insertInto(name)
+        finally:
+            self.spark.conf.set(mode, before)
+
+    # ---- load log ----------------------------------------------------
+
+    def staged_to(self, layer: str, table: str) -> dt.datetime | None:
+        """The highest load stamp that a finished load of the table has looked at."""
+        log = self.read_or_none(layer, LOG, LOG_SCHEMA)
+        if log is None:
+            return None
+        value = log.filter(F.col("TARGET") == table).agg(F.max("STAGED_TO")).first()[0]
+        return dt.datetime.fromisoformat(value) if value else None
+
+    def record_load(self, layer: str, table: str, stamp: dt.datetime) -> None:
+        """The last step of a load. What it looked at counts, not what survived: a delivery whose rows are all filtered
+        out must not let an older one be loaded again."""
+        row = [(table, stamp.isoformat(sep=" ", timespec="microseconds"))]
+        self.append(self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1), layer, LOG)
 
     def _write(
         self,

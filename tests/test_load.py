@@ -93,6 +93,60 @@ def test_reload_rewrites_only_its_partitions(warehouse):
     assert len(before & files()) == 1
 
 
+def test_emptied_period_stays_empty(warehouse):
+    """A delivery of totals only empties its period; an older delivery of it must not come back with the next load."""
+    set_up(warehouse)
+    panel = panels.PANELS["PANEL_A_MILK"]
+    for data in ([milk("p1", 1, 10, 1)], [milk("p2", 2, 20, 2)], [milk("p2", 2, 1, 3, "TOTAL")], [milk("p4", 4, 40, 4)]):
+        deliver(warehouse, panel.staging, MILK, data)
+        panels.run(panel, warehouse)
+    assert fact(warehouse) == [(20240101, "p1", 10.0), (20240104, "p4", 40.0)]
+    assert warehouse.staged_to("SILVER_DWH", panel.target) == dt.datetime(2024, 2, 4)
+
+
+def test_repeated_batch_changes_nothing(warehouse):
+    set_up(warehouse)
+    panel = panels.PANELS["PANEL_A_MILK"]
+    bad = list(milk("p9", 1, 1, 1))
+    bad[3] = "soon"
+    batch = panels.load(panel, {panel.staging: inline_rows(warehouse.spark, MILK, [tuple(bad), milk("p1", 1, 10, 1)])}, maps(warehouse.spark))
+    for _ in range(3):
+        warehouse.reload(batch, "SILVER_DWH", panel.target)
+        assert fact(warehouse) == [(20240101, "p1", 10.0), (None, "p9", 1.0)]
+
+
+def test_lost_log_entry(warehouse):
+    """A load that ended before its log entry is repeated: a reload gives the same, an append adds nothing."""
+    set_up(warehouse)
+    milk_, panel_f = panels.PANELS["PANEL_A_MILK"], panels.PANELS["PANEL_F"]
+    deliver(warehouse, milk_.staging, MILK, [milk("p1", 1, 10, 1)])
+    deliver(warehouse, panel_f.staging, STAGING[panel_f.staging], [("m", "g", "c", "VOL", "202401", None, "file", dt.datetime(2024, 1, 1))])
+    for panel in (milk_, panel_f):
+        panels.run(panel, warehouse)
+    warehouse.replace(warehouse.spark.createDataFrame([], "TARGET string, STAGED_TO string"), "SILVER_DWH", "LOAD_LOG")
+    for panel in (milk_, panel_f):
+        panels.run(panel, warehouse)
+        assert warehouse.read("SILVER_DWH", panel.target).count() == 1
+
+
+def test_catalog_reload(spark):
+    """The same loads on catalog tables."""
+    layers = ["BRONZE_STG", "SILVER_DWH"]
+    try:
+        for layer in layers:
+            spark.sql(f"CREATE DATABASE {layer}")
+        warehouse = Warehouse(spark, database="spark_catalog")
+        set_up(warehouse)
+        panel = panels.PANELS["PANEL_A_MILK"]
+        for data in ([milk("p1", 1, 10, 1), milk("p2", 2, 20, 1)], [milk("p2", 2, 1, 3, "TOTAL")], [milk("p1", 1, 11, 4), milk("p4", 4, 40, 4)]):
+            deliver(warehouse, panel.staging, MILK, data)
+            panels.run(panel, warehouse)
+        assert fact(warehouse) == [(20240101, "p1", 11.0), (20240104, "p4", 40.0)]
+    finally:
+        for layer in layers:
+            spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+
+
 def test_append_panel(warehouse):
     set_up(warehouse)
     panel = panels.PANELS["PANEL_F"]
