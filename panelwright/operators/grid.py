@@ -12,14 +12,20 @@ def month_bounds(months: DataFrame, pidx: str = "pidx") -> tuple[Column, Column]
     return low, high
 
 
-def dense_months(monthly: DataFrame, dims: list[str], values: list[str], pidx: str = "pidx") -> DataFrame:
+def dense_months(
+    monthly: DataFrame, dims: list[str], values: list[str], pidx: str = "pidx", calendar: DataFrame | None = None
+) -> DataFrame:
     """Fill the missing months of every member with 0.
 
+    The months run over the ``calendar``, or without one over those of the
+    frame, which is then read twice. Rows without a month are in no month.
+
     One aggregate collects a member's months (never more than the calendar has)
     and lays them out over the month sequence: a single shuffle, no join of a
     members × months grid.
     """
-    low, high = month_bounds(monthly, pidx)
+    monthly = monthly.filter(F.col(pidx).isNotNull())
+    low, high = month_bounds(monthly if calendar is None else calendar, pidx)
     per_member = monthly.groupBy(*dims).agg(
         F.map_from_entries(F.collect_list(F.struct(pidx, F.struct(*values)))).alias("_by_month")
     )

@@ -245,11 +245,14 @@ def measure_table(
     members = rows.groupBy(*group).agg(*[F.expr(x) for x in sums])
 
     suffixes = [*windows, *(["all"] if unwindowed else [])]
-    if any(m.market for m in wanted.values()):
+    with_market = any(m.market for m in wanted.values())
+    if with_market:
         by = [g for g in group if g != company]
         members = with_totals(members, {f"m_{s}": f"s_{s}" for s in suffixes}, by)
     with_whole = any(m.whole for m in wanted.values())
-    if with_whole and field in FIELDS:
+    if with_whole and with_market and FIELDS.get(field) == company:  # the same totals
+        members = members.selectExpr("*", *[f"`m_{s}` AS `w_{s}`" for s in suffixes])
+    elif with_whole and field in FIELDS:
         by = [g for g in group if g != FIELDS[field]]
         members = with_totals(members, {f"w_{s}": f"s_{s}" for s in suffixes}, by)
     elif with_whole:
@@ -258,7 +261,9 @@ def measure_table(
     flags = {"_has_whole": F.lit(field in FIELDS)}
     if any(m.folder == POINTS for m in wanted.values()):
         compared = {m.windows[1] for m in wanted.values() if m.folder == POINTS}
-        flags |= {f"p_{w}": periods.loaded(calendar, blocks[w]) for w in compared}
+        found = periods.all_loaded(calendar, {f"p_{w}": blocks[w] for w in sorted(compared)})
+        members = members.withColumn("_loaded", found)
+        flags |= {f"p_{w}": F.col("_loaded")[f"p_{w}"] for w in compared}
     return members.withColumns(flags).selectExpr(
         *[f"`{g}`" for g in group], *[f"{m.sql} AS `{n}`" for n, m in wanted.items()]
     )

@@ -106,6 +106,12 @@ def loaded(calendar: DataFrame, months: Block) -> Column:
     return calendar.filter(months.condition()).selectExpr("COUNT(1) > 0").scalar()
 
 
+def all_loaded(calendar: DataFrame, blocks: dict[str, Block]) -> Column:
+    """``loaded`` for several blocks as one struct, from one reading of the calendar."""
+    flags = [F.coalesce(F.bool_or(F.expr(b.condition())), F.lit(False)).alias(n) for n, b in blocks.items()]
+    return calendar.agg(F.struct(*flags).alias("flags")).scalar()
+
+
 def anchor_in(calendar: DataFrame, period: int) -> int:
     """The period, or the greatest calendar period before it."""
     found = calendar.filter(F.col("period_id") <= period).agg(F.max("period_id")).first()[0]
@@ -181,14 +187,17 @@ def frame_sum(dims: list[str], kind: str, variant: str, value: str = "sales") ->
     )
 
 
-def all_anchors(df: DataFrame, dims: list[str], windows: list[tuple[str, str]], value: str = "value") -> DataFrame:
+def all_anchors(
+    df: DataFrame, dims: list[str], windows: list[tuple[str, str]], value: str = "value", calendar: DataFrame | None = None
+) -> DataFrame:
     """Every window for every month: ``dims, pidx, <kind>_<variant>…`` (0 where nothing was sold).
 
     Fact rows are summed to members × months first. The frames then run over
     one member's months at a time: their size follows the calendar, not the data.
+    With a ``calendar``, whose months the grid then has, the fact is read once.
     """
     monthly = df.groupBy(*dims, "pidx").agg(F.sum(value).alias("sales"))
-    grid = dense_months(monthly, dims, ["sales"]).withColumn("year", dates.year_of_pidx("pidx"))
+    grid = dense_months(monthly, dims, ["sales"], calendar=calendar).withColumn("year", dates.year_of_pidx("pidx"))
     # a decimal's zero, so that a sum keeps the type of the measure
     none = F.col("sales") * 0
     columns = {}

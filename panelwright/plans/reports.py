@@ -97,11 +97,13 @@ def breakdown_table(
 
 
 def with_total_row(report: DataFrame, dims: list[str], sums: list[str]) -> DataFrame:
-    """The report plus one total row (``is_total`` = 1, members NULL). The total is of the report's rows."""
+    """The report plus one total row at its end (``is_total`` = 1, members NULL). The total is of the report's rows."""
     body = report.select(*dims, *sums).withColumn("is_total", F.lit(0))
     nothing = {d: F.lit(None).cast(report.schema[d].dataType) for d in dims}
     total = report.agg(*[F.sum(s).alias(s) for s in sums]).withColumns(nothing)
-    return body.unionByName(total.withColumn("is_total", F.lit(1)))
+    both = body.unionByName(total.withColumn("is_total", F.lit(1)))
+    # sorted here, as a union loses the order of its parts
+    return both.orderBy("is_total", *[F.desc_nulls_last(s) for s in sums[:1]], *dims)
 
 
 def with_texts(report: DataFrame, numbers: list[str], percents: list[str]) -> DataFrame:
@@ -287,22 +289,30 @@ def ranked_market(market: DataFrame, sel: Selection, calendar: DataFrame, compan
 # ---- trends --------------------------------------------------------------------
 
 def _trend_months(market: DataFrame, field: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """Monthly sales of the top-k members over all periods, and the monthly market."""
-    monthly = market.groupBy(field, "pidx").agg(F.sum("value").alias("sales"))
+    """Monthly sales of the top-k members over all periods, and the monthly market, from one reading of the fact.
+
+    Ranking, market and members use the same aggregate by member and month, whose exchange is reused as long as none of
+    them pushes a filter below it. So rows without a month go beforehand, rows without a member sort last and are
+    dropped after the limit, and members are picked by an outer join whose misses are dropped, which stays above.
+    """
+    monthly = market.filter("pidx IS NOT NULL").groupBy(field, "pidx").agg(F.sum("value").alias("sales"))
     totals = monthly.groupBy(field).agg(F.sum("sales").alias("_all"))
-    # all three uses share the monthly aggregate, so none of them may push a filter on the member below it:
-    # rows without a member sort last and are dropped after the limit, and the semi join is null-safe
     best = totals.orderBy(F.expr(f"{field} IS NULL"), F.desc_nulls_last("_all"), field).limit(k)
-    best = best.filter(f"{field} IS NOT NULL").select(F.col(field).alias("_best"))
+    best = best.filter(f"{field} IS NOT NULL").select(F.col(field).alias("_best"), F.lit(True).alias("_picked"))
     whole = monthly.groupBy("pidx").agg(F.sum("sales").alias("market"))
     # at most k rows
-    return monthly.join(F.broadcast(best), F.expr(f"{field} <=> _best"), "left_semi"), whole
+    mine = monthly.join(F.broadcast(best), F.expr(f"{field} <=> _best"), "left").filter("COALESCE(_picked, false)")
+    return mine.drop("_best", "_picked"), whole
+
 
+def trend(market: DataFrame, field: str, k: int = 6, calendar: DataFrame | None = None) -> DataFrame:
+    """Top-k members by month: sales and share of the month's market. Missing months are 0.
 
-def trend(market: DataFrame, field: str, k: int = 6) -> DataFrame:
-    """Top-k members by month: sales and share of the month's market. Missing months are 0."""
+    The months are those of the ``calendar``, or without one those of the market.
+    """
     mine, whole = _trend_months(market, field, k)
-    bounds = whole.select(F.struct(F.min("pidx").alias("lo"), F.max("pidx").alias("hi"))).scalar()
+    months = whole if calendar is None else calendar
+    bounds = months.select(F.struct(F.min("pidx").alias("lo"), F.max("pidx").alias("hi"))).scalar()
     # at most k members: the grid is k × months
     filled = mine.groupBy(field).agg(
         F.map_from_entries(F.collect_list(F.struct("pidx", "sales"))).alias("_by_month")
@@ -319,11 +329,17 @@ def trend(market: DataFrame, field: str, k: int = 6) -> DataFrame:
     )
 
 
-def trend_matrix(market: DataFrame, field: str, period_ids: list[int], k: int = 6) -> DataFrame:
-    """Top-k members × periods."""
+def calendar_periods(calendar: DataFrame) -> list[int]:
+    """All periods from the calendar's first month to its last: the columns of a matrix, bounded by the calendar."""
+    low, high = calendar.agg(F.min("pidx"), F.max("pidx")).first()
+    return [] if low is None else [dates.from_pidx(p) for p in range(low, high + 1)]
+
+
+def trend_matrix(market: DataFrame, field: str, calendar: DataFrame, k: int = 6) -> DataFrame:
+    """Top-k members × all periods of the calendar."""
     mine, _ = _trend_months(market, field, k)
     wanted = mine.withColumn("period_id", dates.period_of_pidx("pidx"))
-    matrix = wanted.groupBy(field).pivot("period_id", period_ids).agg(F.sum("sales").cast("double"))
+    matrix = wanted.groupBy(field).pivot("period_id", calendar_periods(calendar)).agg(F.sum("sales").cast("double"))
     return matrix.fillna(0.0)
 
 

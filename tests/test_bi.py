@@ -333,7 +333,7 @@ def test_top_and_trend(market, calendar):
     for r in lines:
         assert r["sales"] == total([r["period_id"]], r["manufacturer"])
         assert r["share"] == pytest.approx(r["sales"] / total([r["period_id"]]))
-    matrix = reports.trend_matrix(market, "manufacturer", PERIODS[:3], k=2)
+    matrix = reports.trend_matrix(market, "manufacturer", calendar.filter("period_id <= 202203"), k=2)
     assert matrix.columns == ["manufacturer", *map(str, PERIODS[:3])]
 
 
@@ -391,3 +391,42 @@ def test_context(spark, calendar):
     labelled = star.context_series(fact, calendar)
     assert rows(labelled.select("period_name", "month_long"), "period_name")[0] == ("2022-01", "January")
     assert rows(reports.yearly_average(labelled)) == [(2022, 6.5), (2023, 7.5)]
+
+
+@pytest.fixture(scope="module")
+def undated(market):
+    """The market and rows whose period could not be read."""
+    return market.unionByName(market.limit(3).withColumns({"pidx": F.lit(None).cast("int"), "period_id": F.lit(None).cast("int")}))
+
+
+def test_rows_without_a_period_are_in_no_window(market, undated, calendar):
+    frames = [("L4M", "current"), ("YTD", "ly")]
+    for bounds in (None, calendar):
+        want = periods.all_anchors(market, ["manufacturer"], frames, calendar=bounds)
+        assert rows(periods.all_anchors(undated, ["manufacturer"], frames, calendar=bounds), "manufacturer", "pidx") == rows(want, "manufacturer", "pidx")
+        assert reports.trend(undated, "manufacturer", 2, bounds).collect() == reports.trend(market, "manufacturer", 2, bounds).collect()
+    assert rows(reports.trend_matrix(undated, "manufacturer", calendar, 2), "manufacturer") == rows(
+        reports.trend_matrix(market, "manufacturer", calendar, 2), "manufacturer")
+
+
+def scans(spark):
+    """Parquet scans of the last query, as it ran."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = store.executionsList().last()
+    nodes = store.planGraph(last.executionId()).allNodes()
+    return sum(nodes.apply(i).name().startswith("Scan parquet") for i in range(nodes.size()))
+
+
+def test_facts_are_read_once(spark, market, calendar, tmp_path):
+    market.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    for df in (reports.trend(fact, "manufacturer", 2, calendar), reports.trend_matrix(fact, "manufacturer", calendar, 2),
+               periods.all_anchors(fact, ["manufacturer"], [("L4M", "current")], calendar=calendar),
+               measures.measure_table(fact, ["manufacturer"], ["Market Share L4M", "BPS L4M", "%Peso L4M"], 202412, calendar, field="Compañía")):
+        df.collect()
+        assert scans(spark) == 1
+
+
+def test_trend_matrix_has_every_calendar_period(market, calendar):
+    assert reports.trend_matrix(market, "manufacturer", calendar, 2).columns == ["manufacturer", *map(str, PERIODS)]

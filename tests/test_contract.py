@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import workload
 from conftest import SF, plan
 from tools.compare import TABLES, compare
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = workload.QUERIES, workload.SQL
 SAMPLE = ["company_table", "kpi_parameter_42", "windows_all_anchors", "breakdown_channel", "reload_panel_a_milk",
           "load_panel_e_others", "load_panel_d_union", "product_or_join", "new_products_not_in", "derived_measures_tall",
           "dim_calendar_daily", "top6_trend", "monthly_yoy", "dq_referential", "format_es_columns"]
@@ -25,6 +26,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES) and len(QUERIES) > 150
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

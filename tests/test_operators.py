@@ -179,3 +179,15 @@ def test_hot_key_is_split_in_the_resolving_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_orphans_and_unlisted_members(spark):
+    from panelwright.plans import quality
+    from workload.star_view import COLUMNS
+
+    fact = inline_rows(spark, "k int, value double", [(1, 1.0), (1, 2.0), (9, 1.0), (None, -1.0)])
+    dim = inline_rows(spark, "d int", [(1,), (2,)])
+    got = dict(rows(quality.referential_report(fact, {"d": ("k", dim, "d")})))
+    assert got == {"orphan_d": 1, "null_k": 1, "null_value": 0, "negative_value": 1}
+    members = inline_rows(spark, "p_type string", [("ECONOMY",), ("STANDARD",), ("NEW",), (None,)])
+    assert [r[0] for r in rows(members.selectExpr(COLUMNS["category_id"][1]))] == [1, 6, 99, 99]

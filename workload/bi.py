@@ -289,7 +289,7 @@ ALL_FRAMES = [(k, v) for k, v in LONG_WINDOWS]
 
 def windows_all_anchors(spark, sf):
     market = wide(spark, sf, ["manufacturer", "pidx"])
-    out = periods.all_anchors(market, ["manufacturer"], ALL_FRAMES)
+    out = periods.all_anchors(market, ["manufacturer"], ALL_FRAMES, calendar=months(spark, sf))
     return out.select(
         "manufacturer", "pidx", *[F.col(f"{k}_{v}").cast("double").alias(f"{k}_{v}".lower()) for k, v in ALL_FRAMES]
     )
@@ -316,7 +316,7 @@ FROM g JOIN mo b ON b.manufacturer = g.manufacturer GROUP BY 1, 2""")
 
 def shares_all_anchors(spark, sf):
     market = wide(spark, sf, ["manufacturer", "pidx"])
-    out = periods.all_anchors(market, ["manufacturer"], [("L4M", "current"), ("L4M", "prev")])
+    out = periods.all_anchors(market, ["manufacturer"], [("L4M", "current"), ("L4M", "prev")], calendar=months(spark, sf))
     out = with_totals(out, {"tc": "L4M_current", "tp": "L4M_prev"}, ["pidx"])
     share, before = ratios.share("L4M_current", "tc"), ratios.share("L4M_prev", "tp")
     out = out.selectExpr("manufacturer", "pidx", f"{share} AS share", f"{before} AS share_prev",
@@ -681,7 +681,7 @@ add("ranked_market_table", ranked,
 
 # trends
 def trend(spark, sf, field):
-    return rounded(reports.trend(wide(spark, sf, [field, "pidx"]), field), sales=4, share=8)
+    return rounded(reports.trend(wide(spark, sf, [field, "pidx"]), field, calendar=months(spark, sf)), sales=4, share=8)
 
 
 def _sql_trend(field):
@@ -700,21 +700,19 @@ for field in ["manufacturer", "product", "sub_channel"]:
     add("top6_trend" if field == "manufacturer" else f"top6_trend_{field}",
         lambda spark, sf, field=field: trend(spark, sf, field), _sql_trend(field))
 
-ALL_PERIODS = [p for y in range(1995, 2002) for p in range(y * 100 + 1, y * 100 + 13) if p <= 200108]
-
-
 def matrix(spark, sf):
-    out = reports.trend_matrix(wide(spark, sf, ["manufacturer", "pidx"]), "manufacturer", ALL_PERIODS)
-    return out.select("manufacturer", *[F.round(F.col(f"`{p}`"), 4).alias(f"p{p}") for p in ALL_PERIODS])
+    out = reports.trend_matrix(wide(spark, sf, ["manufacturer", "pidx"]), "manufacturer", months(spark, sf))
+    return out.select("manufacturer", *[F.round(F.col(f"`{p}`"), 4).alias(f"p{p}") for p in out.columns[1:]])
 
 
-_cells = ", ".join(
-    f"round(coalesce(CAST(sum(value) FILTER (WHERE period_id = {p}) AS DOUBLE), 0), 4) AS p{p}" for p in ALL_PERIODS
-)
 add("trend_matrix_pivot", matrix, f"""
-WITH {sql_wide()},
-best AS (SELECT manufacturer, sum(value) AS v FROM wf GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 6)
-SELECT manufacturer, {_cells} FROM wf WHERE manufacturer IN (SELECT manufacturer FROM best) GROUP BY 1""")
+WITH {sql_wide()}, {SQL_CALENDAR},
+best AS (SELECT manufacturer FROM wf GROUP BY 1 ORDER BY sum(value) DESC, 1 LIMIT 6),
+spread AS (SELECT manufacturer, cal.pidx, 'p' || ((cal.pidx - 1) // 12 * 100 + (cal.pidx - 1) % 12 + 1) AS p
+           FROM best CROSS JOIN cal),
+cells AS (SELECT spread.manufacturer, spread.p, coalesce(CAST(sum(wf.value) AS DOUBLE), 0) AS v
+          FROM spread LEFT JOIN wf ON wf.manufacturer = spread.manufacturer AND wf.pidx = spread.pidx GROUP BY ALL)
+PIVOT cells ON p USING round(any_value(v), 4) GROUP BY manufacturer""")
 
 
 # segments

@@ -187,21 +187,18 @@ _SPARK_STAMP = "TIMESTAMP_NTZ '2020-01-01 00:00:00'"
 
 
 def daily(spark, sf):
-    """The daily calendar over the order dates, with the orders of each day."""
+    """The whole daily calendar, with the orders of each day."""
     orders = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("_day")).agg(
         F.count(F.lit(1)).alias("n_orders"))
-    limits = orders.select(F.struct(F.min("_day").alias("lo"), F.max("_day").alias("hi"))).scalar()
-    days = calendars.daily_calendar(spark, loaded_at=F.expr(_SPARK_STAMP)).withColumn("_l", limits)
-    inside = days.filter("DAT_COD BETWEEN _l.lo AND _l.hi").drop("_l")
-    return inside.join(orders, F.col("DAT_COD") == F.col("_day"), "left").drop("_day").withColumn(
+    days = calendars.daily_calendar(spark, loaded_at=F.expr(_SPARK_STAMP))
+    return days.join(orders, F.col("DAT_COD") == F.col("_day"), "left").drop("_day").withColumn(
         "n_orders", F.coalesce("n_orders", F.lit(0)).cast("bigint"))
 
 
 add("dim_calendar_daily", daily, f"""
 WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
-c AS (SELECT CAST(g AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2070-12-31',
-  INTERVAL 1 DAY)) AS g) AS s),
-k AS (SELECT d FROM c WHERE d BETWEEN (SELECT min(day) FROM o) AND (SELECT max(day) FROM o))
+k AS (SELECT CAST(g AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2070-12-31',
+  INTERVAL 1 DAY)) AS g) AS s)
 SELECT d AS DAT_COD, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DAT_KEY, CAST(strftime(d, '%Y%m') AS INTEGER) AS PER_KEY,
   CAST(year(d) AS INTEGER) AS YEA_COD, CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS SEM_COD,
   CASE WHEN month(d) <= 4 THEN 1 WHEN month(d) <= 8 THEN 2 ELSE 3 END AS QUA_COD, CAST(quarter(d) AS INTEGER) AS QUA_DSC,
@@ -255,13 +252,12 @@ WITH {SQL_CALENDAR} SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quart
 # ---- quality ----------------------------------------------------------------------------
 
 def dq(spark, sf):
-    """Referential checks of the lines; the parts checked are those of small size only, so orphans do occur."""
-    small = table(spark, sf, "part").filter("p_size <= 40")
+    """Referential checks of the lines against whole dimensions."""
     return quality.referential_report(
         table(spark, sf, "lineitem"),
         {
             "order": ("l_orderkey", table(spark, sf, "orders"), "o_orderkey"),
-            "part": ("l_partkey", small, "p_partkey"),
+            "part": ("l_partkey", table(spark, sf, "part"), "p_partkey"),
             "supplier": ("l_suppkey", table(spark, sf, "supplier"), "s_suppkey"),
         },
         "l_quantity",
@@ -270,7 +266,7 @@ def dq(spark, sf):
 
 _checks = []
 for _n, _k, _d in [("order", "l_orderkey", "SELECT o_orderkey FROM orders"),
-                   ("part", "l_partkey", "SELECT p_partkey FROM part WHERE p_size <= 40"),
+                   ("part", "l_partkey", "SELECT p_partkey FROM part"),
                    ("supplier", "l_suppkey", "SELECT s_suppkey FROM supplier")]:
     _checks.append(f"SELECT 'orphan_{_n}' AS check_name, count(*) AS rows_failing FROM lineitem "
                    f"WHERE {_k} IS NOT NULL AND {_k} NOT IN ({_d})")

@@ -18,7 +18,9 @@ SALES_TYPES = ["F", "O", "P"]
 
 
 def _position(c: str, values: list[str]) -> str:
-    return f"CAST(array_position(array({', '.join(repr(v) for v in values)}), {c}) AS INT)"
+    """A listed member's number; 99 for others, as in all lookups."""
+    place = f"array_position(array({', '.join(repr(v) for v in values)}), {c})"
+    return f"CAST(COALESCE(NULLIF({place}, 0), 99) AS INT)"
 
 
 FORMAT = ("CASE WHEN p_size <= 10 THEN '1kg' WHEN p_size <= 20 THEN '500g' WHEN p_size <= 30 THEN '250ml' "
@@ -213,7 +215,7 @@ SQL_VALUES = {"Volumen Kg": SQL_KG, "Valor €": SQL_NET, "Unidades": SQL_UNITS,
 
 
 def _sql_position(c: str, values: list[str]) -> str:
-    return "CASE " + c + " " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(values, 1)) + " END"
+    return "CASE " + c + " " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(values, 1)) + " ELSE 99 END"
 
 
 SQL_COLUMNS = {
