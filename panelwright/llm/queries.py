@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, suffix_dedup
+from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, sharding, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,12 @@ def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(F.col("id").alias("doc_id"), *[count(k) for k in pii.BASE],
                         F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+@query("op9_lookup_sharding")
+def op9_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.placed(docs, SHARDS, carry=False).select("doc.doc_id", "slot", "shard")
