@@ -48,3 +48,8 @@ def test_query_matches_sql(spark, duck, name):
 def test_plans_have_no_cross_joins(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
+
+
+@pytest.mark.parametrize("name", ["kpi_card_l6m", "window_comparison", "bps_by_window", "monthly_yoy", "segment_table", "dynamic_report"])
+def test_windows_reach_the_scan(spark, name):
+    assert "GreaterThanOrEqual(o_orderdate" in plan(QUERIES[name](spark, SF))

@@ -401,6 +401,16 @@ def selection(kind: str = "L4M", anchor: int = ANCHOR) -> periods.Selection:
     return periods.resolve([anchor // 100], [anchor % 100], kind)
 
 
+def spanned(sel: periods.Selection) -> tuple[int, int]:
+    """The months from a selection's first to its last."""
+    return min(sel.current.first, sel.previous.first), max(sel.current.last, sel.previous.last)
+
+
+def two_years(anchor: int) -> tuple[int, int]:
+    """The months that the windows of an anchor can reach."""
+    return idx(anchor) - 23, idx(anchor)
+
+
 def company_table(spark: SparkSession, sf: str, kind: str = "L4M", anchor: int = ANCHOR) -> DataFrame:
     market = wide(spark, sf, ["manufacturer", "pidx"])
     out = reports.company_table(market, selection(kind, anchor), months(spark, sf))
@@ -499,7 +509,7 @@ for name, years, chosen in [
 
 # cards
 def card(spark, sf, anchor=ANCHOR):
-    market = wide(spark, sf, ["manufacturer", "pidx"])
+    market = wide(spark, sf, ["manufacturer", "pidx"], months=two_years(anchor))
     out = reports.kpi_card(market, COMPANY, anchor, months(spark, sf))
     return rounded(out, sales=4, sales_prev=4, diff=4, pct_diff=8, share_month=8)
 
@@ -523,8 +533,9 @@ SELECT '{_span_text('L6M-1')}' AS label_prev, '{_span_text('L6M')}' AS label, ro
 
 
 def card_multi(spark, sf):
-    market = wide(spark, sf, ["manufacturer", "pidx"])
-    out = reports.kpi_card_selection(market, COMPANY, periods.resolve([1999, 2000], [3, 4, 9]), months(spark, sf))
+    sel = periods.resolve([1999, 2000], [3, 4, 9])
+    market = wide(spark, sf, ["manufacturer", "pidx"], months=spanned(sel))
+    out = reports.kpi_card_selection(market, COMPANY, sel, months(spark, sf))
     return rounded(out, sales=4, sales_prev=4, diff=4, pct_diff=8, share=8, bps=4)
 
 
@@ -542,7 +553,8 @@ SELECT round(p, 4) AS sales_prev, round(c, 4) AS sales, round(c - p, 4) AS diff,
 
 
 def comparison(spark, sf, anchor=ANCHOR):
-    out = reports.window_comparison(wide(spark, sf, ["manufacturer", "pidx"]), COMPANY, anchor, months(spark, sf))
+    out = reports.window_comparison(
+        wide(spark, sf, ["manufacturer", "pidx"], months=two_years(anchor)), COMPANY, anchor, months(spark, sf))
     return rounded(out, sales=4, sales_prev=4, share=8, share_prev=8, bps=4)
 
 
@@ -566,7 +578,8 @@ SELECT position, kind, round(c, 4) AS sales, round(p, 4) AS sales_prev, round(sc
   round(sp, 8) AS share_prev, round(bps, 4) AS bps, hp AS has_prior FROM b""")
 add("bps_by_window",
     lambda spark, sf: rounded(
-        reports.bps_by_window(wide(spark, sf, ["manufacturer", "pidx"]), COMPANY, 199507, months(spark, sf)), bps=4),
+        reports.bps_by_window(wide(spark, sf, ["manufacturer", "pidx"], months=two_years(199507)), COMPANY, 199507,
+                              months(spark, sf)), bps=4),
     _sql_comparison(199507) + """SELECT kind, round(bps, 4) AS bps, hp AS has_prior,
   CASE WHEN NOT hp THEN 'none' WHEN bps > 0 THEN 'up' WHEN bps < 0 THEN 'down' ELSE 'flat' END AS trend FROM b""")
 
@@ -608,7 +621,8 @@ SELECT round(comp_cur, 4) AS comp_cur, round(ms_cur, 8) AS ms_cur, round(ms_prev
 
 
 def yoy(spark, sf, year=1996):
-    out = reports.monthly_yoy(wide(spark, sf, ["manufacturer", "pidx"]), COMPANY, year, months(spark, sf))
+    out = reports.monthly_yoy(
+        wide(spark, sf, ["manufacturer", "pidx"], months=two_years(year * 100 + 12)), COMPANY, year, months(spark, sf))
     return rounded(out, sales=4, sales_prev=4, share=8, share_prev=8, bps=4)
 
 
@@ -739,7 +753,7 @@ a AS (SELECT category, {fsum('L4M')} AS c, {fsum('L4M-1')} AS p FROM wf WHERE ca
 t AS (SELECT sum(c) AS tc, sum(p) AS tp FROM a)
 """
 add("segment_table",
-    lambda spark, sf: rounded(reports.segment_table(wide(spark, sf, ["category", "pidx"]), selection()),
+    lambda spark, sf: rounded(reports.segment_table(wide(spark, sf, ["category", "pidx"], months=spanned(selection())), selection()),
                               cur=4, prev=4, growth=4, pct_growth=8, bps=4),
     _sql_segment + """SELECT category, round(c, 4) AS cur, round(p, 4) AS prev, round(c - coalesce(p, 0), 4) AS growth,
   round(CASE WHEN p IS NULL OR p = 0 THEN NULL ELSE c / p - 1 END, 8) AS pct_growth,
@@ -747,14 +761,15 @@ add("segment_table",
 FROM a CROSS JOIN t WHERE c > 0""")
 add("segment_long",
     lambda spark, sf: rounded(
-        reports.segment_long(wide(spark, sf, ["category", "pidx"]), selection(), "L4M"), sales=4),
+        reports.segment_long(wide(spark, sf, ["category", "pidx"], months=spanned(selection())), selection(), "L4M"), sales=4),
     _sql_segment + """SELECT category, 'L4M' AS period, round(c, 4) AS sales FROM a WHERE c > 0 UNION ALL
 SELECT category, 'L4M-1', round(p, 4) FROM a WHERE c > 0""")
 
 
 # dynamic report
 def dynamic(spark, sf, dims, kind="L4M", total=False):
-    out = reports.dynamic_report(wide(spark, sf, [*dims, "pidx"]), dims, selection(kind))
+    out = reports.dynamic_report(
+        wide(spark, sf, [*dims, "pidx"], months=spanned(selection(kind))), dims, selection(kind))
     if total:
         out = reports.with_total_row(out, dims, ["sales"])
     return rounded(out, sales=4)

@@ -67,8 +67,15 @@ def _exact(ten_thousandths: str) -> str:
     return f"CAST({ten_thousandths} * {TEN_THOUSANDTH} AS DECIMAL(18,4))"
 
 
+def _in_months(months: tuple[int, int]) -> str:
+    """A month range as a range of order dates, which reaches the scan's row-group statistics."""
+    (y, m), (v, n) = (divmod(p - 1, 12) for p in (months[0], months[1] + 1))
+    return (f"o_orderdate >= TIMESTAMP_NTZ '{y:04d}-{m + 1:02d}-01 00:00:00' "
+            f"AND o_orderdate < TIMESTAMP_NTZ '{v:04d}-{n + 1:02d}-01 00:00:00'")
+
+
 def lines(spark: SparkSession, sf_dir: str, columns: list[str], values: dict[str, str],
-          with_format: bool = False) -> DataFrame:
+          with_format: bool = False, months: tuple[int, int] | None = None) -> DataFrame:
     """Lines with star columns and line values.
 
     Every table derives its columns before the join: dates are taken apart once
@@ -83,7 +90,10 @@ def lines(spark: SparkSession, sf_dir: str, columns: list[str], values: dict[str
         by_table.setdefault("part", []).extend([f"{FORMAT} AS _format", "p_size AS _size"])
 
     def side(name: str, *keys: str) -> DataFrame:
-        return table(spark, sf_dir, name).selectExpr(*keys, *by_table.get(name, []))
+        rows = table(spark, sf_dir, name)
+        if name == "orders" and months is not None:
+            rows = rows.filter(_in_months(months))
+        return rows.selectExpr(*keys, *by_table.get(name, []))
 
     keys = ["l_orderkey", "l_partkey", "l_suppkey"]
     rows = table(spark, sf_dir, "lineitem").selectExpr(
@@ -108,13 +118,15 @@ def lines(spark: SparkSession, sf_dir: str, columns: list[str], values: dict[str
     return rows
 
 
-def wide(spark: SparkSession, sf_dir: str, columns: list[str], metric: str = "Valor €") -> DataFrame:
-    """Fact rows of one metric with the asked columns and ``value``."""
+def wide(spark: SparkSession, sf_dir: str, columns: list[str], metric: str = "Valor €",
+         months: tuple[int, int] | None = None) -> DataFrame:
+    """Fact rows of one metric with the asked columns and ``value``; of a range of months only, if given (the columns
+    then include one of the period)."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
     derived = metric in ("Unidades", "Volumen L")
     source = {"value": NET if metric == "Valor €" else KG}
-    rows = lines(spark, sf_dir, columns, source, with_format=derived)
+    rows = lines(spark, sf_dir, columns, source, with_format=derived, months=months)
     exact = F.expr(_exact("value"))
     if metric == "Unidades":
         exact = star.derived_units(exact, star.unit_weight("_format")).cast("decimal(18,4)")
