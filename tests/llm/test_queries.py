@@ -14,7 +14,8 @@ from . import brute
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_twin(spark, sf, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     got = queries.QUERIES[name](spark, sf)
     want = db.execute(queries.SQL[name]).fetchdf()
     order = sorted(got.columns)
