@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelwright.functions import dates
 from panelwright.plans import calendars, measures, quality, reports, star
 
-from .registry import add, rounded, table
+from .registry import add, table
 from .star_view import (
-    CATEGORIES, SALES_TYPES, SEGMENTS, SQL_CALENDAR, SQL_COLUMNS, SQL_FORMAT, SQL_FROM, SQL_KG, SQL_LITRES, SQL_NET,
-    SQL_UNITS, calendar, categories, dims, fact, mart, products, sql_wide, wide,
+    SQL_CALENDAR, SQL_COLUMNS, SQL_FORMAT, SQL_FROM, SQL_KG, SQL_LITRES, SQL_NET, SQL_UNITS, calendar, categories, dims,
+    fact, mart, sql_wide, wide,
 )
 
 KEYS = ["period_id", "product_id", "channel_id", "sales_type_id", "category_id", "product_pack"]
