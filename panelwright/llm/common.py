@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -47,3 +48,18 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, without their lineage; they outlive a lost executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def groups(batches, keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
+    """Rows that follow each other with the same key. A key's rows are few: callers split large keys beforehand."""
+    key, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            this = tuple(row[k] for k in keys)
+            if this != key:
+                if rows:
+                    yield key, rows
+                key, rows = this, []
+            rows.append(row)
+    if rows:
+        yield key, rows

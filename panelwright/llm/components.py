@@ -8,8 +8,9 @@ from .common import cut
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
-    """(u, m): the smallest of u and its neighbours."""
-    return edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
+    """(u, m): the smallest of u and its neighbours. Written, so that the join with the edges exchanges both sides and
+    Spark can split a node with very many neighbours."""
+    return cut(edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")))
 
 
 def components(links: DataFrame) -> DataFrame:

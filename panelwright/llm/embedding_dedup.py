@@ -21,9 +21,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, cut
+from .common import column, cut, groups
 from .components import components
-from .hyperminhash import _groups
 
 TABLES, HASHES, CELL, BLOCK, SEED = 32, 14, 2.2, 1024, 7
 
@@ -84,7 +83,7 @@ def _compare(threshold: float):
             columns = list(zip(*out)) if out else [()] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.binary(), pa.int64()])], ["node", "root", "n"])
 
-        for (table, _, i, j), rows in _groups(batches, ["table", "bucket", "i", "j"]):
+        for (table, _, i, j), rows in groups(batches, ["table", "bucket", "i", "j"]):
             if len(rows) > 1:
                 size = len(rows[0]["vector"])
                 rows = [r for r in rows if len(r["vector"]) == size] if any(len(r["vector"]) != size for r in rows) else rows

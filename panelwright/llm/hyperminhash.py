@@ -20,14 +20,12 @@ are all kept. Extra columns take no part. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, cut, text_or_empty
+from .common import column, cut, groups, text_or_empty
 from .components import components
 from .shingles import mixed, shingle_sets
 
@@ -114,21 +112,6 @@ def _likely(threshold: float):
     return run
 
 
-def _groups(batches, keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Rows that follow each other with the same key. A key's rows are few: callers split large keys beforehand."""
-    key, rows = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            this = tuple(row[k] for k in keys)
-            if this != key:
-                if rows:
-                    yield key, rows
-                key, rows = this, []
-            rows.append(row)
-    if rows:
-        yield key, rows
-
-
 def _open_pairs(rows: list[dict], codes: np.ndarray, i: int, j: int, band: int, threshold: float) -> tuple[np.ndarray, ...]:
     """Likely pairs of a block whose sides are in different components and whose first common band is this one; their
     numbers in rows and the estimates."""
@@ -157,7 +140,7 @@ def _across(threshold: float):
     names = ["band", "i", "j", "b", "block", "node", "comp"]
 
     def run(batches):
-        for (_, i, j), rows in _groups(batches, ["band", "i", "j"]):
+        for (_, i, j), rows in groups(batches, ["band", "i", "j"]):
             codes = np.stack([np.frombuffer(r["code"], np.uint16) for r in rows])
             x, y, _ = _open_pairs(rows, codes, i, j, rows[0]["b"], threshold)
             met = [rows[k] for k in np.union1d(x, y).tolist()]
@@ -176,10 +159,21 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def _partners(mine: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the other sets are similar enough, all counted at once."""
+    sizes = np.array([len(s) for s in others])
+    flat = np.concatenate(others)
+    at = np.searchsorted(mine, flat)
+    at[at == len(mine)] = 0
+    common = np.add.reduceat((mine[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= percent * (len(mine) + sizes - common)
+
+
 def _join(percent: int):
-    """Within a block of full sets: links between components, most similar first; what is joined already is passed by."""
+    """Within a block of full sets: links between components. Pairs estimated above the threshold come first, the most
+    similar leading; then each member meets the rest of its likely partners together. What is joined is passed by."""
     def run(batches):
-        for (_, i, j), rows in _groups(batches, ["band", "i", "j"]):
+        for (_, i, j), rows in groups(batches, ["band", "i", "j"]):
             sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
             for r, s in zip(rows, sets):
                 r["n"] = len(s)
@@ -193,13 +187,29 @@ def _join(percent: int):
                 return c
 
             a, b = [], []
-            for k in np.argsort(-agree.astype(np.int16), kind="stable").tolist():
+
+            def link(p: int, q: int) -> None:
+                parent[top(rows[p]["comp"])] = top(rows[q]["comp"])
+                a.append(rows[p]["node"])
+                b.append(rows[q]["node"])
+
+            def apart(p: int, q: int) -> bool:
+                small, large = sorted((len(sets[p]), len(sets[q])))
+                return 100 * small >= percent * large and top(rows[p]["comp"]) != top(rows[q]["comp"])
+
+            order = np.argsort(-agree.astype(np.int16), kind="stable")
+            for k in order[estimated(agree[order]) >= percent / 100].tolist():
                 p, q = int(x[k]), int(y[k])
-                u, v = top(rows[p]["comp"]), top(rows[q]["comp"])
-                if u != v and _similar(sets[p], sets[q], percent):
-                    parent[u] = v
-                    a.append(rows[p]["node"])
-                    b.append(rows[q]["node"])
+                if apart(p, q) and _similar(sets[p], sets[q], percent):
+                    link(p, q)
+            starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else []
+            for at, end in zip(starts, [*starts[1:], len(x)]):
+                p = int(x[at])
+                others = [q for q in y[at:end].tolist() if apart(p, q)]
+                if others:
+                    for q, similar in zip(others, _partners(sets[p], [sets[q] for q in others], percent).tolist()):
+                        if similar and top(rows[p]["comp"]) != top(rows[q]["comp"]):
+                            link(p, q)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
     return run
@@ -282,7 +292,8 @@ class Search:
         """(b, band, node, hub, size): the rows of buckets with two or more nodes."""
         bands = self.nodes.where("code is not null").select("node", F.posexplode(F.array(*[
             F.xxhash64(F.lit(b), F.substring("code", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("b", "band"))
-        shared = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
+        # Written, so that the join exchanges both sides and Spark can split a large bucket.
+        shared = cut(bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1"))
         return cut(bands.join(shared, "band"))
 
     def likely(self, pairs: DataFrame) -> DataFrame:

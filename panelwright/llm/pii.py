@@ -16,7 +16,6 @@ itself. Ties between decodings go to fewer spans. An empty table gives an empty
 from __future__ import annotations
 
 import functools
-import math
 import random
 import re
 

@@ -22,8 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, cut, text_or_empty
-from .hyperminhash import _groups
+from .common import column, cut, groups, text_or_empty
 from .shingles import _BYTE, _PLACE, mixed, pieces
 from .suffix_sort import shared
 
@@ -166,7 +165,7 @@ def _sort(length: int):
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), _SPANS])], ["gram", "run", "spans"])
 
-        for (gram,), group in _groups(batches, ["gram"]):
+        for (gram,), group in groups(batches, ["gram"]):
             lefts = [r["bytes"][: r["at"]][::-1] for r in group]
             rights = [r["bytes"][r["at"]:] for r in group]
             for r, extents in zip(group, shared(lefts, rights, length)):

@@ -1,7 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, against brute force."""
 
 import collections
-import hashlib
 
 import numpy as np
 import pytest
