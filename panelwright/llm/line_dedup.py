@@ -197,8 +197,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     if min_docs < 2 or keep not in ("none", "first"):
         raise ValueError("min_docs is 2 or more, keep is none or first")
     found = cut(suspects(docs, id_col, text_col, most_filter_bytes))
-    confirmed = found.groupBy("digest").agg(
-        F.count_distinct(F.struct("id")).alias("n"), F.min(F.struct("id")).alias("first")).where(F.col("n") >= min_docs)
+    # Written, so that the join exchanges both sides and Spark can split a line that a third of the documents have.
+    confirmed = cut(found.groupBy("digest").agg(
+        F.count_distinct(F.struct("id")).alias("n"), F.min(F.struct("id")).alias("first")).where(F.col("n") >= min_docs))
     first = (F.col("f.id").eqNullSafe(F.col("c.first.id"))) if keep == "first" else F.lit(False)
     lines = found.alias("f").join(confirmed.alias("c"), "digest").select("f.id", "digest", first.alias("stays"))
     per_doc = lines.groupBy("id").agg(
