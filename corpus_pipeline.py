@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates."""
+    """Keep the document with the smallest id of each group of near-duplicates (85 % of five-word shingles in common)."""
     return hyperminhash.one_of_each(docs)
 
 

@@ -10,8 +10,10 @@ with one hub only; in the second, members that the found links left in different
 with their sets if a likely partner is there, and a block passes on only links that join something. So no link between
 components is skipped, and no list of a group's pairs is ever made.
 
-A pair at the threshold of 85 % is missed by all 21 bands of six registers with a probability of 5e-5, one at 90 % with
-1e-7. Sets of fewer than six shingles can only reach the threshold when equal, and equal sets need no search.
+The bands follow from the threshold: they are as long as leaves a pair at it a probability below 5e-5 to be missed by all
+(below about 7 %, bands of one register miss more). For 85 % these are 21 bands of six registers, which miss a pair at
+90 % with 1e-7; for 80 % they are 25 of five. Sets of very few shingles (fewer than six for 85 %, than four for 80 %) can
+only reach the threshold when equal, and equal sets need no search.
 
 Cases: a text without words (or null) has no set and no links. Rows that repeat are copies of each other. Ids may be
 null or repeat: a component's id is its smallest id that is not null; rows of a component without any id keep null and
@@ -30,8 +32,9 @@ from .components import components
 from .shingles import mixed, shingle_sets
 
 BUCKET_BITS, MANTISSA_BITS = 7, 10
-BANDS, ROWS = 21, 6
-REGISTERS = BANDS * ROWS
+REGISTERS = 126
+#: The most that bands may miss of the pairs at the threshold.
+MISSED = 5e-5
 EMPTY = np.uint16(0xFFFF)
 #: The chance that registers of different minima agree: equal leading zeros (1/3) and equal mantissa bits.
 CHANCE = 1 / (3 << MANTISSA_BITS)
@@ -41,6 +44,13 @@ SPOKES, BLOCK = 1000, 1024
 _donors = (mixed(np.arange(64 * (1 << BUCKET_BITS), dtype=np.uint64)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64).reshape(64, -1)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, registers in each) for a threshold."""
+    missed = lambda rows: (1 - (percent / 100) ** rows) ** (REGISTERS // rows)
+    rows = max((r for r in range(1, REGISTERS + 1) if missed(r) <= MISSED), default=1)
+    return REGISTERS // rows, rows
+
+
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """A row of registers per set (sorted distinct hashes). Empty registers borrow from others, in a fixed order."""
     size, rest_bits = 1 << BUCKET_BITS, np.uint64(64 - BUCKET_BITS)
@@ -112,15 +122,16 @@ def _likely(threshold: float):
     return run
 
 
-def _open_pairs(rows: list[dict], codes: np.ndarray, i: int, j: int, band: int, threshold: float) -> tuple[np.ndarray, ...]:
+def _open_pairs(rows: list[dict], codes: np.ndarray, i: int, j: int, band: int, percent: int) -> tuple[np.ndarray, ...]:
     """Likely pairs of a block whose sides are in different components and whose first common band is this one; their
     numbers in rows and the estimates."""
     block = np.array([r["block"] for r in rows])
     left, right = (np.flatnonzero(block == x) for x in (i, j))
     a, b = codes[left], codes[right]
     agree, fresh = np.zeros((len(a), len(b)), np.uint8), np.ones((len(a), len(b)), bool)
-    for t in range(BANDS):
-        same = [a[:, r, None] == b[None, :, r] for r in range(ROWS * t, ROWS * (t + 1))]
+    length = banding(percent)[1]
+    for t, at in enumerate(range(0, REGISTERS, length)):  # registers left over come last and count as well
+        same = [a[:, r, None] == b[None, :, r] for r in range(at, min(at + length, REGISTERS))]
         for x in same:
             agree += x
         if t < band:
@@ -128,21 +139,21 @@ def _open_pairs(rows: list[dict], codes: np.ndarray, i: int, j: int, band: int,
     names: dict[bytes, int] = {}
     comp, n = np.array([names.setdefault(r["comp"], len(names)) for r in rows]), np.array([r["n"] for r in rows])
     fresh &= comp[left][:, None] != comp[right][None, :]
-    fresh &= likely(agree, np.minimum(n[left][:, None], n[right][None, :]), threshold)
+    fresh &= likely(agree, np.minimum(n[left][:, None], n[right][None, :]), percent / 100)
     if i == j:
         fresh &= left[:, None] < right[None, :]
     x, y = np.nonzero(fresh)
     return left[x], right[y], agree[x, y]
 
 
-def _across(threshold: float):
+def _across(percent: int):
     """The members of a block that have a likely partner there."""
     names = ["band", "i", "j", "b", "block", "node", "comp"]
 
     def run(batches):
         for (_, i, j), rows in groups(batches, ["band", "i", "j"]):
             codes = np.stack([np.frombuffer(r["code"], np.uint16) for r in rows])
-            x, y, _ = _open_pairs(rows, codes, i, j, rows[0]["b"], threshold)
+            x, y, _ = _open_pairs(rows, codes, i, j, rows[0]["b"], percent)
             met = [rows[k] for k in np.union1d(x, y).tolist()]
             if met:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -177,7 +188,7 @@ def _join(percent: int):
             sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
             for r, s in zip(rows, sets):
                 r["n"] = len(s)
-            x, y, agree = _open_pairs(rows, registers(sets), i, j, rows[0]["b"], percent / 100)
+            x, y, agree = _open_pairs(rows, registers(sets), i, j, rows[0]["b"], percent)
             parent = {r["comp"]: r["comp"] for r in rows}
 
             def top(c: bytes) -> bytes:
@@ -281,7 +292,7 @@ class Search:
         text = text_or_empty(text_col)
         self.texts = docs.select(column(id_col).alias("id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("text"))
         kind = self.texts.schema["id"].dataType.simpleString()
-        least = percent // (100 - percent) + 1  # below, one shingle more or less is already too much
+        least = -(-percent // (100 - percent))  # below, one shingle more or less is already too much
         self.rows = cut(self.texts.mapInArrow(
             _sketch(k, least), f"id {kind}, tid bigint, n bigint, node binary, code binary"))
         self.nodes = cut(self.rows.where("node is not null").groupBy("node").agg(
@@ -290,8 +301,9 @@ class Search:
 
     def members(self) -> DataFrame:
         """(b, band, node, hub, size): the rows of buckets with two or more nodes."""
+        n, length = banding(self.percent)
         bands = self.nodes.where("code is not null").select("node", F.posexplode(F.array(*[
-            F.xxhash64(F.lit(b), F.substring("code", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("b", "band"))
+            F.xxhash64(F.lit(b), F.substring("code", 2 * length * b + 1, 2 * length)) for b in range(n)])).alias("b", "band"))
         # Written, so that the join exchanges both sides and Spark can split a large bucket.
         shared = cut(bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1"))
         return cut(bands.join(shared, "band"))
@@ -333,7 +345,7 @@ class Search:
             "b", "band", "node", "comp", "block", "n", "code", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
         met = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
         place = "band bigint, i bigint, j bigint, b int, block bigint"
-        partners = cut(met.mapInArrow(_across(self.percent / 100), f"{place}, node binary, comp binary"))
+        partners = cut(met.mapInArrow(_across(self.percent), f"{place}, node binary, comp binary"))
         asked = partners.groupBy("node").agg(F.collect_list(F.struct("band", "i", "j", "b", "block", "comp")).alias("asked"))
         sets = self.asked_texts(asked).mapInArrow(_send_to_blocks(self.k), f"{place}, comp binary, node binary, set binary")
         met = sets.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")

@@ -87,6 +87,27 @@ def test_hyperminhash_chain_in_blocks(spark, monkeypatch):
     assert bag(got.collect()) == bag(brute.near_duplicates(rows))
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_hyperminhash_at_the_threshold(spark, percent):
+    """Pairs at and around the threshold, of sets down to the smallest that can reach it."""
+    rows = []
+    for n in (4, 5, 6, 8, 19, 20, 40, 100, 300):
+        for extra in range(n + 1):
+            if extra in (0, 1, 2) or abs(100 * n - percent * (n + extra)) < 400:
+                words = [f"p{n}.{extra}.{k}" for k in range(n + 4 + extra)]
+                rows += [(len(rows), " ".join(words[:n + 4])), (len(rows) + 1, " ".join(words))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = hyperminhash.near_duplicates(frame, percent=percent).select("id", "n_shingles", "component_id", "kept")
+    assert bag(got.collect()) == bag(brute.near_duplicates(rows, percent))
+
+
+def test_bands_follow_from_the_threshold():
+    assert hyperminhash.banding(85) == (21, 6) and hyperminhash.banding(80) == (25, 5)
+    for percent in range(8, 100):
+        bands, length = hyperminhash.banding(percent)
+        assert bands * length <= hyperminhash.REGISTERS and (1 - (percent / 100) ** length) ** bands <= 5e-5
+
+
 @pytest.mark.parametrize("most_runs", [20_000, 1])
 def test_suffix_dedup(docs, empty, most_runs):
     got = suffix_dedup.remove_repeats(docs, length=200, most_runs=most_runs)
