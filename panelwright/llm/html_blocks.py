@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import collections
 import html
 import re
 from dataclasses import dataclass
 
 # Element lists of the HTML standard.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr "
+                   # Formulas and embedded objects are text of the line they stand in; their content is kept.
+                   "object param source track math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom "
+                   "mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd mlabeledtr "
+                   "maction semantics annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template title textarea svg iframe object canvas math audio video select".split())
+#: Without a closing tag, these run to the end of the page.
+RAW = frozenset("script style title textarea iframe".split())
+SILENT = RAW | frozenset("noscript template svg canvas audio video select".split())
 #: Start tags that end an open element: each of these by itself, any block by p.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset({"table", "ul", "ol", "dl", "body", "html"})
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -34,9 +42,41 @@ def _words(attributes: str) -> frozenset[str]:
     return frozenset(w.lower() for m in _NAMES.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or ""))
 
 
+def _silent(page: str) -> dict[int, int]:
+    """Where silent elements begin and end. One that is not closed before an element around it (RAW apart) is left out, so
+    that the text after its tag is not lost."""
+    out: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    depth: collections.Counter = collections.Counter()
+    at = 0
+    while (m := _MARKUP.search(page, at)) is not None:
+        at = m.end()
+        name = m[2].lower() if m[2] else None
+        if name is None or name in INLINE or name in VOID:
+            continue
+        if m[1]:
+            while depth[name]:
+                tag, start = open_.pop()
+                depth[tag] -= 1
+                if tag == name:
+                    if name in SILENT:
+                        out[start] = at
+                    break
+        elif name in SILENT and m[3].endswith("/"):
+            continue
+        elif name in RAW and not depth["svg"]:
+            end = _ENDS[name].search(page, at)
+            out[m.start()] = at = end.end() if end else len(page)
+        else:
+            open_.append((name, m.start()))
+            depth[name] += 1
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """All leaf blocks with text, in page order. White space is one space; character references are decoded; what ends
-    with the page counts as closed there."""
+    with the page counts as closed there. Silent elements are passed over and end no block."""
+    silent = _silent(page)
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = []
     parts: list[str] = []
@@ -75,6 +115,10 @@ def blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         name, ends = m[2].lower(), bool(m[1])
+        if name in SILENT:
+            if not ends:
+                at = silent.get(m.start(), at)
+            continue
         if name in INLINE:
             if name == "a":
                 links = max(0, links - 1) if ends else 1
@@ -87,10 +131,6 @@ def blocks(page: str) -> list[Block]:
             if any(tag == name for tag, _ in stack):
                 while stack.pop()[0] != name:
                     pass
-        elif name in SILENT:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
         elif name not in VOID:
             if stack and stack[-1][0] == "p":
                 stack.pop()

@@ -6,7 +6,8 @@ labels a page's blocks together. It is trained here, by maximum likelihood, on l
 writes in several layouts; ``train`` takes any others.
 
 Cases: a null or empty page, and one without text, gives an empty text. Broken and cut-off markup is read as browsers
-do, as far as blocks go. Null ids, repeated rows and extra columns don't matter, as each page is read by itself; an
+do, as far as blocks go, but for a video, picture or the like that is never closed: its tag is passed over and the text
+after it kept. Null ids, repeated rows and extra columns don't matter, as each page is read by itself; an
 empty table gives an empty result.
 """
 

@@ -5,7 +5,7 @@ import collections
 import numpy as np
 import pytest
 
-from panelwright.llm import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, suffix_dedup
+from panelwright.llm import curriculum, embedding_dedup, html_blocks, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, suffix_dedup
 
 from . import brute
 
@@ -253,3 +253,15 @@ def test_html(spark):
     model, held_out = html_extract.default_model(), html_extract.labelled_pages(200, seed=1234)
     exact = sum(html_extract.decode(page, *model) == marks for page, marks in held_out)
     assert exact >= 0.93 * len(held_out)
+
+
+@pytest.mark.parametrize("page, want", [
+    *[(f"<article><p>a</p><{t} src=x><p>b</p></article><p>c", ["a", "b", "c"]) for t in "svg object canvas math audio video select noscript template".split()],
+    *[(f"<p>a <{t}>not this</{t}>b</p><p>c</p>", ["a b", "c"]) for t in "svg canvas audio video select noscript template script style iframe".split()],
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p>", ["Let x=2 be."]), ("<p>See <object data=x><param name=y>the plan</object> here.", ["See the plan here."]),
+    ("<div><p>a<video></p><p>b</p></div><div><video>no</video><p>c</p></div>", ["a", "b", "c"]), ("<p>a<video>no<video>no</video>no</video>b", ["ab"]),
+    ("<p>a<svg><title>t</svg>b</p><p>c", ["ab", "c"]), ("<p>a<script>x='</p><p>b'", ["a"]), ("<p>a</p><textarea>b<p>c", ["a"]),
+])
+def test_silent_elements(page, want):
+    """Silent elements end no block; those never closed cost no text after them; formulas and objects are text."""
+    assert [b.text for b in html_blocks.blocks(page)] == want
