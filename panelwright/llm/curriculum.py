@@ -138,11 +138,32 @@ def taken(rows: DataFrame, whole_documents: bool = False,
     whole = F.lit(1.0)
     for w, knots in schedules.items():
         whole = F.when(F.col("weight") == w, F.lit(area(knots))).otherwise(whole)
-    share = (F.col("_before") + F.col("size") / 2) / F.col("target")
+    first = F.when(F.col("passes") > 0, F.col("size")).otherwise(F.col("last_words"))
+    share = (F.col("_before") + first / 2) / F.col("target")
     moment = F.when((F.col("taken") > 0) & (F.col("target") > 0), _moment(F.least(share, F.lit(1.0)), _schedule(F.col("weight"), schedules), whole))
     return rows.withColumn("position", moment)
 
 
+def drawn(rows: DataFrame, schedules: dict[int, list[tuple[float, float]]] = SCHEDULES) -> DataFrame:
+    """A row for each time that rows of ``taken`` are taken: ``_pass`` from 0, ``_words`` taken then, and ``_moment``, at
+    which the middle of these words is trained on. The first moment of a document is its position."""
+    times = (F.col("passes") + (F.col("last_words") > 0).cast("long")).cast("int")
+    rows = rows.where((times > 0) & (F.col("size") > 0)).select(
+        "*", F.explode(F.sequence(F.lit(0), times - 1)).alias("_pass"))
+    rows = rows.withColumn("_words", F.when(F.col("_pass") < F.col("passes"), F.col("size")).otherwise(F.col("last_words")))
+    whole = F.lit(1.0)
+    for w, knots in schedules.items():
+        whole = F.when(F.col("weight") == w, F.lit(area(knots))).otherwise(whole)
+    share = (F.col("_pass") * F.col("source_size") + F.col("_before") + F.col("_words") / 2) / F.col("target")
+    return rows.withColumn("_moment", _moment(F.least(share, F.lit(1.0)), _schedule(F.col("weight"), schedules), whole))
+
+
+def in_order(rows: DataFrame, *order: str | Column, partitions: int | None = None) -> DataFrame:
+    """The rows sorted over all partitions, dealt by ranges."""
+    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         schedules: dict[int, list[tuple[float, float]]] = SCHEDULES, partitions: int | None = None) -> DataFrame:
     """The mixed documents in training order, a row for each time a document is taken, with the columns they came with.
@@ -150,14 +171,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Whole documents only. The rows are range-partitioned and sorted by their moment.
     """
     rows = taken(placed(docs, id_col, text_col, source_col, schedules), whole_documents=True, schedules=schedules)
-    times = (F.col("passes") + (F.col("last_words") > 0).cast("long")).cast("int")
-    rows = rows.where((times > 0) & (F.col("size") > 0)).select(
-        "*", F.explode(F.sequence(F.lit(0), times - 1)).alias("_pass"))
-    whole = F.lit(1.0)
-    for w, knots in schedules.items():
-        whole = F.when(F.col("weight") == w, F.lit(area(knots))).otherwise(whole)
-    share = (F.col("_pass") * F.col("source_size") + F.col("_before") + F.col("size") / 2) / F.col("target")
-    rows = rows.withColumn("_moment", _moment(F.least(share, F.lit(1.0)), _schedule(F.col("weight"), schedules), whole))
+    rows = drawn(rows, schedules)
     order = ["_moment", F.col("doc")[id_col].cast("string"), "_pass"]
-    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order).select(*unpack("doc", docs.columns))
+    return in_order(rows, *order, partitions=partitions).select(*unpack("doc", docs.columns))

@@ -73,11 +73,22 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """)
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in training order, by the moment it is first trained on; those not taken come last."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return curriculum.taken(curriculum.placed(docs, carry=False)).select(
+    rows = curriculum.taken(curriculum.placed(docs, carry=False))
+    return curriculum.in_order(rows, F.col("position").asc_nulls_last(), "doc.doc_id").select(
         "doc.doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_curriculum_order")
+def op4_curriculum_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every time that op4_curriculum_mix takes a document, in training order: pass, words taken and moment in [0, 1]."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = curriculum.drawn(curriculum.taken(curriculum.placed(docs, carry=False)))
+    return curriculum.in_order(rows, "_moment", "doc.doc_id", "_pass").select(
+        "doc.doc_id", "source", F.col("_pass").cast("long").alias("pass"), F.col("_words").alias("words"), F.col("_moment").alias("position"))
+
+
 @query("op1_line_dedup", r"""
 WITH l AS (SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
                   unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),

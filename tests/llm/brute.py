@@ -141,6 +141,26 @@ def mix(rows: list[tuple]) -> tuple[dict, dict]:
     return {s: (target[s], sizes[s]) for s in order}, before
 
 
+def moments(rows: list[tuple]) -> list[tuple]:
+    """(id, pass, words, moment) for each time that a document is taken, up to its target to the word; the demand curves
+    added up and inverted by halving."""
+    targets, before = mix(rows)
+    curves = {1: lambda t: 1.5 * t - t * t / 2, 2: lambda t: t, 3: lambda t: 0.5 * t + t * t / 2}
+    curve = {s: curves[k % 3 + 1] for k, s in enumerate(targets)}
+    out = []
+    for (name, source), (n, ahead) in before.items():
+        target, size = targets[source]
+        k = 0
+        while n and (words := min(n, int(target) - k * size - ahead)) > 0:
+            low, high, share = 0.0, 1.0, (k * size + ahead + words / 2) / target
+            for _ in range(60):
+                middle = (low + high) / 2
+                low, high = (middle, high) if curve[source](middle) < share else (low, middle)
+            out.append((name, k, words, low))
+            k += 1
+    return out
+
+
 def pieces(rows: list[tuple], tokenizer, length: int) -> list[tuple]:
     """(id, piece, start, length, crc) for (id, text)."""
     out = []
