@@ -38,6 +38,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 
+def _byte(digits: str) -> bool:
+    """Whether they are 255 at most; runs of any length, which int() refuses."""
+    short = digits.lstrip("0")
+    return len(short) <= 3 and int(short or "0") <= 255
+
+
 def _luhn(digits: str) -> bool:
     values = [int(d) for d in reversed(digits)]
     return (sum(values[::2]) + sum(sum(divmod(2 * v, 10)) for v in values[1::2])) % 10 == 0
@@ -66,7 +72,7 @@ def base_spans(text: str) -> list[Span]:
     """Spans with a fixed form, by start and then by kind."""
     out = _emails(text) if "@" in text else []
     if _DIGIT.search(text):
-        out += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(_byte(p) for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = _digits(m[0])
             if 14 <= len(digits) <= 19 and _luhn(digits):

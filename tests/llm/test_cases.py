@@ -234,6 +234,11 @@ def test_pii(docs, empty, spark):
     assert right / found > 0.93 and right / held > 0.92
 
 
+def test_pii_long_runs_of_digits():
+    assert pii.base_spans("9" * 5000 + ".1.1.1") == [] and pii.base_spans("1.1.256.1") == []
+    assert pii.base_spans("0" * 5000 + "9.1.1.255") == [("ip", 0, 5009)] and pii.base_spans("0.0.0.0") == [("ip", 0, 7)]
+
+
 def test_pii_islands_equal_whole_texts():
     """Decoding around triggers gives what decoding a whole text gives."""
     weights = pii.default_weights()
