@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import curriculum, embedding_dedup, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, sharding, suffix_dedup
+from . import (
+    curriculum, embedding_dedup, hard_negatives, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, sharding, spelling,
+    suffix_dedup,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +176,58 @@ SHARDS = [f"shard-{i:03d}" for i in range(64)]
 def op9_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.placed(docs, SHARDS, carry=False).select("doc.doc_id", "slot", "shard")
+
+
+def one_letter_lost(doc_id: Column, run: Column) -> Column:
+    """The run, without one of its characters where 31 divides the checksum of the document and the run."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+@query("op12_spelling_variants", r"""
+WITH RECURSIVE t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(
+                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+r AS (SELECT d, run, count(*) AS n, hex(encode(d || ':' || run)) AS x FROM t WHERE length(run) >= 7 GROUP BY d, run),
+h AS (SELECT run, n, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, list_reduce([xor(c, b) & 255, 0, 0, 0, 0, 0, 0, 0, 0],
+                                             lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))))) AS h FROM r),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+g AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+p AS (SELECT a.word AS x, b.word AS y, b.n FROM g a JOIN g b ON a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+             AND substr(a.word, 1, a.i - 1) = substr(b.word, 1, b.i - 1) AND substr(a.word, a.i + 1) = substr(b.word, b.i + 1)
+      UNION SELECT g.word, v.word, v.n FROM g JOIN v ON v.word = substr(g.word, 1, g.i - 1) || substr(g.word, g.i + 1)
+      UNION SELECT v.word, g.word, g.n FROM g JOIN v ON v.word = substr(g.word, 1, g.i - 1) || substr(g.word, g.i + 1)),
+b AS (SELECT x, count(*) AS n_near, min(struct_pack(n := -n, y := y)) AS best FROM p GROUP BY x),
+f AS (SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -best.n >= 10 * v.n THEN best.y END AS form,
+             CASE WHEN -best.n >= 10 * v.n THEN -best.n END AS form_n FROM v LEFT JOIN b ON b.x = v.word),
+c AS (SELECT word, word AS root, form AS nxt FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.nxt)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN c ON c.word = f.word AND c.nxt IS NULL
+""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.words(table(spark, sf_dir, "documents").select("doc_id", "text"), least=7, altered=one_letter_lost)
+    return spelling.variants(counted.where("n >= 2"), least=7)
+
+
+@query("op13_hard_negatives", r"""
+WITH d AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST(embedding AS DOUBLE[]) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL),
+v AS (SELECT DISTINCT vec_id, label, list_transform(e, lambda x: CAST(floor(256 * x) AS BIGINT)) AS e FROM d
+      WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: isfinite(x))) = len(e)),
+a AS (SELECT row_number() OVER () AS a, * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.a, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+             CAST(list_sum(list_transform(range(1, len(v.e) + 1), lambda i: a.e[i] * v.e[i])) AS BIGINT) AS score
+      FROM a JOIN v ON len(a.e) = len(v.e) AND NOT (a.vec_id = v.vec_id AND a.label = v.label AND a.e = v.e)),
+p AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS place FROM s WHERE same QUALIFY place <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.place ORDER BY n.score DESC, n.vec_id) AS INT) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, scale=256)
