@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
     curriculum, embedding_dedup, hard_negatives, html_extract, hyperminhash, line_dedup, packing, pii, quality_rules, sharding, spelling,
-    suffix_dedup,
+    suffix_dedup, toxicity,
 )
 from .common import table
 
@@ -231,3 +231,13 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, scale=256)
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.language_model(docs)
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"), model, ~toxicity.held_out(F.col("id")))
+    return toxicity.scored(docs, classifier, model, carry=["doc_id"]).select(
+        "doc.doc_id", toxicity.held_out(F.col("doc.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.array_join("traits", ",").alias("traits"))
