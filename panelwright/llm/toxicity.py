@@ -46,17 +46,20 @@ SEQUENCES = 1 << (4 * BITS)
 #: What a character may stand for (fixed values).
 STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
-    "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¥": "y", "*": "aeiou", "#": "aeiou", "%": "aeiou",
+    "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¥": "y",
 }
+#: Between two letters, these may hide a vowel (fixed values).
+MASKS, HIDDEN = "*#%", "aeiou"
 PAIRS = {"()": "o", "|)": "d", "|<": "k", "/\\": "a", "\\/": "v"}
 SEPARATORS = frozenset(" \t.,-_*~'·/\\:")
 #: Logarithms of the channel's probabilities; a substitution shares its own among its readings.
 SUBSTITUTED, DROPPED, SHORTENED = math.log(0.2), math.log(0.1), math.log(0.2)
 
 STRETCH = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)|\S+")
-PLAIN = re.compile(r"(?!.*?([^\W\d_])\1\1)[\"'(\[]*([^\W\d_]+)[.,;:!?\"')\]]*")
+TRIPLE = re.compile(r"([^\W\d_])\1\1")
 LETTERS = re.compile(r"[^\W\d_]+")
 EDGES = ".,;:?\"'()[]{}"
+PLAIN_EDGES = EDGES + "!"
 #: Stretches remembered by a task.
 REMEMBERED = 200_000
 
@@ -123,7 +126,10 @@ def arcs(text: str, i: int) -> list[tuple[int, str, float]]:
     """The readings of what starts at i: where they go on, what they read, and the channel's part of the cost."""
     c = text[i]
     found = [(i + 1, c, 0.0)]
-    found += [(i + 1, x, SUBSTITUTED - math.log(len(STANDS_FOR[c]))) for x in STANDS_FOR.get(c, "")]
+    stands_for = STANDS_FOR.get(c, "")
+    if c in MASKS and 0 < i < len(text) - 1 and text[i - 1].isalpha() and text[i + 1].isalpha():
+        stands_for = HIDDEN
+    found += [(i + 1, x, SUBSTITUTED - math.log(len(stands_for))) for x in stands_for]
     if text[i: i + 2] in PAIRS:
         found.append((i + 2, PAIRS[text[i: i + 2]], SUBSTITUTED))
     if c in SEPARATORS and 0 < i < len(text) - 1:
@@ -141,13 +147,16 @@ def arcs(text: str, i: int) -> list[tuple[int, str, float]]:
 
 def decode(text: str, model) -> str:
     """The most probable reading of a stretch. Of equal ones, the first that keeps more as it stands."""
+    all_arcs = [arcs(text, i) for i in range(len(text))]
+    if all(len(a) == 1 for a in all_arcs):
+        return text
     layers: list[dict] = [{} for _ in range(len(text) + 1)]
     layers[0][0] = (0.0, None)
     mask = (1 << 3 * BITS) - 1
     for i in range(len(text)):
         if not layers[i]:
             continue
-        ways = [(layers[j], out, [int(CLASS[min(ord(x), 0xFFFF)]) for x in out], cost) for j, out, cost in arcs(text, i)]
+        ways = [(layers[j], out, [int(CLASS[min(ord(x), 0xFFFF)]) for x in out], cost) for j, out, cost in all_arcs[i]]
         for context, (value, back) in layers[i].items():
             for layer, out, symbols, cost in ways:
                 at, v = context, value + cost
@@ -166,6 +175,13 @@ def decode(text: str, model) -> str:
     return "".join(reversed(read))
 
 
+def plain_word(stretch: str, runs: bool) -> str | None:
+    """The word of a stretch that has one reading: letters, perhaps between punctuation. ``runs``: whether some letter may
+    stand three times in a row."""
+    core = stretch if stretch.isalpha() else stretch.strip(PLAIN_EDGES)
+    return core if core.isalpha() and not (runs and TRIPLE.search(core)) else None
+
+
 class Restorer:
     """Restores stretches and remembers them."""
 
@@ -173,7 +189,7 @@ class Restorer:
         self.model, self.seen = model, {}
 
     def stretch(self, text: str) -> str:
-        if PLAIN.fullmatch(text) or not any(map(str.isalpha, text)):
+        if plain_word(text, True) is not None or not any(map(str.isalpha, text)):
             return text  # numbers and signs without a letter are taken as such
         core = text.strip(EDGES)
         if not core:
@@ -252,19 +268,33 @@ class Classifier:
 
 
 class Scorer:
-    """Scores texts; remembers which weighed traits a stretch has."""
+    """Scores texts; remembers which weighed traits a stretch has that is not plain."""
 
     def __init__(self, classifier: Classifier, restorer: Restorer):
         self.classifier, self.restorer, self.seen = classifier, restorer, {}
+        shortest = min(BEGINNINGS)
+        self.starts = {f.rstrip("*")[:shortest] for f in classifier.weights}
+        self.shortest = shortest
+
+    def _weighed(self, word: str) -> list[str]:
+        return [f for f in traits(word) if f in self.classifier.weights] if word[: self.shortest] in self.starts else []
 
     def _hits(self, stretch: str) -> tuple[int, list[str]]:
         words = LETTERS.findall(self.restorer.stretch(stretch))
-        return len(words), [f for w in words for f in traits(w) if f in self.classifier.weights]
+        return len(words), [f for w in words for f in self._weighed(w)]
 
     def __call__(self, text: str) -> tuple[float, list[str]]:
         """The score, and the traits found that speak for label 1."""
-        found, n, seen = collections.Counter(), 0, self.seen
-        for stretch in STRETCH.findall(text.lower()):
+        text = text.lower()
+        found, n, seen, starts, short = collections.Counter(), 0, self.seen, self.starts, self.shortest
+        runs = TRIPLE.search(text) is not None
+        for stretch in STRETCH.findall(text):
+            word = plain_word(stretch, runs)
+            if word is not None:
+                n += 1
+                if word[:short] in starts:
+                    found.update(self._weighed(word))
+                continue
             hit = seen.get(stretch)
             if hit is None:
                 if len(seen) >= REMEMBERED:

@@ -198,7 +198,7 @@ def test_toxicity_cases(spark):
     pick = random.Random(2)
     plain = lambda: " ".join(pick.choice("the plain words of a text that go on and on".split()) for _ in range(40))
     rows = [(i, plain() + (" vile vile" if i % 3 == 0 else " fine"), 5) for i in range(90)]
-    rows += [(None, None, 5), (1000, "", 5), (1001, " \t\n", 5), (1002, "V 1 L E v1le" + " x" * 3000, 5), (3, rows[3][1], 5)]
+    rows += [(None, None, 5), (1000, "", 5), (1001, " \t\n", 5), (1002, "V 1 L E v1le words", 5), (1003, "x " * 100_000 + "vi" * 50_000, 5), (3, rows[3][1], 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)] + [(1, None), (None, 1), (3, 0), (5000, 1)], "doc_id long, toxic int")
     model = toxicity.language_model(docs)
