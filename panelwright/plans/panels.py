@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates, keys
 from ..operators import dedup, feeds, incremental, lookup
-from ..sources.layers import Warehouse
+from ..sources.layers import Warehouse, stamp_text
+from ..sources.versions import Receipt
 
 
 @dataclass(frozen=True)
@@ -245,7 +246,11 @@ def load(
     watermark: Column | dt.datetime | None = None,
 ) -> DataFrame:
     """The fact rows of one load."""
-    rows = staged(panel, tables, watermark)
+    return load_rows(panel, staged(panel, tables, watermark), mappings)
+
+
+def load_rows(panel: Panel, rows: DataFrame, mappings: dict[str, DataFrame]) -> DataFrame:
+    """The fact rows made of staged ones; those of a union of feeds carry their feed's tag."""
     if panel.where:
         rows = rows.filter(panel.where)
     rows = dedup.latest_version(rows, panel.keys)
@@ -264,11 +269,23 @@ def load(
     return rows.select(*panel.output)
 
 
+def quality_metrics(panel: Panel) -> dict[str, Column]:
+    """What is counted while a load is written: rows, rows whose keys are missing or unmapped, first and last stamp."""
+    codes = [c for c in panel.output if c.endswith("_COD") and c not in ("GEO_COD", "SRC_COD", "SAL_ORG_COD")]
+    counted = {"rows": F.count(F.lit(1)), "without_period": F.count_if(F.col("PER_DSC").isNull())}
+    for c in codes:
+        counted[f"{c}_missing"] = F.count_if(F.col(c).isNull())
+        counted[f"{c}_unmapped"] = F.count_if(F.col(c).cast("string") == "99")
+    return counted | {"first_stamp": F.min("LOA_DAT").cast("string"), "last_stamp": F.max("LOA_DAT").cast("string")}
+
+
 def run(panel: Panel, warehouse: Warehouse, mapping_layer: str = "SILVER_DWH") -> None:
-    """Load a panel into its target table, then log how far it has looked.
+    """Load a panel into its target table, and with the same commit log how far it has looked.
 
-    The slice runs from the logged stamp to the highest one staged now, so all steps see the same rows even while
-    files arrive. A target from before the log starts at its own highest stamp.
+    The slice runs from the logged stamp to the highest one staged now, so all steps see the same rows even while files
+    arrive. Below a root path the log is part of the table's commit and no load reads the target; a load that another one
+    has overtaken is refused, so that nothing is appended twice. In a catalog, an append also looks at the stamps held. A
+    target from before the log starts at its own highest stamp.
     """
     from ..schemas import MAPPINGS, STAGING
 
@@ -276,24 +293,27 @@ def run(panel: Panel, warehouse: Warehouse, mapping_layer: str = "SILVER_DWH") -
     tables = {n: warehouse.read(panel.staging_layer, n, STAGING.get(n)) for n in names}
     needed = {c.mapping for c in panel.codes} | {f[0] for f in panel.feed_codes}
     mappings = {m: warehouse.read(mapping_layer, m, MAPPINGS[m]) for m in needed}
-    target = warehouse.read_or_none(panel.target_layer, panel.target)
-    watermark, newest = None, None
+    watermark, newest, receipt = None, None, None
+    metrics = quality_metrics(panel)
     if panel.incremental:
         logged = warehouse.staged_to(panel.target_layer, panel.target)
         # A reload may be repeated; an append whose log entry was lost must not be, and its own stamps tell.
-        held = incremental.watermark_value(target) if logged is None or not panel.reload else None
+        apart = warehouse.versioned(panel.target_layer, panel.target) is None and not panel.reload
+        target = warehouse.read_or_none(panel.target_layer, panel.target) if logged is None or apart else None
+        held = incremental.watermark_value(target) if logged is None or apart else None
         watermark = max(x for x in (logged, held) if x is not None)
         newest = staged(panel, tables, watermark).agg(F.max("LOA_DAT")).first()[0]
         if newest is None:
-            if target is None:
+            if logged is None and target is None:
                 warehouse.append(load(panel, tables, mappings, watermark), panel.target_layer, panel.target, "PER_DSC")
             return
         tables = {n: incremental.up_to(t, newest) for n, t in tables.items()}
+        receipt = Receipt(staged_from=stamp_text(logged) if logged else None, staged_to=stamp_text(newest))
     batch = load(panel, tables, mappings, watermark)
     if panel.reload:
         emptied = panel.emptied(staged(panel, tables, watermark))
-        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", emptied)
+        warehouse.reload(batch, panel.target_layer, panel.target, "PER_DSC", emptied, receipt, metrics)
     else:
-        warehouse.append(batch, panel.target_layer, panel.target, "PER_DSC")
-    if newest is not None:
+        warehouse.append(batch, panel.target_layer, panel.target, "PER_DSC", receipt, metrics)
+    if newest is not None and warehouse.versioned(panel.target_layer, panel.target) is None:
         warehouse.record_load(panel.target_layer, panel.target, newest)

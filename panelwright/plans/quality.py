@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.rows import inline_rows
+
 
 def referential_report(
     fact: DataFrame, dims: dict[str, tuple[str, DataFrame, str]], value: str = "value"
@@ -38,3 +40,12 @@ def duplicate_labels(mapping: DataFrame, label: str) -> DataFrame:
     """Mapping labels that appear more than once in a source after normalisation."""
     key = F.upper(F.trim(label)).alias("label")
     return mapping.groupBy("SRC_DSC", key).agg(F.count(F.lit(1)).alias("entries")).filter("entries > 1")
+
+
+def load_metrics(warehouse, layer: str, table: str) -> DataFrame:
+    """What was counted while the loads of a table were written: ``version, metric, value``. Read from its commits; the
+    table itself is not scanned."""
+    versions = warehouse.versioned(layer, table)
+    rows = [(v, k, None if x is None else str(x)) for v in (versions.versions() if versions else [])
+            for k, x in sorted(versions.manifest(v).metrics.items())]
+    return inline_rows(warehouse.spark, "version int, metric string, value string", rows)

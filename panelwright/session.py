@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that change results or plans. Cluster sizing (executors, memory,
@@ -32,3 +35,17 @@ def local_session(app: str, cores: str = "*", memory: str = "8g", shuffle_partit
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the one that ``spark.checkpoint.dir`` names, or in a local session a new
+    temporary one, kept for the session."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="checkpoints-", dir=os.environ.get("TMPDIR"))
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir()

@@ -176,7 +176,7 @@ def test_stream_loads_each_file_once(warehouse, tmp_path):
         start_panel_stream(panel, warehouse, maps_, str(tmp_path / "cp")).awaitTermination()
     assert fact(warehouse) == [(20240101, "p1", 10.0), (20240102, "p1", 21.0)]
     with pytest.raises(ValueError):
-        start_panel_stream(panels.PANELS["PANEL_F"], warehouse, maps_)
+        start_panel_stream(panels.PANELS["PANEL_F"], Warehouse(warehouse.spark, database="spark_catalog"), maps_)
 
 
 def test_star_tables(warehouse):
