@@ -27,13 +27,13 @@ STEPS = 64
 
 def _pieces(length: int, path: str | None, with_ids: bool):
     def run(batches):
-        ids_of = encoder(path).encode
+        ids_of = encoder(path).encode_all
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 rows, number, starts, lengths, crcs, held = [], [], [], [], [], []
-                for i, text in enumerate(batch.column("text")):
-                    ids = ids_of(text.as_py()) + END
+                for i, ids in enumerate(ids_of(batch.column("text").to_pylist())):
+                    ids += END
                     for piece, start in enumerate(range(0, len(ids), 4 * length)):
                         part = ids[start: start + 4 * length]
                         rows.append(i)

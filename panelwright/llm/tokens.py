@@ -1,23 +1,30 @@
 """Token ids of whole texts by a public BPE tokenizer with word ends.
 
-Such a tokenizer never looks across white space, so a text's ids are those of its chunks in a row. Each Python worker
-keeps the ids of chunks, and of the letter runs and signs inside them, that it has met, in caches of fixed size; what is
-new goes through the tokenizer together. Chunks outside Latin script, and those with special tokens, go to the tokenizer
-as they are.
+Such a tokenizer never looks across white space, nor across the letter runs, digits and signs that it cuts a chunk into, so
+a text's ids are those of its parts in a row. Each Python worker keeps the ids of the parts that it has met, in a cache of
+fixed size; what is new in some texts goes through the tokenizer together. Texts that aren't all Latin are taken by chunks
+between white space: chunks outside Latin script, and those with special tokens, go to the tokenizer as they are.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
 import regex
 
-CHUNKS, PARTS = 400_000, 300_000
+CHUNKS, PARTS = 200_000, 600_000
+#: Characters of texts whose new parts are learnt together.
+TOGETHER = 1 << 20
 _SIMPLE = re.compile(r"[\x21-\x7e¡-ɏ]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: How the tokenizer cuts a chunk (a fixed value of its file).
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Texts of Latin letters, ASCII and white space, and the same cut for them once in lower case.
+_LATIN = re.compile(r"[\t-\r\x20-\x7e¡-ɏ]*")
+_LETTER, _NUMBER = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
+_LATIN_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -62,8 +69,6 @@ class Encoder:
     def _learn(self, new: set[str]) -> None:
         if len(self.chunks) + len(new) > CHUNKS:
             self.chunks.clear()
-        if len(self.parts) > PARTS:
-            self.parts.clear()
         cut = {}
         for chunk in new:
             if _SIMPLE.fullmatch(chunk) and "<|" not in chunk:
@@ -76,6 +81,34 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. New parts of some texts go through the tokenizer together."""
+        out: list[bytes] = []
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                out += self._encode_some(held)
+                held, size = [], 0
+        return out + self._encode_some(held)
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        plain = {i: _LATIN_PARTS.findall(t.lower()) for i, t in enumerate(texts) if _LATIN.fullmatch(t) and "<|" not in t}
+        new = set().union(*plain.values()).difference(self.parts)
+        if len(self.parts) + len(new) > PARTS:
+            # the half that was learnt first goes; a part of these texts that goes with it is learnt anew
+            for part in list(itertools.islice(self.parts, len(self.parts) // 2)):
+                del self.parts[part]
+            new = set().union(*plain.values()).difference(self.parts)
+        self._learn_parts(list(new))
+        get = self.parts.__getitem__
+        return [b"".join(map(get, plain[i])) if i in plain else self._mixed(t) for i, t in enumerate(texts)]
+
+    def _mixed(self, text: str) -> bytes:
+        """A text that isn't all Latin, by chunks."""
         if _SEPARATORS.search(text):
             return self.direct(text)
         words = text.split()
