@@ -1,19 +1,28 @@
 """From staging to the star, layer by layer, in lineage order.
 
 Each step names the tables it reads and the one it writes; a step whose inputs are not there yet is left out. Panel facts
-are loaded incrementally; what is derived from them is written anew, facts by period.
+are loaded incrementally. What is derived from them is kept up by change: a table's commit remembers the versions that it
+was made from, so a step with the same inputs is skipped, and a fact is made anew only for the periods that its own inputs
+have changed. Anything else that changes (a mapping, a master) makes the whole table anew. In a catalog, where versions
+aren't known, derived tables are written on every run. A table that someone else has supplied is left as it is.
+
+Members of the star are numbered by dictionaries that only grow (``KEY_...``), so that numbers stay as products come.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import dates
+from ..functions import dates, keys
+from ..operators import dictionary
 from ..schemas import STAGING, STAR_COLUMNS, star_schema
+from ..sources import star_csv
 from ..sources.layers import Warehouse
+from ..sources.versions import Manifest, Receipt, part_of, value_of
 from . import calendars, marts, mastering, panels, star
 
 Tables = dict[str, DataFrame]
@@ -26,6 +35,14 @@ class Step:
     reads: dict[str, str]  #: table → layer
     make: Callable[[Tables], DataFrame]
     partition_by: str | None = None
+    #: inputs whose changed periods are the only ones to make anew: input → its period's text to the output's
+    follows: dict[str, Callable[[str | None], str | None]] = field(default_factory=dict)
+    #: rows are only ever added; ``make`` gets the table itself, if there is one, and gives what to add
+    grows: bool = False
+    #: inputs of which a row, once there, stays as it is for the columns read
+    fixed: frozenset[str] = frozenset()
+    #: depends on the day, too
+    daily: bool = False
 
 
 def _measures(df: DataFrame) -> DataFrame:
@@ -52,23 +69,76 @@ def _star_fact(t: Tables) -> DataFrame:
     return tall.withColumn("value", F.col("value").cast("double"))
 
 
+def _added(members: Callable[[Tables], DataFrame], table: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: dictionary.extended(members(t), t.get(table), "member", "number")
+
+
+def _marketshare(t: Tables) -> DataFrame:
+    """The consolidated mart: volume and value rows of the national fact, under product numbers and months. Codes are compared
+    as the master writes them, trimmed and in capitals."""
+    sold = t["FACT_NACIONAL"].withColumn("PDT_COD", keys.norm("PDT_COD"))
+    numbered = dictionary.number_of(sold, t["KEY_PROD"], "member", "number", "PDT_COD")
+    described = t["DIM_PROD"].select(F.col("product_id").alias("_id"), "category_id", "product_pack")
+    amounts = F.array(*[F.struct(F.lit(k).alias("KPI"), F.col(c).alias("SO_VALUE")) for k, c in (("VOL", "SAL_WGT"), ("VAL", "SAL_VAL"))])
+    return numbered.join(described, F.col("number") == F.col("_id"), "left").select(
+        F.substring(F.col("PER_DSC").cast("string"), 1, 6).try_cast("int").alias("PER_DSC"), F.col("number").alias("PDT_COD"), "CHL_COD",
+        "SAL_TYP_COD", F.coalesce("category_id", F.lit(dictionary.NOT_ASSIGNED)).alias("CTG_COD"), F.col("product_pack").alias("PDT_PCK"),
+        F.inline(F.filter(amounts, lambda a: a["SO_VALUE"].isNotNull())))
+
+
+def _whole_number(value: str | None) -> str | None:
+    """What a period's text becomes as a number."""
+    text = (value or "").strip()
+    return str(int(text)) if text.lstrip("+-").isdigit() else None
+
+
+def _month(value: str | None) -> str | None:
+    return _whole_number((value or "")[:6])
+
+
+def _flat(t: Tables) -> DataFrame:
+    return star.flat_extract(t["FACT_TABLE"], t)
+
+
 _DWH, _TRA, _DMT, _STAR = "SILVER_DWH", "SILVER_TRA", "GOLD_DMT", "GOLD_STAR"
 STEPS = [
     Step(_TRA, "PRODUCT_MASTER", {"STG_PT_PRODUCT": "BRONZE_STG"}, lambda t: mastering.product_master(t["STG_PT_PRODUCT"])),
     Step(_DMT, "FACT_NACIONAL", {"FACT_PT_PANEL_C": _DWH, "FACT_PT_PANEL_D_UNION": _DWH, "FACT_PT_PANEL_B": _DWH,
-                                 "M_PT_PRODUCT_NACIONAL": _TRA}, _national, "PER_DSC"),
+                                 "M_PT_PRODUCT_NACIONAL": _TRA}, _national, "PER_DSC",
+         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_D_UNION", "FACT_PT_PANEL_B"], _whole_number)),
     Step(_DMT, "FACT_TOP2", {"FACT_PT_PANEL_C": _DWH, "FACT_PT_PANEL_A_FOOD": _DWH, "FACT_PT_PANEL_A_MILK": _DWH,
-                             "M_PT_PRODUCT_TOP2": _TRA}, _top2, "PER_DSC"),
+                             "M_PT_PRODUCT_TOP2": _TRA}, _top2, "PER_DSC",
+         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_A_FOOD", "FACT_PT_PANEL_A_MILK"], _whole_number)),
     Step(_DMT, "DIM_PRODUCT", {"PRODUCT_MASTER": _TRA}, lambda t: mastering.product_dimension(t["PRODUCT_MASTER"])),
     Step(_DMT, "DIM_SALES_TYPE", {"SALES_TYPES": _TRA}, lambda t: mastering.sales_type_dimension(t["SALES_TYPES"])),
-    Step(_DMT, "DIM_CALENDAR_NACIONAL", {"FACT_NACIONAL": _DMT}, lambda t: calendars.national_calendar(t["FACT_NACIONAL"])),
+    Step(_DMT, "DIM_CALENDAR_NACIONAL", {"FACT_NACIONAL": _DMT}, lambda t: calendars.national_calendar(t["FACT_NACIONAL"]),
+         daily=True),
     Step(_TRA, "NEW_PRODUCTS", {"FACT_ES_PANEL_I": _DWH, "M_ES_PRODUCT": _TRA, "M_ES_CATEGORY": _TRA},
          lambda t: mastering.new_products(t["FACT_ES_PANEL_I"], t["M_ES_PRODUCT"], t["M_ES_CATEGORY"], "PANEL_I")),
     Step(_DMT, "NEW_PRODUCTS", {"STG_ES_PANEL_I_NP": "BRONZE_STG", "NEW_PRODUCTS": _TRA},
          lambda t: mastering.new_product_attributes(t["STG_ES_PANEL_I_NP"], t["NEW_PRODUCTS"])),
+    Step(_STAR, "KEY_PROD", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("PDT_COD").alias("member")), "KEY_PROD"), grows=True),
+    Step(_STAR, "KEY_CATEGORY", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("CAT_DSC").alias("member")), "KEY_CATEGORY"), grows=True),
+    Step(_STAR, "KEY_SOURCE", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("ORG_DSC").alias("member")), "KEY_SOURCE"), grows=True),
+    Step(_STAR, "DIM_PROD", {"DIM_PRODUCT": _DMT, "KEY_PROD": _STAR, "KEY_CATEGORY": _STAR},
+         lambda t: star.product_dimension(t["DIM_PRODUCT"], t["KEY_PROD"], t["KEY_CATEGORY"])),
+    Step(_STAR, "DIM_CATEGORY", {"DIM_PRODUCT": _DMT, "KEY_CATEGORY": _STAR, "KEY_SOURCE": _STAR},
+         lambda t: star.category_dimension(t["DIM_PRODUCT"], t["KEY_CATEGORY"], t["KEY_SOURCE"])),
+    Step(_STAR, "DIM_SOURCE", {"KEY_SOURCE": _STAR}, lambda t: star.source_dimension(t["KEY_SOURCE"])),
+    Step(_STAR, "DIM_CHANNEL", {"MAP_PT_CHANNEL": _DWH, "MAP_ES_CHANNEL": _DWH},
+         lambda t: star.channel_dimension(t["MAP_PT_CHANNEL"].unionByName(t["MAP_ES_CHANNEL"]))),
+    Step(_STAR, "DIM_SALES_TYPE", {"MAP_PT_SALES_TYPE": _DWH, "MAP_ES_SALES_TYPE": _DWH},
+         lambda t: star.sales_type_dimension(t["MAP_PT_SALES_TYPE"].unionByName(t["MAP_ES_SALES_TYPE"]))),
+    Step(_DMT, "FACT_MARKETSHARE_ALL", {"FACT_NACIONAL": _DMT, "KEY_PROD": _STAR, "DIM_PROD": _STAR}, _marketshare, "PER_DSC",
+         {"FACT_NACIONAL": _month}),
     Step(_STAR, "DIM_CALENDAR", {"FACT_MARKETSHARE_ALL": _DMT}, lambda t: calendars.month_calendar(
-        calendars.period_limits(t["FACT_MARKETSHARE_ALL"])).select(*[name for _, name, _ in STAR_COLUMNS["DIM_CALENDAR"]])),
-    Step(_STAR, "FACT_TABLE", {"FACT_MARKETSHARE_ALL": _DMT, "DIM_PROD": _STAR}, _star_fact, "period_id"),
+        calendars.period_limits(t["FACT_MARKETSHARE_ALL"])).select(*[name for _, name, _ in STAR_COLUMNS["DIM_CALENDAR"]]), daily=True),
+    Step(_STAR, "FACT_TABLE", {"FACT_MARKETSHARE_ALL": _DMT, "DIM_PROD": _STAR}, _star_fact, "period_id",
+         {"FACT_MARKETSHARE_ALL": _whole_number}),
+    Step(_STAR, "FACT_BIRTH_RATE", {"FACT_BIRTH_RATE": _DMT, "DIM_CALENDAR": _STAR}, lambda t: star.context_fact(
+        t["FACT_BIRTH_RATE"].select(F.col("PER_DSC").alias("period_id"), F.col("BIRTH_RATE").cast("double").alias("value")), t["DIM_CALENDAR"])),
+    Step(_STAR, "FLAT_FACT", {"FACT_TABLE": _STAR, **{d: _STAR for d in star.RELATIONS}}, _flat, "period_id", {"FACT_TABLE": _whole_number},
+         fixed=frozenset({"DIM_CALENDAR"})),
 ]
 
 
@@ -86,20 +156,84 @@ def load_panels(warehouse: Warehouse) -> list[str]:
     return loaded
 
 
+def dirty_periods(warehouse: Warehouse, step: Step, own: Manifest | None, versions: dict[str, str]) -> set[str | None] | None:
+    """The periods of a step's table that its inputs have changed since it was made; None if all may have."""
+    if own is None or not step.follows or set(own.inputs) != set(versions):
+        return None
+    dirty: set[str | None] = set()
+    for table, version in versions.items():
+        before = own.inputs[table]
+        if before == version:
+            continue
+        source = warehouse.versioned(step.reads[table], table) if table in step.follows else None
+        changed = source.changed_since(int(before)) if source is not None and before.isdigit() else None
+        if changed is None:
+            return None
+        dirty |= {step.follows[table](value_of(part)) for part in changed}
+    return dirty
+
+
+def _narrowed(warehouse: Warehouse, step: Step, table: str, rows: DataFrame, dirty: set[str | None]) -> DataFrame:
+    """The rows of an input that belong to dirty periods: a filter on its partitions alone."""
+    manifest = warehouse.manifest(step.reads[table], table)
+    period = F.col(manifest.partition_by)
+    values = {v for v in manifest.values.values() if step.follows[table](v) in dirty}
+    chosen = period.cast("string").isin([v for v in values if v is not None])
+    return rows.filter(chosen | period.isNull() if None in values else chosen)
+
+
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def run_step(warehouse: Warehouse, step: Step) -> bool:
+    """Whether the step's table has changed."""
+    versions, own = {}, warehouse.versioned(step.layer, step.table)
+    if own is not None:
+        versions = {t: warehouse.state_of(layer, t) for t, layer in step.reads.items() if t not in step.fixed}
+        if step.daily:
+            versions["today"] = dt.date.today().isoformat()
+        manifest, receipt = own.manifest(), Receipt(inputs=versions)
+        if manifest is not None and manifest.inputs in ({}, versions):
+            return False  # supplied from outside, or made from the same
+    tables = {t: warehouse.read(layer, t, STAGING.get(t)) for t, layer in step.reads.items()}
+    if step.grows:
+        there = warehouse.read_or_none(step.layer, step.table)
+        rows = step.make(tables | ({} if there is None else {step.table: there}))
+        warehouse.append(rows, step.layer, step.table, None, receipt if own is not None else None)
+        return True
+    if own is None:
+        warehouse.replace(step.make(tables), step.layer, step.table, step.partition_by)
+        return True
+    dirty = dirty_periods(warehouse, step, manifest, versions)
+    if dirty is not None:
+        if not dirty:
+            own.touch(own.read(manifest).schema, step.partition_by, receipt)
+            return False
+        narrowed = tables | {t: _narrowed(warehouse, step, t, tables[t], dirty) for t in step.follows}
+        own.replace_parts(step.make(narrowed), step.partition_by, {part_of(step.partition_by, v) for v in dirty}, receipt)
+        return True
+    rows = step.make(tables)
+    if manifest is not None and manifest.inputs and step.partition_by is None and _same(rows, own.read(manifest)):
+        own.touch(rows.schema, None, receipt)  # so that nothing that reads it is made anew
+        return False
+    own.replace_all(rows, step.partition_by, receipt)
+    return True
+
+
 def load_derived(warehouse: Warehouse) -> list[str]:
-    """Silver and gold tables and the star, after the panel facts. Star dimensions that have no source here are declared
-    empty once, so that reports can be planned."""
+    """Silver and gold tables and the star, after the panel facts. Star dimensions whose sources aren't there yet are declared
+    empty, so that reports can be planned."""
     for table in ["DIM_SOURCE", "DIM_CATEGORY", "DIM_SALES_TYPE", "DIM_CHANNEL", "DIM_PROD"]:
         if warehouse.read_or_none(_STAR, table) is None:
             warehouse.create_empty(star_schema(table), _STAR, table)
-    warehouse.replace(star.units_dimension(warehouse.spark), _STAR, "DIM_UNITS")
+    if warehouse.read_or_none(_STAR, "DIM_UNITS") is None:
+        warehouse.replace(star.units_dimension(warehouse.spark), _STAR, "DIM_UNITS")
     loaded = []
     for step in STEPS:
-        tables = {t: warehouse.read_or_none(layer, t, STAGING.get(t)) for t, layer in step.reads.items()}
-        if any(t is None for t in tables.values()):
-            continue
-        warehouse.replace(step.make(tables), step.layer, step.table, step.partition_by)
-        loaded.append(f"{step.layer}.{step.table}")
+        if all(warehouse.read_or_none(layer, t, STAGING.get(t)) is not None for t, layer in step.reads.items()):
+            if run_step(warehouse, step):
+                loaded.append(f"{step.layer}.{step.table}")
     return loaded
 
 
@@ -112,3 +246,9 @@ def market(warehouse: Warehouse, columns: list[str]) -> tuple[DataFrame, DataFra
     dims = {t: warehouse.read(_STAR, t) for t in star.RELATIONS}
     calendar = dims["DIM_CALENDAR"].withColumn("pidx", dates.pidx_of_period("period_id"))
     return star.wide_fact(warehouse.read(_STAR, "FACT_TABLE"), dims, columns), calendar
+
+
+def export_flat(warehouse: Warehouse, path: str) -> None:
+    """The flat extract as CSV, in files of one period each."""
+    flat = warehouse.read(_STAR, "FLAT_FACT").select(*star.FLAT_COLUMNS)
+    star_csv.write_csv(flat.hint("rebalance", "period_id"), path)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import dates
-from ..operators import feeds
+from ..functions import dates, keys
+from ..operators import dictionary, feeds
 from ..schemas import STAR_COLUMNS, star_schema
 from ..sources.layers import Warehouse
 from ..sources.rows import inline_rows
@@ -58,6 +58,59 @@ def units_dimension(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, star_schema("DIM_UNITS"), UNITS)
 
 
+def product_dimension(products: DataFrame, numbers: DataFrame, category_numbers: DataFrame) -> DataFrame:
+    """Products under their numbers, and the member for what is not assigned. The master has no litres per kilogram: 1."""
+    numbered = dictionary.number_of(products, numbers.withColumnRenamed("number", "product_id"), "member", "product_id", "PDT_COD")
+    numbered = dictionary.number_of(numbered, category_numbers.withColumnRenamed("number", "category_id"), "member", "category_id", "CAT_DSC")
+    described = {
+        "product_id": F.col("product_id"), "product_name": F.col("PDT_DSC"), "brand": F.col("BRD_DSC"), "business_area": F.col("NET_ARE"),
+        "business_sub_area": F.col("SUB_NET_ARE"), "category": F.col("CAT_DSC"), "category_id": F.col("category_id"), "format": F.col("FOR_WGH"),
+        "etapas": F.col("ETP_COD"), "ep": F.col("VOL_QTY").try_cast("double"), "cunits": F.col("UNT_PCK").try_cast("int"),
+        "conversor_lkg": F.lit(1.0), "product_pack": F.col("PDT_PCK"), "manufacturer": F.col("CNY_DSC"), "market": F.col("GLB_REP"),
+        "sub_category": F.col("SUB_CAT_DSC"), "sub_brand": F.col("SUB_BRD_DSC"), "product": F.col("PDT_DSC"),
+    }
+    rows = numbered.select(*[described[name].cast(kind).alias(name) for _, name, kind in STAR_COLUMNS["DIM_PROD"]])
+    return rows.unionByName(_not_assigned(products.sparkSession, "DIM_PROD", "product_id"))
+
+
+def category_dimension(products: DataFrame, numbers: DataFrame, source_numbers: DataFrame) -> DataFrame:
+    """Categories under their numbers, with the first of their sources."""
+    first = products.where("CAT_DSC is not null").groupBy("CAT_DSC").agg(F.min("ORG_DSC").alias("ORG_DSC"))
+    with_source = dictionary.number_of(first, source_numbers.withColumnRenamed("number", "source_id"), "member", "source_id", "ORG_DSC")
+    named = dictionary.number_of(with_source, numbers.withColumnRenamed("number", "category_id"), "member", "category_id", "CAT_DSC")
+    rows = named.select("category_id", F.col("CAT_DSC").alias("category_name"), "source_id")
+    return rows.unionByName(_not_assigned(products.sparkSession, "DIM_CATEGORY", "category_id"))
+
+
+def source_dimension(numbers: DataFrame) -> DataFrame:
+    rows = numbers.select(F.col("number").alias("source_id"), F.col("member").alias("source_name"))
+    return rows.unionByName(_not_assigned(numbers.sparkSession, "DIM_SOURCE", "source_id"))
+
+
+def channel_dimension(mapping: DataFrame) -> DataFrame:
+    """A member per channel code, named by the first of the labels that lead to it."""
+    name = F.min(keys.norm("CHL_SRC"))
+    rows = mapping.where("CHL_COD is not null AND CHL_COD <> 99").groupBy(F.col("CHL_COD").alias("channel_id")).agg(name.alias("channel_name"))
+    online = F.col("channel_name").contains("ONLINE")
+    rows = rows.select("channel_id", "channel_name", F.col("channel_name").alias("channel"), F.col("channel_name").alias("sub_channel"),
+                       F.when(online, "Online").otherwise("Offline").alias("type_channel"))
+    return rows.unionByName(_not_assigned(mapping.sparkSession, "DIM_CHANNEL", "channel_id"))
+
+
+def sales_type_dimension(mapping: DataFrame) -> DataFrame:
+    """A member per sales-type code, named by the first of the labels that lead to it."""
+    rows = mapping.where("SAL_TYP_COD is not null AND SAL_TYP_COD <> 99").groupBy(F.col("SAL_TYP_COD").alias("sales_type_id")).agg(
+        F.min(keys.norm("SAL_TYP_SRC")).alias("sales_type"))
+    return rows.unionByName(_not_assigned(mapping.sparkSession, "DIM_SALES_TYPE", "sales_type_id"))
+
+
+def _not_assigned(spark: SparkSession, table: str, key: str) -> DataFrame:
+    """The member for what is not assigned: its number and labels, NULL for amounts."""
+    cells = tuple(dictionary.NOT_ASSIGNED if name == key or name.endswith("_id") else keys.NOT_ASSIGNED_LABEL if kind == "string" else None
+                  for _, name, kind in STAR_COLUMNS[table])
+    return inline_rows(spark, star_schema(table), [cells])
+
+
 def units_catalogue(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, "KPI_FLG_COD int, KPI_FLG_DSC string, UNT_LBL string", UNITS_CATALOGUE)
 

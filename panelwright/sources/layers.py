@@ -22,6 +22,8 @@ from .versions import Manifest, Receipt, VersionedTable, part_of, signature
 
 # The layers, in load order.
 LAYERS = ["BRONZE_STG", "SILVER_DWH", "SILVER_TRA", "GOLD_DMT", "GOLD_STAR"]
+#: In the place of an input: the table was only declared.
+DECLARED = "declared"
 LOG, LOG_SCHEMA = "LOAD_LOG", "TARGET string, STAGED_TO string"
 
 
@@ -98,14 +100,15 @@ class Warehouse:
 
     def replace(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None, receipt: Receipt | None = None,
                 metrics: dict[str, Column] | None = None) -> None:
-        """CREATE OR REPLACE TABLE AS SELECT."""
+        """CREATE OR REPLACE TABLE AS SELECT. Without a receipt that says what it was made from, the table counts as supplied
+        from outside."""
         if versions := self.versioned(layer, table):
-            versions.replace_all(df, partition_by, receipt, metrics)
+            versions.replace_all(df, partition_by, receipt or Receipt(inputs={}), metrics)
         else:
             self._write(df, layer, table, "overwrite", partition_by)
 
     def create_empty(self, schema: T.StructType | str, layer: str, table: str) -> None:
-        self.replace(self.spark.createDataFrame([], schema), layer, table)
+        self.replace(self.spark.createDataFrame([], schema), layer, table, receipt=Receipt(inputs={DECLARED: ""}))
 
     def reload(
         self, batch: DataFrame, layer: str, table: str, period: str = "PER_DSC", emptied: DataFrame | None = None,
