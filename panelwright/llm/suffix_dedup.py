@@ -6,8 +6,9 @@ run of bytes, about 80 starts in 280 bytes, and strings can only repeat among ru
 as a whole repeat as a whole and are settled by counting. Only grams with different runs need the text: there the two
 sides of the anchor are suffix-sorted, deep and shallow, and give the extents that runs share.
 
-Steps: scan texts for runs and count them by (gram, run); fetch the runs of undecided grams from one document each; sort
-them per gram; send what is covered back to the documents. Copies of a text are fetched once. A gram with more than
+Steps: scan texts for runs and count them by (gram, run); scan them again for the runs of undecided grams, which a Bloom
+filter tells, and sort those per gram; name the documents that have a run that is covered, and send them what is covered.
+Texts are exchanged once, at the end. Copies of a text count as one there. A gram with more than
 ``most_runs`` different runs isn't sorted in one task: its windows are counted by digest instead, which gives the same.
 
 Cases: a null text has no bytes. Rows that repeat are copies of each other, so both lose their passages. Ids may be null.
@@ -20,8 +21,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from .bloom import BloomFilter
 from .common import column, cut, groups, text_or_empty
 from .shingles import _BYTE, _PLACE, mixed, pieces
 from .suffix_sort import shared
@@ -84,9 +86,9 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _scan(length: int, counted: bool):
-    """(gram, run, tid, n) for the runs of all texts. Counted ones are summed over many texts of a task first, so that a
-    common run costs a row per half million; otherwise each text names its different runs."""
+def _scan(length: int, only: BloomFilter | None = None):
+    """(gram, run, tid, n) for the runs of all texts, counted over many texts of a task first, so that a common run costs a
+    row per half million. With ``only``, each text names its different runs, of the grams that the filter has."""
     def run(batches):
         held, size = [], 0
 
@@ -95,7 +97,7 @@ def _scan(length: int, counted: bool):
             order = np.lexsort((tid, digest, gram))
             gram, digest, tid = gram[order], digest[order], tid[order]
             new = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
-            if not counted:
+            if only is not None:
                 new |= tid[1:] != tid[:-1]
             first = np.flatnonzero(np.concatenate([[True], new]))
             n = np.diff(np.concatenate([first, [len(gram)]]))
@@ -105,6 +107,9 @@ def _scan(length: int, counted: bool):
         for batch in batches:
             tids = batch.column("tid").to_numpy()
             for row, data, _, gram, of, start, end, _ in _runs(batch.column("text"), length):
+                if only is not None and len(gram):
+                    asked = only.has(gram)
+                    gram, of, start, end = gram[asked], of[asked], start[asked], end[asked]
                 if len(gram):
                     held.append((gram, _digests(data, start, end), tids[row + of]))
                     size += len(gram)
@@ -116,29 +121,39 @@ def _scan(length: int, counted: bool):
     return run
 
 
-def _fetch(length: int):
-    """The asked runs of a text: their bytes and anchor, or for grams with too many runs a digest of each window."""
+def _fetch(length: int, only: BloomFilter):
+    """The runs of the grams that the filter has: their bytes and where the anchor is. A task names a run once in half a
+    million."""
     def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
-                asked = [{(a["gram"], a["run"]): a for a in x} for x in batch.column("asked").to_pylist()]
-                out = []
-                for row, data, _, gram, of, start, end, anchor in _runs(batch.column("text"), length):
-                    raw = data.tobytes()
-                    named = zip(gram.view(np.int64).tolist(), _digests(data, start, end).view(np.int64).tolist(), (of + row).tolist(),
-                                start.tolist(), end.tolist(), anchor.tolist())
-                    for g, r, i, s, e, a in named:
-                        want = asked[i].pop((g, r), None)  # a run that occurs again in the text is asked for once
-                        if want is None:
-                            continue
-                        if want["many"]:
-                            out.extend((g, r, want["n"], w - s, xxhash.xxh3_128_digest(raw[w: w + length]), True) for w in range(s, e - length + 1))
-                        else:
-                            out.append((g, r, want["n"], a - s, raw[s:e], False))
-                columns = list(zip(*out)) if out else [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["gram", "run", "n", "at", "bytes", "many"])
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            for _, data, _, gram, _, start, end, anchor in _runs(batch.column("text"), length):
+                if not len(gram):
+                    continue
+                asked = only.has(gram)
+                gram, start, end, anchor = gram[asked], start[asked], end[asked], anchor[asked]
+                out, view = [], memoryview(np.ascontiguousarray(data))
+                named = zip(gram.view(np.int64).tolist(), _digests(data, start, end).view(np.int64).tolist(), start.tolist(), end.tolist(), anchor.tolist())
+                for g, r, s, e, a in named:
+                    if (g, r) not in seen:
+                        seen.add((g, r))
+                        out.append((g, r, a - s, bytes(view[s:e])))
+                if len(seen) > HELD:
+                    seen.clear()
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int32(), pa.binary()])], ["gram", "run", "at", "bytes"])
+    return run
+
+
+def _windows(length: int):
+    """A digest of each window of a run."""
+    def run(batches):
+        for batch in batches:
+            rows = [(g, r, n, w, xxhash.xxh3_128_digest(x[w: w + length]))
+                    for g, r, n, x in zip(*(batch.column(c).to_pylist() for c in ("gram", "run", "n", "bytes"))) for w in range(len(x) - length + 1)]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, kinds)], ["gram", "run", "n", "at", "bytes"])
     return run
 
 
@@ -221,29 +236,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scanned = "gram bigint, run bigint, tid bigint, n bigint"
     both = texts.select("tid", "text")
 
-    # One exchange by gram serves the counts of runs and of grams.
-    runs = both.mapInArrow(_scan(length, True), scanned).repartition("gram").groupBy("gram", "run").agg(
-        F.sum("n").alias("n"), F.min("tid").alias("tid"))
-    grams = runs.groupBy("gram").agg(F.count("*").alias("runs"), F.min("n").alias("fewest"))
-    known = cut(runs.join(grams, "gram").where("n > 1 or runs > 1"))
-
-    asked = known.where("runs > 1 and fewest = 1").groupBy("tid").agg(
-        F.collect_list(F.struct("gram", "run", "n", (F.col("runs") > most_runs).alias("many"))).alias("asked"))
-    one = texts.groupBy("tid").agg(F.min(F.struct("id")).alias("one"))
-    asked = asked.join(one, "tid").select(F.col("tid").alias("t"), F.col("one.id").alias("i"), "asked")
-    found = texts.join(asked, (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i"))).select("text", "asked")
-    found = cut(found.mapInArrow(_fetch(length), "gram bigint, run bigint, n bigint, at int, bytes binary, many boolean").distinct())
+    # One exchange by gram serves the counts of runs and, over these, of grams.
+    runs = both.mapInArrow(_scan(length), scanned).repartition("gram").groupBy("gram", "run").agg(F.sum("n").alias("n"))
+    of_gram = Window.partitionBy("gram")
+    known = cut(runs.select("*", F.count("*").over(of_gram).alias("runs"), F.min("n").over(of_gram).alias("fewest")).where("n > 1 or runs > 1"))
+
+    # The texts are read again, and only runs of such grams leave their task. The filter lets a few others pass; those have
+    # no count here.
+    asked = known.where("runs > 1 and fewest = 1").select("gram", "run", "n", (F.col("runs") > most_runs).alias("many"))
+    fetched = both.mapInArrow(_fetch(length, BloomFilter(asked, "gram")), "gram bigint, run bigint, at int, bytes binary")
+    found = fetched.unionByName(asked, allowMissingColumns=True).repartition("gram").groupBy("gram", "run").agg(
+        F.max("n").alias("n"), F.max("many").alias("many"), F.max(F.struct("at", "bytes")).alias("own")).where("n is not null").select(
+        "gram", "run", "n", "own.at", "own.bytes", "many")
+    found = cut(found)
     sides = found.where("not many").select("gram", "run", "n", "at", "bytes")
     spans = "array<struct<s:int,e:int>>"
     sorted_ = sides.repartition("gram").sortWithinPartitions("gram", "run").mapInArrow(_sort(length), f"gram bigint, run bigint, spans {spans}")
-    windows = found.where("many")
+    windows = found.where("many").select("gram", "run", "n", "bytes").mapInArrow(
+        _windows(length), "gram bigint, run bigint, n bigint, at int, bytes binary")
     again = windows.groupBy("gram", "bytes").agg(F.count("*").alias("times")).where("times > 1").select("gram", "bytes")
     windowed = windows.where("n = 1").join(again, ["gram", "bytes"], "left_semi").groupBy("gram", "run").agg(
         F.array_sort(F.collect_list(F.struct(F.col("at").alias("s"), (F.col("at") + length).alias("e")))).cast(spans).alias("spans"))
     settled = known.where("n > 1").select("gram", "run", F.lit(None).cast(spans).alias("spans"))
     covered = settled.unionByName(sorted_).unionByName(windowed)
 
-    where = both.mapInArrow(_scan(length, False), scanned).select("gram", "run", "tid")
+    where = both.mapInArrow(_scan(length, BloomFilter(known, "gram")), scanned).select("gram", "run", "tid")
     per_text = where.join(covered, ["gram", "run"]).groupBy("tid").agg(
         F.collect_list(F.struct("gram", "run", "spans")).alias("covered"))
     rows = texts.join(per_text, "tid", "left").select("id", "text", "covered")
