@@ -157,14 +157,54 @@ def measure_query(names: list[str], anchor: int = ANCHOR, period_type: str = "L4
     return query
 
 
+# Fixed values, written out a second time so that the twins don't follow the library: the measure that a switch stands for
+# by period type, and the measures of the parameters in order.
+TYPES = ("MES", "L4M", "YTD", "TAM")
+TWIN_SWITCHES = {
+    "%Crecimiento Período L3M LY Switch": ("%Crecimiento Mes LY", "%Crecimiento L3M", "%Crecimiento YTD",
+        "%Crecimiento TAM"),
+    "%Crecimiento Período LY Switch": ("%Crecimiento Mes LY", "%Crecimiento L4M", "%Crecimiento YTD",
+        "%Crecimiento TAM"),
+    "%Crecimiento Período Switch": ("%Crecimiento Mes", "%Crecimiento L4M", "%Crecimiento YTD", "%Crecimiento TAM"),
+    "BPS Período L3M LY Switch": ("BPS Mes LY", "BPS L3M LY", "BPS YTD", "BPS TAM"),
+    "BPS Período LY Switch": ("BPS Mes LY", "BPS L4M", "BPS YTD", "BPS TAM"),
+    "BPS Período Switch": ("BPS Mes", "BPS L4M", "BPS YTD", "BPS TAM"),
+    "Crecimiento Ventas Períodos LY Switch": ("Crecimiento Mes LY", "Crecimiento L4M", "Crecimiento YTD",
+        "Crecimiento TAM"),
+    "Crecimiento Ventas Períodos Switch": ("Crecimiento Mes", "Crecimiento L4M", "Crecimiento YTD",
+        "Crecimiento TAM"),
+    "Market Share Período L3M Switch": ("Market Share Mes", "Market Share L3M", "Market Share YTD",
+        "Market Share TAM"),
+    "Market Share Período Switch": ("Market Share Mes", "Market Share L4M", "Market Share YTD", "Market Share TAM"),
+    "Market Share Período-1 Switch": ("Market Share Mes-1", "Market Share L4M-1", "Market Share YTD-1",
+        "Market Share TAM-1"),
+    "Market Share Y-1 Switch": ("Market Share Mes LY", "Market Share L4M-1", "Market Share YTD-1",
+        "Market Share TAM-1"),
+    "Ventas Periodos-1 Switch": ("Ventas Mes-1", "Ventas L4M-1", "Ventas YTD-1", "Ventas TAM-1"),
+    "Ventas Períodos Switch": ("Ventas Mes", "Ventas L4M", "Ventas YTD", "Ventas TAM"),
+    "Ventas Y-1 Switch": ("Ventas Mes LY", "Ventas L4M-1", "Ventas YTD-1", "Ventas TAM-1"),
+}
+TWIN_PARAMETERS = {
+    "Market Year": ["Market Share Período Switch", "Ventas Períodos Switch", "BPS Período LY Switch"],
+    "Market Year-1": ["Market Share Y-1 Switch", "Ventas Y-1 Switch"],
+    "Market Período-1": ["Market Share Período-1 Switch", "Ventas Periodos-1 Switch"],
+    "Market Período": ["Market Share Período Switch", "Ventas Períodos Switch", "BPS Período Switch",
+        "Crecimiento Ventas Períodos Switch", "%Crecimiento Período Switch"],
+}
+
+
+def twin_switched(name: str, kind: str) -> str:
+    return TWIN_SWITCHES[name][TYPES.index(kind)] if name in TWIN_SWITCHES else name
+
+
 def measure_sql(names: list[str], anchor: int = ANCHOR, period_type: str = "L4M", metric: str = "Valor €") -> str:
-    plain = {n: sql_measure(measures.SWITCHES[n][period_type] if n in measures.SWITCHES else n, anchor) for n in names}
+    plain = {n: sql_measure(twin_switched(n, period_type), anchor) for n in names}
     unwindowed = any(n in ("Ventas", "Market Share") for n in names)
     columns = ", ".join(f"round({e}, {digits(n)}) AS {slug(n)}" for n, e in plain.items())
     # members that exist within the months the windows span
     used = set()
     for n in names:
-        used |= set(measures.MEASURES[measures.SWITCHES[n][period_type] if n in measures.SWITCHES else n].windows)
+        used |= set(measures.MEASURES[twin_switched(n, period_type)].windows)
     where = ""
     if not unwindowed:
         lo = min(sql_interval(w, anchor)[0] for w in used)
@@ -194,7 +234,7 @@ add_measures("ventas_globales_all_windows", of("Ventas Globales "))
 add_measures("growth_all_windows", of("Crecimiento "))
 add_measures("pct_growth_all_windows", of("%Crecimiento "))
 for kind in periods.REPORT_TYPES:
-    add_measures(f"period_switch_{kind.lower()}", list(measures.SWITCHES), period_type=kind)
+    add_measures(f"period_switch_{kind.lower()}", list(TWIN_SWITCHES), period_type=kind)
 add_measures("kpi_parameter_42", [n for group in measures.PARAMETER_KPIS.values() for n in group])
 for m in METRICS[:1] + METRICS[2:]:
     add_measures(f"kpi_parameter_{slug(m)}", measures.PARAMETER_KPIS["2. L4M"], metric=m)
@@ -719,14 +759,13 @@ def matrix(spark, sf):
     return out.select("manufacturer", *[F.round(F.col(f"`{p}`"), 4).alias(f"p{p}") for p in out.columns[1:]])
 
 
+# The months of the orders, written out: a column per month.
+MATRIX_MONTHS = [12 * year + month for year in range(1995, 2002) for month in range(1, 13) if (year, month) <= (2001, 8)]
+_cells = ", ".join(f"round(coalesce(CAST(sum(CASE WHEN pidx = {p} THEN value END) AS DOUBLE), 0), 4) AS p{(p - 1) // 12 * 100 + (p - 1) % 12 + 1}"
+                   for p in MATRIX_MONTHS)
 add("trend_matrix_pivot", matrix, f"""
-WITH {sql_wide()}, {SQL_CALENDAR},
-best AS (SELECT manufacturer FROM wf GROUP BY 1 ORDER BY sum(value) DESC, 1 LIMIT 6),
-spread AS (SELECT manufacturer, cal.pidx, 'p' || ((cal.pidx - 1) // 12 * 100 + (cal.pidx - 1) % 12 + 1) AS p
-           FROM best CROSS JOIN cal),
-cells AS (SELECT spread.manufacturer, spread.p, coalesce(CAST(sum(wf.value) AS DOUBLE), 0) AS v
-          FROM spread LEFT JOIN wf ON wf.manufacturer = spread.manufacturer AND wf.pidx = spread.pidx GROUP BY ALL)
-PIVOT cells ON p USING round(any_value(v), 4) GROUP BY manufacturer""")
+WITH {sql_wide()}, best AS (SELECT manufacturer FROM wf GROUP BY 1 ORDER BY sum(value) DESC, 1 LIMIT 6)
+SELECT manufacturer, {_cells} FROM wf WHERE manufacturer IN (SELECT manufacturer FROM best) GROUP BY 1""")
 
 
 # segments
@@ -872,7 +911,7 @@ def parameter(spark, sf, name, kind):
 
 for name, kind in [("Market Period", "YTD"), ("Market Year", "MES"), ("Market Year-1", "TAM"), ("Market Period-1", "L4M")]:
     _name_in_model = name.replace("Period", "Período")
-    _targets = [measures.SWITCHES[t][kind] for t in measures.PARAMETERS[_name_in_model].values()]
+    _targets = [twin_switched(t, kind) for t in TWIN_PARAMETERS[_name_in_model]]
     _used = {w for t in _targets for w in measures.MEASURES[t].windows}
     _lo, _hi = min(sql_interval(w)[0] for w in _used), max(sql_interval(w)[1] for w in _used)
     _shown = ", ".join(f"round({sql_measure(t)}, {digits(t)}) AS p{i}" for i, t in enumerate(_targets))

@@ -17,6 +17,54 @@ EPOCH = "TIMESTAMP '1900-01-01 00:00:00'"
 
 # ---- SQL twins of a panel load -----------------------------------------------------
 
+# Fixed values, written out a second time so that the twins don't follow the library: what tells versions of a row apart,
+# and the columns of each fact.
+KEYS = {
+    "PANEL_A_FOOD": ["PDT_DSC", "PDT_COD", "PER_ALL", "PER_INI", "PER_FIN", "SO_UNITS", "SO_VALUES", "SO_KILOS"],
+    "PANEL_A_MILK": ["PDT_DSC", "PDT_COD", "PER_ALL", "PER_INI", "PER_FIN"],
+    "PANEL_B": ["GEO_DSC", "PER_DSC", "PDT_PCK", "PDT_COD", "UPC_COD", "CNY_DSC", "BRD_DSC", "SGM_DSC", "SSG_DSC",
+        "SBR_DSC", "STG_DSC", "CPC_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS"],
+    "PANEL_C": ["PDT_COD", "PDT_PCK", "CTG_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS", "PER_DSC"],
+    "PANEL_D_UNION": ["GEO_COD", "PDT_COD", "CHL_COD", "SRC_DSC", "PER_DSC", "SO_VALUES", "SO_UNITS"],
+    "PANEL_F": ["MKT_DSC", "GEO_DSC", "CAT_DSC", "PER_DSC", "KPI_FLG"],
+    "PANEL_G": ["MKT_DSC", "GEO_DSC", "PDT_DSC", "PER_DSC", "KPI_FLG"],
+    "PANEL_H": ["CNY_DSC", "PDT_DSC", "PDT_PCK", "GEO_COD", "PER_DSC", "KPI_FLG"],
+    "PANEL_I": ["CNY_DSC", "PDT_DSC", "PDT_PCK", "CAT_DSC", "OTC_1_DSC", "OTC_2_DSC", "OTC_3_DSC", "OTC_4_DSC",
+        "KPI_FLG", "PER_DSC"],
+    "PANEL_E_OTHERS": ["CHL_DSC", "PDT_PCK", "CAT_DSC", "CNY_DSC", "SGM_DSC", "BRD_DSC", "VRY_DSC", "SVR_DSC",
+        "SBR_DSC", "CPC_N01", "CPC_N02", "UPC_COD", "KPI_FLG", "PER_DSC"],
+    "PANEL_E_PHARMA": ["MKT_DSC", "GEO_DSC", "TYP_MKT_DSC", "SGM_DSC", "SGM_SUB_DSC", "CNY_DSC", "PDT_DSC", "PDT_PCK",
+        "KPI_FLG", "PER_DSC"],
+    "PANEL_D_UNION_TRA": ["GEO_COD", "PDT_COD", "CHL_COD", "SRC_DSC", "PER_DSC", "SAL_VAL", "SAL_UNT"],
+}
+OUTPUT = {
+    "PANEL_A_FOOD": ["PDT_COD", "CHL_COD", "SAL_TYP_COD", "SRC_DSC", "PER_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS",
+        "SOURCE_CODE", "LOA_DAT"],
+    "PANEL_A_MILK": ["PDT_COD", "CHL_COD", "SAL_TYP_COD", "SRC_DSC", "PER_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS",
+        "SOURCE_CODE", "LOA_DAT"],
+    "PANEL_B": ["GEO_COD", "GEO_DSC", "PDT_COD", "CHL_COD", "SAL_TYP_COD", "SRC_DSC", "PER_DSC", "SO_VALUES",
+        "SO_UNITS", "SO_KILOS", "SOURCE_CODE", "LOA_DAT"],
+    "PANEL_C": ["PDT_COD", "CHL_COD", "SAL_TYP_COD", "SRC_DSC", "PER_DSC", "SO_VALUES", "SO_UNITS", "SO_KILOS",
+        "SOURCE_CODE", "LOA_DAT"],
+    "PANEL_D_UNION": ["GEO_COD", "PDT_COD", "PER_DSC", "SRC_DSC", "SO_VALUES", "SO_UNITS", "CHL_COD", "SAL_TYP_COD",
+        "SOURCE_CODE", "LOA_DAT"],
+    "PANEL_F": ["PDT_COD", "PDT_PCK", "CHL_COD", "SAL_TYP_COD", "KPI_FLG_COD", "KPI_VAL", "PER_DSC", "SRC_COD",
+        "SRC_DSC_ORG", "LOA_DAT"],
+    "PANEL_G": ["PDT_COD", "PDT_PCK", "CHL_COD", "SAL_TYP_COD", "KPI_FLG_COD", "KPI_VAL", "PER_DSC", "SRC_COD",
+        "SRC_DSC_ORG", "LOA_DAT"],
+    "PANEL_H": ["PDT_COD", "PDT_PCK", "CHL_COD", "SAL_TYP_COD", "KPI_FLG_COD", "KPI_VAL", "PER_DSC", "SRC_COD",
+        "SRC_DSC_ORG", "LOA_DAT"],
+    "PANEL_I": ["PDT_COD", "PDT_PCK", "CHL_COD", "SAL_TYP_COD", "KPI_FLG_COD", "KPI_VAL", "PER_DSC", "SRC_COD",
+        "SRC_DSC_ORG", "LOA_DAT"],
+    "PANEL_E_OTHERS": ["PDT_COD", "PDT_PCK", "CHL_DSC", "CAT_DSC", "CNY_DSC", "SGM_DSC", "BRD_DSC", "VRY_DSC",
+        "SVR_DSC", "SBR_DSC", "CPC_N01", "CPC_N02", "UPC_COD", "CHL_COD", "PER_DSC", "SRC_COD", "SAL_TYP_COD",
+        "KPI_FLG_COD", "KPI_VAL", "LOA_DAT", "SRC_DSC_ORG"],
+    "PANEL_E_PHARMA": ["PDT_COD", "PDT_PCK", "CHL_COD", "SAL_TYP_COD", "KPI_FLG_COD", "KPI_VAL", "PER_DSC", "SRC_COD",
+        "SRC_DSC_ORG", "LOA_DAT"],
+    "PANEL_D_UNION_TRA": ["GEO_COD", "PDT_COD", "PER_DSC", "SRC_DSC", "SAL_TYP_COD", "CHL_COD", "SAL_VAL", "SAL_UNT",
+        "SAL_CUN", "SAL_PVA_VAL", "SRC_DSC_ORG", "LOA_DAT", "SAL_ORG_COD"],
+}
+
 def _columns(stage: str) -> list[str]:
     return list(STAGING[stage])
 
@@ -85,8 +133,8 @@ for name, (period, where) in WIDE_PANELS.items():
     body = _pt_sql(name, period, geo=name == "PANEL_B")
     add(f"load_{name.lower()}", lambda spark, sf, name=name: _doubles(_load(spark, sf, name)), f"""
 WITH {sql_base()}, stg AS ({sql_staging(panel.staging)}), {PT_MAPS},
-latest AS ({sql_latest('stg', panel.keys, _columns(panel.staging), where + f" AND LOA_DAT > {EPOCH}")})
-{_sql_doubles(body, panel.output)}""")
+latest AS ({sql_latest('stg', KEYS[name], _columns(panel.staging), where + f" AND LOA_DAT > {EPOCH}")})
+{_sql_doubles(body, OUTPUT[name])}""")
 
 
 # ---- the whole incremental reload: first load, then the newer slice replaces its periods ----
@@ -105,8 +153,8 @@ for name in ["PANEL_A_FOOD", "PANEL_A_MILK", "PANEL_B", "PANEL_C"]:
     period, where = WIDE_PANELS[name]
     geo = name == "PANEL_B"
     columns = _columns(panel.staging)
-    first = sql_latest("stg", panel.keys, columns, f"{where} AND LOA_DAT > {EPOCH} AND LOA_DAT <= {CUT}")
-    second = sql_latest("stg", panel.keys, columns, f"{where} AND LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
+    first = sql_latest("stg", KEYS[name], columns, f"{where} AND LOA_DAT > {EPOCH} AND LOA_DAT <= {CUT}")
+    second = sql_latest("stg", KEYS[name], columns, f"{where} AND LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
     body = _pt_sql(name, period, geo)
     result = f"""SELECT * FROM target WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.PER_DSC = target.PER_DSC)
 UNION ALL SELECT * FROM batch"""
@@ -115,7 +163,7 @@ WITH {sql_base()}, stg AS ({sql_staging(panel.staging)}), {PT_MAPS},
 old_rows AS ({first}), target AS ({body.replace('FROM latest', 'FROM old_rows')}),
 new_rows AS ({second}), batch AS ({body.replace('FROM latest', 'FROM new_rows')}),
 gone AS (SELECT DISTINCT {period} AS PER_DSC FROM stg WHERE LOA_DAT > (SELECT max(LOA_DAT) FROM target))
-{_sql_doubles(result, panel.output)}""")
+{_sql_doubles(result, OUTPUT[name])}""")
 
 
 # ---- tall panels ---------------------------------------------------------------------
@@ -151,13 +199,13 @@ TALL_PANELS = {
 }
 for name, (product, source_code, channel, sales, where) in TALL_PANELS.items():
     panel = panels.PANELS[name]
-    body = _es_sql(name, product, source_code, panel.output, channel, sales)
+    body = _es_sql(name, product, source_code, OUTPUT[name], channel, sales)
     if name == "PANEL_E_OTHERS":
         body += " WHERE UPC_COD <> 'Not Available'"
     add(f"load_{name.lower()}", lambda spark, sf, name=name: _doubles(_load(spark, sf, name)), f"""
 WITH {sql_base()}, stg AS ({sql_staging(panel.staging)}), {ES_MAPS},
-latest AS ({sql_latest('stg', panel.keys, _columns(panel.staging), where + f" AND LOA_DAT > {EPOCH}")})
-{_sql_doubles(body, panel.output)}""")
+latest AS ({sql_latest('stg', KEYS[name], _columns(panel.staging), where + f" AND LOA_DAT > {EPOCH}")})
+{_sql_doubles(body, OUTPUT[name])}""")
 
 
 def append_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,32 +216,31 @@ def append_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _panel = panels.PANELS["PANEL_F"]
-_body = _es_sql("PANEL_F", "CAT_DSC", 2, _panel.output)
-_first = sql_latest("stg", _panel.keys, _columns(_panel.staging), f"LOA_DAT <= {CUT}")
-_second = sql_latest("stg", _panel.keys, _columns(_panel.staging), "LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
+_body = _es_sql("PANEL_F", "CAT_DSC", 2, OUTPUT["PANEL_F"])
+_first = sql_latest("stg", KEYS["PANEL_F"], _columns(_panel.staging), f"LOA_DAT <= {CUT}")
+_second = sql_latest("stg", KEYS["PANEL_F"], _columns(_panel.staging), "LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
 add("append_incremental", append_panel, f"""
 WITH {sql_base()}, stg AS ({sql_staging(_panel.staging)}), {ES_MAPS},
 old_rows AS ({_first}), target AS ({_body.replace('FROM latest', 'FROM old_rows')}),
 new_rows AS ({_second}), batch AS ({_body.replace('FROM latest', 'FROM new_rows')})
-{_sql_doubles('SELECT * FROM target UNION ALL SELECT * FROM batch', _panel.output)}""")
+{_sql_doubles('SELECT * FROM target UNION ALL SELECT * FROM batch', OUTPUT["PANEL_F"])}""")
 
 
 # ---- panel D: three feeds ----------------------------------------------------------------
 
 def _union_sql(prefix: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT *, '{f}' AS SRC_DSC FROM ({sql_staging(prefix + f)}) AS {f.lower()}" for f in panels.PANEL_D_FEEDS)
+        f"SELECT *, '{f}' AS SRC_DSC FROM ({sql_staging(prefix + f)}) AS {f.lower()}" for f in ["PANEL_D_MASS", "PANEL_D_META", "PANEL_D_PHARMA"])
 
 
-_d = panels.PANELS["PANEL_D_UNION"]
-_d_latest = sql_latest("stg", _d.keys, [*_columns("TRA_PT_PANEL_D"), "SRC_DSC"], f"LOA_DAT > {EPOCH}")
+_d_latest = sql_latest("stg", KEYS["PANEL_D_UNION"], [*_columns("TRA_PT_PANEL_D"), "SRC_DSC"], f"LOA_DAT > {EPOCH}")
 _feed_label = "CASE SRC_DSC WHEN 'PANEL_D_MASS' THEN '2' WHEN 'PANEL_D_PHARMA' THEN '3' WHEN 'PANEL_D_META' THEN '4' END"
 _d_body = ("SELECT GEO_COD, PDT_COD, substr(PER_DSC, 1, 6) AS PER_DSC, l.SRC_DSC, SO_VALUES, SO_UNITS, CHL_COD, "
            "m.SAL_TYP_COD, SOURCE_CODE, LOA_DAT FROM (SELECT *, " + _feed_label + " AS label FROM latest) AS l "
            "LEFT JOIN MAP_PT_SALES_TYPE AS m ON m.SRC_DSC = l.SRC_DSC AND m.SAL_TYP_SRC = l.label")
 add("load_panel_d_union", lambda spark, sf: _doubles(_load(spark, sf, "PANEL_D_UNION")), f"""
 WITH {sql_base()}, stg AS ({_union_sql('TRA_PT_')}), {PT_MAPS}, latest AS ({_d_latest})
-{_sql_doubles(_d_body, _d.output)}""")
+{_sql_doubles(_d_body, OUTPUT["PANEL_D_UNION"])}""")
 
 
 def reload_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,25 +254,24 @@ def reload_feeds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _columns_d = [*_columns("TRA_PT_PANEL_D"), "SRC_DSC"]
-_first = sql_latest("stg", _d.keys, _columns_d, f"LOA_DAT <= {CUT}")
-_second = sql_latest("stg", _d.keys, _columns_d, "LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
+_first = sql_latest("stg", KEYS["PANEL_D_UNION"], _columns_d, f"LOA_DAT <= {CUT}")
+_second = sql_latest("stg", KEYS["PANEL_D_UNION"], _columns_d, "LOA_DAT > (SELECT max(LOA_DAT) FROM target)")
 _kept = """SELECT * FROM target WHERE PER_DSC NOT IN (SELECT PER_DSC FROM gone) UNION ALL SELECT * FROM batch"""
 add("reload_panel_d_union", reload_feeds, f"""
 WITH {sql_base()}, stg AS ({_union_sql('TRA_PT_')}), {PT_MAPS},
 old_rows AS ({_first}), target AS ({_d_body.replace('FROM latest', 'FROM old_rows')}),
 new_rows AS ({_second}), batch AS ({_d_body.replace('FROM latest', 'FROM new_rows')}),
 gone AS (SELECT DISTINCT substr(PER_DSC, 1, 6) AS PER_DSC FROM stg WHERE LOA_DAT > (SELECT max(LOA_DAT) FROM target))
-{_sql_doubles(_kept, _d.output)}""")
+{_sql_doubles(_kept, OUTPUT["PANEL_D_UNION"])}""")
 
-_t = panels.PANELS["PANEL_D_UNION_TRA"]
-_t_latest = sql_latest("stg", _t.keys, [*_columns("D_PT_PANEL_D"), "SRC_DSC"], "true")
+_t_latest = sql_latest("stg", KEYS["PANEL_D_UNION_TRA"], [*_columns("D_PT_PANEL_D"), "SRC_DSC"], "true")
 _t_body = ("SELECT GEO_COD, PDT_COD, substr(PER_DSC, 1, 6) AS PER_DSC, l.SRC_DSC, st.SAL_TYP_COD, ch.CHL_COD, SAL_VAL, "
            "SAL_UNT, SAL_CUN, SAL_PVA_VAL, SRC_DSC_ORG, LOA_DAT, SAL_ORG_COD FROM latest AS l "
            "LEFT JOIN MAP_PT_SALES_TYPE AS st ON st.SRC_DSC = l.SRC_DSC AND st.SAL_TYP_SRC = l.CHL_COD "
            "LEFT JOIN MAP_PT_CHANNEL AS ch ON ch.SRC_DSC = l.SRC_DSC AND ch.CHL_SRC = l.CHL_COD")
 add("load_panel_d_union_tra", lambda spark, sf: _doubles(_load(spark, sf, "PANEL_D_UNION_TRA")), f"""
 WITH {sql_base()}, stg AS ({_union_sql('D_PT_')}), {PT_MAPS}, latest AS ({_t_latest})
-{_sql_doubles(_t_body, _t.output)}""")
+{_sql_doubles(_t_body, OUTPUT["PANEL_D_UNION_TRA"])}""")
 
 
 # ---- operators on their own ------------------------------------------------------------------
