@@ -23,7 +23,7 @@ from ..schemas import STAGING, STAR_COLUMNS, star_schema
 from ..sources import star_csv
 from ..sources.layers import Warehouse
 from ..sources.versions import Manifest, Receipt, part_of, value_of
-from . import calendars, marts, mastering, panels, star
+from . import calendars, marts, mastering, panels, rollups, star
 
 Tables = dict[str, DataFrame]
 
@@ -139,6 +139,8 @@ STEPS = [
         t["FACT_BIRTH_RATE"].select(F.col("PER_DSC").alias("period_id"), F.col("BIRTH_RATE").cast("double").alias("value")), t["DIM_CALENDAR"])),
     Step(_STAR, "FLAT_FACT", {"FACT_TABLE": _STAR, **{d: _STAR for d in star.RELATIONS}}, _flat, "period_id", {"FACT_TABLE": _whole_number},
          fixed=frozenset({"DIM_CALENDAR"})),
+    *[Step(_STAR, r.table, {"FACT_TABLE": _STAR, **{d: _STAR for d in r.dimensions()}}, lambda t, r=r: r.of(t["FACT_TABLE"], t), "period_id",
+           {"FACT_TABLE": _whole_number}) for r in rollups.ROLLUPS],
 ]
 
 

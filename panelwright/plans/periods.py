@@ -218,3 +218,12 @@ def all_anchors(
 def compare_back(monthly: DataFrame, dims: list[str], months: int, out: str, value: str = "sales") -> DataFrame:
     """Value of the same member some months earlier (1 = previous period, 12 = previous year), on a month grid."""
     return monthly.withColumn(out, F.lag(value, months).over(Window.partitionBy(*dims).orderBy("pidx")))
+
+
+def in_calendar(fact: DataFrame, calendar: DataFrame, condition: Column | str, period: str = "period_id") -> DataFrame:
+    """The fact's rows whose month meets a condition over the calendar's columns (a quarter, the current year, ...).
+
+    The months are looked up at run time: on a fact in partitions by period, the join prunes the partitions that the
+    calendar leaves out before any of their files is opened.
+    """
+    return fact.join(calendar.filter(condition).select(period), period, "left_semi")

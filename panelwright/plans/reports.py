@@ -397,6 +397,18 @@ def dynamic_report(market: DataFrame, dims: list[str], sel: Selection) -> DataFr
     return topk.ranked(sums, "sales", *dims)
 
 
+def dynamic_report_with_subtotals(market: DataFrame, dims: list[str], sel: Selection) -> DataFrame:
+    """Sales of the window by the columns, with a subtotal row for each of the first columns and a total row: one
+    aggregation for all, and one exchange. ``level`` is the number of columns that a row is of; the others are NULL there."""
+    if not dims:
+        raise ValueError("choose at least one field")
+    rows = periods.within(market, sel.current).filter(sel.current.condition())
+    # the grouping id has a bit for each column that a row sums over, the last column's lowest
+    level = F.lit(len(dims)) - F.bit_count(F.grouping_id())
+    sums = rows.rollup(*dims).agg(F.sum("value").cast("double").alias("sales"), level.cast("int").alias("level"))
+    return sums.orderBy("level", F.desc_nulls_last("sales"), *dims)
+
+
 # ---- loaded periods and context -------------------------------------------------
 
 def loaded_periods(fact: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def product_dimension(products: DataFrame, numbers: DataFrame, category_numbers:
         "sub_category": F.col("SUB_CAT_DSC"), "sub_brand": F.col("SUB_BRD_DSC"), "product": F.col("PDT_DSC"),
     }
     rows = numbered.select(*[described[name].cast(kind).alias(name) for _, name, kind in STAR_COLUMNS["DIM_PROD"]])
-    return rows.unionByName(_not_assigned(products.sparkSession, "DIM_PROD", "product_id"))
+    return rows.unionByName(_not_assigned(products.sparkSession, "DIM_PROD", "product_id").withColumn("conversor_lkg", F.lit(1.0)))
 
 
 def category_dimension(products: DataFrame, numbers: DataFrame, source_numbers: DataFrame) -> DataFrame:
@@ -140,20 +140,21 @@ def derived_litres(kg: Column, factor: Column) -> Column:
     return F.round(kg * factor, 2)
 
 
-def tall_fact(base: DataFrame, products: DataFrame) -> DataFrame:
-    """The star fact: base measures plus units (3) and litres (4) derived from the volume.
-
-    One pass over ``base``: each row turns into itself and, for a volume row of
-    a known product, its two derived rows.
-    """
-    factors = products.select(
+def _factors(products: DataFrame, *wanted: str) -> DataFrame:
+    """What the derived measures need of a product, and the asked columns."""
+    return products.select(
         F.col("product_id").alias("_product"),
         unit_weight("format").alias("_weight"),
         F.col("conversor_lkg").cast("decimal(9,4)").alias("_litres_per_kg"),
+        *wanted,
     )
+
+
+def _with_derived(joined: DataFrame, keep: list[str]) -> DataFrame:
+    """Each base row with its product's factors turns into itself and, for a volume row of a known product, its two derived
+    rows."""
     kg = F.col("value").cast("decimal(18,4)")
     derivable = (F.col("kpi_flag_id") == 1) & F.col("_product").isNotNull()
-    joined = base.join(factors, base["product_id"] == F.col("_product"), "left")
 
     def entry(flag: Column, value: Column) -> Column:
         return F.struct(flag.cast("int").alias("kpi_flag_id"), value.cast("decimal(18,4)").alias("value"))
@@ -165,8 +166,38 @@ def tall_fact(base: DataFrame, products: DataFrame) -> DataFrame:
             F.when(derivable, entry(F.lit(4), derived_litres(kg, F.col("_litres_per_kg")))),
         )
     )
-    keys = [name for _, name, _ in STAR_COLUMNS["FACT_TABLE"] if name not in ("kpi_flag_id", "value")]
-    return joined.select(*keys, F.inline(rows)).select(*[name for _, name, _ in STAR_COLUMNS["FACT_TABLE"]])
+    return joined.select(*keep, F.inline(rows))
+
+
+def tall_fact(base: DataFrame, products: DataFrame) -> DataFrame:
+    """The star fact: base measures plus units (3) and litres (4) derived from the volume, in one pass over ``base``."""
+    joined = base.join(_factors(products), base["product_id"] == F.col("_product"), "left")
+    keys_ = [name for _, name, _ in STAR_COLUMNS["FACT_TABLE"] if name not in ("kpi_flag_id", "value")]
+    return _with_derived(joined, keys_).select(*[name for _, name, _ in STAR_COLUMNS["FACT_TABLE"]])
+
+
+def wide_from_base(base: DataFrame, dims: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """The wide rows of the base measures and those derived from them.
+
+    The same as ``wide_fact(tall_fact(base, ...), dims)``, but the star is joined before the derived rows are made: a base
+    row is joined once, and the product dimension, the one that may be large, serves factors and columns in one join. What
+    ``base`` lacks of the asked columns, its keys aside, comes from the dimensions.
+    """
+    columns = columns or WIDE_COLUMNS
+    needed = needed_dimensions(columns, {*base.columns, "kpi_flag_id", "value"})
+    after = needed.pop("DIM_UNITS", [])
+    out = base.join(_factors(dims["DIM_PROD"], *needed.pop("DIM_PROD", [])), F.col("product_id") == F.col("_product"), "left")
+    for table, wanted in needed.items():
+        out = out.join(dims[table].select(RELATIONS[table], *wanted), RELATIONS[table], "left")
+    keep = [c for c in columns if c not in after and c not in ("kpi_flag_id", "value", "pidx")]
+    if "pidx" in columns and "period_id" not in keep:
+        keep.append("period_id")
+    out = _with_derived(out, keep)
+    if after:
+        out = out.join(dims["DIM_UNITS"].select(RELATIONS["DIM_UNITS"], *after), RELATIONS["DIM_UNITS"], "left")
+    if "pidx" in columns:
+        out = out.withColumn("pidx", dates.pidx_of_period("period_id"))
+    return out.select(*columns)
 
 
 def base_fact(mart: DataFrame) -> DataFrame:
@@ -190,6 +221,15 @@ def _dimension_of(column: str) -> str:
     raise ValueError(f"no dimension has a column {column}")
 
 
+def needed_dimensions(columns: list[str], own: set[str]) -> dict[str, list[str]]:
+    """Dimension → the asked columns that it supplies."""
+    needed: dict[str, list[str]] = {}
+    for column in columns:
+        if column not in own and column != "pidx":
+            needed.setdefault(_dimension_of(column), []).append(column)
+    return needed
+
+
 def wide_fact(fact: DataFrame, dims: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
     """Star join. Only the dimensions that supply an asked column are joined.
 
@@ -198,13 +238,8 @@ def wide_fact(fact: DataFrame, dims: dict[str, DataFrame], columns: list[str] |
     No join is hinted: dimensions are broadcast when their size allows it.
     """
     columns = columns or WIDE_COLUMNS
-    own = set(fact.columns)
-    needed: dict[str, list[str]] = {}
-    for column in columns:
-        if column not in own and column != "pidx":
-            needed.setdefault(_dimension_of(column), []).append(column)
     out = fact
-    for table, wanted in needed.items():
+    for table, wanted in needed_dimensions(columns, set(fact.columns)).items():
         key = RELATIONS[table]
         out = out.join(dims[table].select(key, *wanted), key, "left")
     if "pidx" in columns:
@@ -212,6 +247,24 @@ def wide_fact(fact: DataFrame, dims: dict[str, DataFrame], columns: list[str] |
     return out.select(*columns)
 
 
+def write_colocated(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame], database: str, path: str, buckets: int) -> None:
+    """The fact and the product dimension as catalog tables in equal buckets of the product, the small dimensions with
+    statistics: the star join then needs no exchange of the fact, whatever the sizes. A product with most of the rows makes
+    one bucket large; its files are read by one task each, so choose buckets by the largest product."""
+    for table, rows in (("FACT_TABLE", fact), ("DIM_PROD", dims["DIM_PROD"])):
+        bucketed = rows.repartition(buckets, "product_id").sortWithinPartitions("product_id")
+        bucketed.write.mode("overwrite").bucketBy(buckets, "product_id").sortBy("product_id").option("path", f"{path}/{table}").saveAsTable(
+            f"{database}.{table}")
+    for table in RELATIONS:
+        if table != "DIM_PROD":
+            dims[table].coalesce(1).write.mode("overwrite").option("path", f"{path}/{table}").saveAsTable(f"{database}.{table}")
+            spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS")
+
+
+def read_colocated(spark: SparkSession, database: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    return spark.table(f"{database}.FACT_TABLE"), {t: spark.table(f"{database}.{t}") for t in RELATIONS}
+
+
 def flat_extract(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The denormalised extract, 21 columns."""
     return wide_fact(fact, dims, FLAT_COLUMNS)

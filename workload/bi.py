@@ -10,7 +10,7 @@ from panelwright.operators.grid import dense_months
 from panelwright.plans import measures, periods, reports
 
 from .registry import add, rounded, table
-from .star_view import METRICS, SQL_CALENDAR, months, sql_wide, wide
+from .star_view import METRICS, SQL_CALENDAR, calendar as star_calendar, months, sql_wide, wide
 
 ANCHOR = 200012
 COMPANY = "Brand#12"
@@ -824,6 +824,30 @@ for name, dims, kind in [
     add(name, lambda spark, sf, dims=dims, kind=kind: dynamic(spark, sf, dims, kind),
         f"WITH {sql_wide()} SELECT {_by}, round(CAST(sum(value) AS DOUBLE), 4) AS sales FROM wf "
         f"WHERE {between(kind)} GROUP BY {_by}")
+
+
+def subtotals(spark, sf):
+    dims = ["market", "type_channel", "business_area", "format", "etapas"]
+    rows = wide(spark, sf, [*dims, "pidx"], months=spanned(selection("TAM")))
+    return rounded(reports.dynamic_report_with_subtotals(rows, dims, selection("TAM")), sales=4)
+
+
+add("dynamic_report_subtotals", subtotals,
+    f"WITH {sql_wide()} SELECT market, type_channel, business_area, format, etapas, "
+    "round(CAST(sum(value) AS DOUBLE), 4) AS sales, CAST(5 - grouping(market) - grouping(type_channel) - grouping(business_area) "
+    f"- grouping(format) - grouping(etapas) AS INTEGER) AS level FROM wf WHERE {between('TAM')} "
+    "GROUP BY ROLLUP (market, type_channel, business_area, format, etapas)")
+
+
+def first_quarters(spark, sf):
+    """Sales by company over the months that the calendar puts into the first quarter."""
+    rows = periods.in_calendar(wide(spark, sf, ["manufacturer", "period_id"]), star_calendar(spark, sf), "quarter = 1")
+    return rounded(rows.groupBy("manufacturer").agg(F.sum("value").cast("double").alias("sales")), sales=4)
+
+
+add("sales_in_calendar_quarter", first_quarters,
+    f"WITH {sql_wide()} SELECT manufacturer, round(CAST(sum(value) AS DOUBLE), 4) AS sales FROM wf "
+    "WHERE month_number BETWEEN 1 AND 3 GROUP BY 1")
 add("dynamic_report_total", lambda spark, sf: dynamic(spark, sf, ["market", "category"], "TAM", True),
     f"WITH {sql_wide()}, r AS (SELECT market, category, CAST(sum(value) AS DOUBLE) AS v FROM wf "
     f"WHERE {between('TAM')} GROUP BY 1, 2) "

@@ -9,8 +9,8 @@ from panelwright.plans import calendars, measures, quality, reports, star
 
 from .registry import add, table
 from .star_view import (
-    SQL_CALENDAR, SQL_COLUMNS, SQL_FORMAT, SQL_FROM, SQL_KG, SQL_LITRES, SQL_NET, SQL_UNITS, calendar, categories, dims,
-    fact, mart, sql_wide, wide,
+    SQL_CALENDAR, SQL_COLUMNS, SQL_FORMAT, SQL_FROM, SQL_KG, SQL_LITRES, SQL_NET, SQL_UNITS, base_without_products, calendar,
+    categories, dims, fact, mart, sql_wide, wide,
 )
 
 KEYS = ["period_id", "product_id", "channel_id", "sales_type_id", "category_id", "product_pack"]
@@ -70,7 +70,11 @@ SQL_JOINED = ("fact LEFT JOIN prod USING (product_id) LEFT JOIN chan USING (chan
 
 
 def _wide_rows(spark, sf):
-    return star.wide_fact(fact_rows(spark, sf), dims(spark, sf))
+    return _doubles(star.wide_from_base(base_without_products(spark, sf), dims(spark, sf)))
+
+
+def _doubles(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("value", F.col("value").cast("double"))
 
 
 add("wide_fact", _wide_rows, f"""
@@ -79,7 +83,7 @@ SELECT period_id, CAST(year(cal.date) AS INTEGER) AS year, CAST(month(cal.date)
   strftime(cal.date, '%B') AS month_long, strftime(cal.date, '%Y-%m') AS period_name, cal.date AS date, cal.pidx,
   product, brand, sub_brand, manufacturer, business_area, category, sub_category, format, etapas, market, channel,
   sub_channel, type_channel, sales_type, {_metric} AS metric, value FROM {SQL_JOINED}""")
-add("flat_extract", lambda spark, sf: star.flat_extract(fact_rows(spark, sf), dims(spark, sf)), f"""
+add("flat_extract", lambda spark, sf: _doubles(star.wide_from_base(base_without_products(spark, sf), dims(spark, sf), star.FLAT_COLUMNS)), f"""
 WITH {SQL_FACT}, {SQL_PRODUCTS}, {SQL_CHANNELS}, {SQL_SALES_TYPES}, {SQL_CALENDAR}
 SELECT period_id, cal.date AS date, CAST(year(cal.date) AS INTEGER) AS year,
   CAST(quarter(cal.date) AS INTEGER) AS quarter, strftime(cal.date, '%B') AS month_long,
@@ -90,7 +94,7 @@ FROM {SQL_JOINED}""")
 
 def star_report(spark, sf):
     """A report over the star itself: metric slicer on the fact, joined dimensions only."""
-    rows = star.wide_fact(fact_rows(spark, sf), dims(spark, sf), ["metric", "manufacturer", "year", "value"])
+    rows = _doubles(star.wide_from_base(base_without_products(spark, sf), dims(spark, sf), ["metric", "manufacturer", "year", "value"]))
     rows = reports.apply_filters(rows, "Unidades")
     return rows.groupBy("manufacturer", "year").agg(F.sum("value").alias("units"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.plans import calendars, star
+from panelwright.sources.rows import inline_rows
 
 from .registry import table
 
@@ -161,6 +162,13 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(*[f"{c} AS {n}" for n, c in names.items()], kinds)
 
 
+def base_without_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rows of the star that know their product by its number only: ``part`` is left to the product dimension."""
+    rows = lines(spark, sf_dir, ["period_id", "channel_id", "sales_type_id"], {"product_id": "CAST(l_partkey AS INT)", "kg": KG, "net": NET})
+    kinds = f"inline(array((1, {_exact('kg')}), (2, {_exact('net')}))) AS (kpi_flag_id, value)"
+    return rows.selectExpr("period_id", "product_id", "channel_id", "sales_type_id", kinds)
+
+
 def _of(table_name: str, *columns: str) -> list[str]:
     assert all(COLUMNS[c][0] == table_name for c in columns)
     return [f"{COLUMNS[c][1]} AS {c}" for c in columns]
@@ -175,18 +183,23 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def members(spark: SparkSession, schema: str, values: list[str], *more) -> DataFrame:
+    """A small dimension of listed members and the one for others, as constant rows: their size is known to every plan."""
+    return inline_rows(spark, schema, [(i, v, *[f(v) for f in more]) for i, v in [*enumerate(values, 1), (99, "NOT_ASSIGNED")]])
+
+
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").selectExpr(*_of("customer", "channel_id", "channel", "type_channel"))
-    return rows.distinct().withColumn("sub_channel", F.concat("channel", F.lit(" Sub")))
+    return members(spark, "channel_id int, channel string, type_channel string, sub_channel string", SEGMENTS,
+                   lambda v: "Offline" if v in ("BUILDING", "MACHINERY") else "Online", lambda v: f"{v} Sub")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").selectExpr(*_of("part", "category_id"), "p_type AS category_name").distinct()
+    rows = members(spark, "category_id int, category_name string", CATEGORIES)
     return rows.withColumn("source_id", F.expr("CAST(category_id % 3 + 1 AS INT)"))
 
 
 def sales_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*_of("orders", "sales_type_id", "sales_type")).distinct()
+    return members(spark, "sales_type_id int, sales_type string", SALES_TYPES)
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
