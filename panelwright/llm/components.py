@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut
 
+#: Edges in a written file, and the fewest files: a round writes three tables, none larger than twice the first edges.
+EDGES, FILES = 100_000, 8
 
-def _nearest(edges: DataFrame) -> DataFrame:
+
+def _nearest(edges: DataFrame, files: int) -> DataFrame:
     """(u, m): the smallest of u and its neighbours. Written, so that the join with the edges exchanges both sides and
     Spark can split a node with very many neighbours."""
-    return cut(edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")))
+    return cut(edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")).coalesce(files))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,16 +25,16 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = cut(links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
+    state, files = None, max(FILES, -(-edges.count() // EDGES))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_nearest(both), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = _nearest(large)
+        large = both.join(_nearest(both, files), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = _nearest(large, files)
         small = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().coalesce(files))
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if now == state:
             break
         state = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return cut(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
+    return cut(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).coalesce(files))

@@ -27,7 +27,13 @@ STEPS = 64
 
 def _pieces(length: int, path: str | None, with_ids: bool):
     def run(batches):
-        ids_of = encoder(path).encode_all
+        held = encoder(path)
+        try:
+            yield from cut_up(batches, held.encode_all)
+        finally:
+            held.forget()
+
+    def cut_up(batches, ids_of):
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)

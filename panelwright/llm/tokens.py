@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public BPE tokenizer with word ends.
 
 Such a tokenizer never looks across white space, nor across the letter runs, digits and signs that it cuts a chunk into, so
-a text's ids are those of its parts in a row. Each Python worker keeps the ids of the parts that it has met, in a cache of
-fixed size; what is new in some texts goes through the tokenizer together. Texts that aren't all Latin are taken by chunks
-between white space: chunks outside Latin script, and those with special tokens, go to the tokenizer as they are.
+a text's ids are those of its parts in a row. A task keeps the ids of the parts that it has met, in a cache of fixed size;
+what is new in some texts goes through the tokenizer together. Texts that aren't all Latin are taken by chunks between white
+space: chunks outside Latin script, and those with special tokens, go to the tokenizer as they are.
 """
 
 from __future__ import annotations
@@ -50,6 +50,11 @@ class Encoder:
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the caches; the worker may go on with other work."""
+        self.chunks.clear()
+        self.parts.clear()
+
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
