@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import shared_folder
+
 #: Words are runs of anything but the six ASCII white-space characters.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -37,11 +37,10 @@ def text_or_empty(name: str) -> Column:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Have somewhere to checkpoint: the folder that the session names, or a new one where it names none (as in tests)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-", dir=os.environ.get("TMPDIR")))
+    """Have somewhere to checkpoint: the folder that the session names. A local session without one gets a temporary folder;
+    on a cluster that is an error, as executors don't share such folders."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ stand in a fixed pseudo-random order; the cumulative words up to a document, inv
 demand, give the moment at which the document is trained on. Sorting by that moment by range gives the training order.
 
 A running sum over a source would put the largest source into one task, so it is built from two: sums per hash bucket
-of a source (4,096 buckets, so at most that many rows per source), and the running sum inside a bucket.
+of a source (4,096 buckets, so at most that many rows per source), and the running sum inside a bucket. Sources, of which
+there may be as many as hosts, are numbered and summed in ranges in the same way.
 
 Cases: a null text has no words and is never taken. Sources are ordered by code point, null last, and null is a source
 of its own. Documents without an id, and rows that repeat, each count. Ties in the order are broken by id, size and
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, column, text_or_empty, unpack, whole_row
+from .common import WORD, column, cut, text_or_empty, unpack, whole_row
 
 #: A source is taken three times at most.
 MOST = 3
@@ -56,10 +57,24 @@ def _moment(share: Column, segments: Column, whole: Column) -> Column:
     return F.least(seg["u"], seg["t"] + F.when(rest > 0, 2 * rest / (seg["a"] + root)).otherwise(F.lit(0.0)))
 
 
+def _sums_before(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Rows with the sums over all rows that come before them, in two levels: in ranges of the order, and over the sums of
+    the ranges, which are as many as there are shuffle partitions. No task sees all rows."""
+    dealt = cut(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    whole = dealt.groupBy("_range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    ranges = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = whole.select(F.col("_range").alias("_of"), *[F.col(n).alias(f"{n}_of") for n in sums]).select(
+        "_of", *[F.coalesce(F.sum(f"{n}_of").over(ranges), F.lit(0)).alias(f"{n}_of") for n in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = dealt.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(n) for n, c in sums.items()])
+    return within.join(F.broadcast(offsets), F.col("_range") == F.col("_of")).select(
+        *rows.columns, *[(F.col(n) + F.col(f"{n}_of")).alias(n) for n in sums])
+
+
 def _numbered(sources: DataFrame) -> DataFrame:
-    """Sources in code-point order with the weights 1, 2, 3, repeating. The sources of a mix are a short list."""
-    n = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source"))
-    return sources.withColumn("weight", ((n - 1) % 3 + 1).cast("long"))
+    """Sources in code-point order, null last, with the weights 1, 2, 3, repeating."""
+    rows = _sums_before(sources, [F.col("source").isNull(), F.col("source")], {"_ahead": F.lit(1)})
+    return rows.withColumn("weight", (F.col("_ahead") % 3 + 1).cast("long")).drop("_ahead")
 
 
 def targets(sources: DataFrame, schedules: dict[int, list[tuple[float, float]]] = SCHEDULES) -> DataFrame:
@@ -73,18 +88,16 @@ def targets(sources: DataFrame, schedules: dict[int, list[tuple[float, float]]]
     for w, knots in schedules.items():
         integral = F.when(F.col("weight") == w, F.lit(area(knots))).otherwise(integral)
     rows = _numbered(sources).withColumn("_w", F.col("weight") * integral).withColumn("_most", MOST * F.col("source_size"))
-    before = Window.orderBy(F.col("_most") / F.col("_w"), F.col("source").isNull(), "source")
-    earlier, whole = before.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    rows = rows.select(
-        "*", F.sum("source_size").over(whole).alias("_all"), F.sum("_w").over(whole).alias("_weights"),
-        F.coalesce(F.sum("_most").over(earlier), F.lit(0)).alias("_given"),
-        F.coalesce(F.sum("_w").over(earlier), F.lit(0.0)).alias("_used"))
-    stops = (F.col("_all") - F.col("_given")) * F.col("_w") > F.col("_most") * (F.col("_weights") - F.col("_used"))
-    rows = rows.withColumn("_stops", stops)
-    rows = rows.select(
-        "*", F.sum(F.when(F.col("_stops"), F.col("_most")).otherwise(0)).over(whole).alias("_full"),
-        F.sum(F.when(F.col("_stops"), 0.0).otherwise(F.col("_w"))).over(whole).alias("_open"))
-    level = F.when(F.col("_open") > 0, (F.col("_all") - F.col("_full")) / F.col("_open")).otherwise(F.lit(0.0))
+    order = [F.col("_most") / F.col("_w"), F.col("source").isNull(), F.col("source")]
+    rows = _sums_before(rows, order, {"_given": F.col("_most"), "_used": F.col("_w")})
+    both = rows.agg(F.struct(F.sum("source_size").alias("words"), F.sum("_w").alias("weights"))).scalar()
+    rows = rows.withColumn("_all", both)
+    stops = (F.col("_all.words") - F.col("_given")) * F.col("_w") > F.col("_most") * (F.col("_all.weights") - F.col("_used"))
+    rows = cut(rows.withColumn("_stops", stops))
+    left = rows.agg(F.struct(F.sum(F.when(F.col("_stops"), F.col("_most")).otherwise(0)).alias("full"),
+                             F.sum(F.when(F.col("_stops"), 0.0).otherwise(F.col("_w"))).alias("open"))).scalar()
+    rows = rows.withColumn("_left", left)
+    level = F.when(F.col("_left.open") > 0, (F.col("_all.words") - F.col("_left.full")) / F.col("_left.open")).otherwise(F.lit(0.0))
     target = F.when(F.col("_stops"), F.col("_most").cast("double")).otherwise(level * F.col("_w"))
     return rows.select("source", "source_size", "weight", target.alias("target"))
 
@@ -103,7 +116,7 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     sized = docs.select(row, column(source_col).cast("string").alias("source"), _words(text).alias("size"), key.alias("_key"),
                         column(id_col).alias("_id"), F.xxhash64(text).alias("_tie"))
     sized = sized.withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
-    buckets = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
+    buckets = cut(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum")))
     by_source = Window.partitionBy("source").orderBy("_bucket")
     ahead = buckets.select("source", "_bucket", (F.sum("_sum").over(by_source) - F.col("_sum")).alias("_ahead"))
     goal = targets(buckets.groupBy("source").agg(F.sum("_sum").alias("source_size")), schedules)

@@ -65,22 +65,28 @@ o AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS weights,
 c AS (SELECT *, (total - given) * w > most * (weights - used) AS stops FROM o),
 l AS (SELECT *, sum(CASE WHEN stops THEN most ELSE 0 END) OVER () AS full_size,
              sum(CASE WHEN stops THEN 0 ELSE w END) OVER () AS open_weight FROM c),
-t AS (SELECT source, source_size, CASE WHEN stops THEN CAST(most AS DOUBLE) WHEN open_weight > 0
+t AS (SELECT source, source_size, w, CASE WHEN stops THEN CAST(most AS DOUBLE) WHEN open_weight > 0
              THEN CAST(total - full_size AS DOUBLE) / CAST(open_weight AS DOUBLE) * w ELSE 0 END AS target FROM l),
 r AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS ahead FROM d),
-p AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.ahead,
+p AS (SELECT r.doc_id, r.size, t.source_size, t.target, t.w, r.ahead,
              CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS passes
-      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(passes * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - passes * source_size - ahead)) AS BIGINT) AS taken
-FROM p
+      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source),
+x AS (SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - passes * source_size - ahead)) AS part FROM p),
+y AS (SELECT *, CAST(passes * size + part AS BIGINT) AS taken, CASE WHEN passes * size + part > 0
+             THEN least(1.0, (ahead + (CASE WHEN passes > 0 THEN size ELSE part END) / 2) / target) END AS share FROM x)
+SELECT doc_id, size, source_size, target, taken, CASE WHEN share IS NOT NULL THEN round(CASE w
+         WHEN 1 THEN least(1.0, 2 * share / (1.5 + sqrt(greatest(2.25 - 2 * share, 0))))
+         WHEN 2 THEN least(1.0, share)
+         WHEN 3 THEN CASE WHEN share < 0.375 THEN least(0.5, 2 * share / (0.5 + sqrt(0.25 + 2 * share)))
+                          ELSE least(1.0, 0.5 + 2 * (share - 0.375) / (1 + sqrt(1 + 2 * (share - 0.375)))) END END, 9) END AS position
+FROM y
 """)
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in training order, by the moment it is first trained on; those not taken come last."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     rows = curriculum.taken(curriculum.placed(docs, carry=False))
     return curriculum.in_order(rows, F.col("position").asc_nulls_last(), "doc.doc_id").select(
-        "doc.doc_id", "size", "source_size", "target", "taken")
+        "doc.doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
 @query("op4_curriculum_order")

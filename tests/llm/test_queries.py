@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import duckdb
+import pandas
 import pytest
 
 from panelwright.llm import queries
@@ -20,7 +21,8 @@ def test_twin(spark, sf, name):
     want = db.execute(queries.SQL[name]).fetchdf()
     order = sorted(got.columns)
     assert order == sorted(want.columns)
-    rows = lambda frame: collections.Counter(frame[order].itertuples(index=False, name=None))
+    plain = lambda row: tuple(None if pandas.isna(v) else v for v in row)
+    rows = lambda frame: collections.Counter(map(plain, frame[order].itertuples(index=False, name=None)))
     assert rows(got.toPandas()) == rows(want)
 
 
