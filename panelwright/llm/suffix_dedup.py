@@ -6,9 +6,9 @@ run of bytes, about 80 starts in 280 bytes, and strings can only repeat among ru
 as a whole repeat as a whole and are settled by counting. Only grams with different runs need the text: there the two
 sides of the anchor are suffix-sorted, deep and shallow, and give the extents that runs share.
 
-Steps: scan texts for runs and count them by (gram, run); scan them again for the runs of undecided grams, which a Bloom
-filter tells, and sort those per gram; name the documents that have a run that is covered, and send them what is covered.
-Texts are exchanged once, at the end. Copies of a text count as one there. A gram with more than
+Steps: scan texts for runs and count them by (gram, run); scan them again for the runs of undecided grams, each from one
+text that Bloom filters tell, and sort those per gram; scan them for the places of all covered runs, and send each text its
+places. Texts are exchanged once, at the end. Copies of a text count as one there. A gram with more than
 ``most_runs`` different runs isn't sorted in one task: its windows are counted by digest instead, which gives the same.
 
 Cases: a null text has no bytes. Rows that repeat are copies of each other, so both lose their passages. Ids may be null.
@@ -86,9 +86,9 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _scan(length: int, only: BloomFilter | None = None):
+def _count(length: int):
     """(gram, run, tid, n) for the runs of all texts, counted over many texts of a task first, so that a common run costs a
-    row per half million. With ``only``, each text names its different runs, of the grams that the filter has."""
+    row per half million; ``tid`` is the least text that has it."""
     def run(batches):
         held, size = [], 0
 
@@ -96,10 +96,7 @@ def _scan(length: int, only: BloomFilter | None = None):
             gram, digest, tid = (np.concatenate([h[j] for h in held]) for j in range(3))
             order = np.lexsort((tid, digest, gram))
             gram, digest, tid = gram[order], digest[order], tid[order]
-            new = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
-            if only is not None:
-                new |= tid[1:] != tid[:-1]
-            first = np.flatnonzero(np.concatenate([[True], new]))
+            first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])]))
             n = np.diff(np.concatenate([first, [len(gram)]]))
             return pa.RecordBatch.from_arrays(
                 [_signed(gram[first]), _signed(digest[first]), pa.array(tid[first]), pa.array(n)], ["gram", "run", "tid", "n"])
@@ -107,9 +104,6 @@ def _scan(length: int, only: BloomFilter | None = None):
         for batch in batches:
             tids = batch.column("tid").to_numpy()
             for row, data, _, gram, of, start, end, _ in _runs(batch.column("text"), length):
-                if only is not None and len(gram):
-                    asked = only.has(gram)
-                    gram, of, start, end = gram[asked], of[asked], start[asked], end[asked]
                 if len(gram):
                     held.append((gram, _digests(data, start, end), tids[row + of]))
                     size += len(gram)
@@ -121,28 +115,53 @@ def _scan(length: int, only: BloomFilter | None = None):
     return run
 
 
-def _fetch(length: int, only: BloomFilter):
-    """The runs of the grams that the filter has: their bytes and where the anchor is. A task names a run once in half a
-    million."""
+def _one_hash(gram: np.ndarray, run: np.ndarray, tid: np.ndarray) -> np.ndarray:
+    """A hash of a run together with a text that has it."""
+    return mixed(mixed(gram ^ (run * _PLACE[0])) ^ (tid.view(np.uint64) * _PLACE[1]))
+
+
+def _named(batches):
+    for batch in batches:
+        gram, run, tid = (batch.column(c).to_numpy() for c in ("gram", "run", "tid"))
+        yield pa.RecordBatch.from_arrays([_signed(_one_hash(gram.view(np.uint64), run.view(np.uint64), tid))], ["key"])
+
+
+def _fetch(length: int, grams: BloomFilter, only: BloomFilter):
+    """The runs of undecided grams from the text that was named for them: their bytes and where the anchor is."""
     def run(batches):
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for _, data, _, gram, _, start, end, anchor in _runs(batch.column("text"), length):
-                if not len(gram):
+            tids = batch.column("tid").to_numpy()
+            for row, data, _, gram, of, start, end, anchor in _runs(batch.column("text"), length):
+                asked = np.flatnonzero(grams.has(gram)) if len(gram) else []
+                if not len(asked):
+                    continue
+                gram, of, start, end, anchor = (x[asked] for x in (gram, of, start, end, anchor))
+                digest = _digests(data, start, end)
+                asked = np.flatnonzero(only.has(_one_hash(gram, digest, tids[row + of])))
+                if not len(asked):
                     continue
-                asked = only.has(gram)
-                gram, start, end, anchor = gram[asked], start[asked], end[asked], anchor[asked]
-                out, view = [], memoryview(np.ascontiguousarray(data))
-                named = zip(gram.view(np.int64).tolist(), _digests(data, start, end).view(np.int64).tolist(), start.tolist(), end.tolist(), anchor.tolist())
-                for g, r, s, e, a in named:
-                    if (g, r) not in seen:
-                        seen.add((g, r))
-                        out.append((g, r, a - s, bytes(view[s:e])))
-                if len(seen) > HELD:
-                    seen.clear()
-                if out:
+                gram, digest, start, end, anchor = (x[asked] for x in (gram, digest, start, end, anchor))
+                _, first = np.unique(np.stack([gram, digest]), axis=1, return_index=True)
+                view = memoryview(np.ascontiguousarray(data))
+                held = [bytes(view[a:b]) for a, b in zip(start[first].tolist(), end[first].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(gram[first]), _signed(digest[first]), pa.array((anchor - start)[first], pa.int32()), pa.array(held, pa.binary())],
+                    ["gram", "run", "at", "bytes"])
+    return run
+
+
+def _places(length: int, only: BloomFilter):
+    """(gram, run, tid, s, e) for every place in a text of a run whose gram the filter has."""
+    def run(batches):
+        for batch in batches:
+            tids = batch.column("tid").to_numpy()
+            for row, data, offsets, gram, of, start, end, _ in _runs(batch.column("text"), length):
+                asked = np.flatnonzero(only.has(gram)) if len(gram) else []
+                if len(asked):
+                    gram, of, start, end = (x[asked] for x in (gram, of, start, end))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int32(), pa.binary()])], ["gram", "run", "at", "bytes"])
+                        [_signed(gram), _signed(_digests(data, start, end)), pa.array(tids[row + of]), pa.array(start - offsets[of]), pa.array(end - offsets[of])],
+                        ["gram", "run", "tid", "s", "e"])
     return run
 
 
@@ -194,35 +213,25 @@ def _sort(length: int):
     return run
 
 
-def _remove(length: int):
-    def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
-                covered = [{(c["gram"], c["run"]): c["spans"] for c in x or ()} for x in batch.column("covered").to_pylist()]
-                kept, n_bytes, n_removed, n_spans = [], [], [], []
-                for row, data, offsets, gram, of, start, end, _ in _runs(batch.column("text"), length):
-                    raw = data.tobytes()
-                    spans: dict[int, list[tuple[int, int]]] = {}
-                    if any(covered[row: row + len(offsets) - 1]):
-                        named = zip(gram.view(np.int64).tolist(), _digests(data, start, end).view(np.int64).tolist(), of.tolist(), start.tolist(), end.tolist())
-                        for g, r, i, s, e in named:
-                            if (g, r) in covered[row + i]:
-                                parts = covered[row + i][g, r]
-                                spans.setdefault(i, []).extend([(s + p["s"], s + p["e"]) for p in parts] if parts is not None else [(s, e)])
-                    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                        gone, left, here = _merged(spans.get(i, [])), [], a
-                        for s, e in gone:
-                            left.append(raw[here:s])
-                            here = e
-                        kept.append(b"".join([*left, raw[here:b]]))
-                        n_bytes.append(b - a)
-                        n_removed.append(sum(e - s for s, e in gone))
-                        n_spans.append(len(gone))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                     pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return run
+def _remove(batches):
+    """Cut the covered places out of each text."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 128):
+            batch = whole.slice(at, 128)
+            kept, n_bytes, n_removed, n_spans = [], [], [], []
+            for text, places in zip(batch.column("text"), batch.column("covered").to_pylist()):
+                raw = text.as_py()
+                gone, left, here = _merged([(p["s"], p["e"]) for p in places or ()]), [], 0
+                for s, e in gone:
+                    left.append(raw[here:s])
+                    here = e
+                kept.append(b"".join([*left, raw[here:]]))
+                n_bytes.append(len(raw))
+                n_removed.append(sum(e - s for s, e in gone))
+                n_spans.append(len(gone))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                 pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
@@ -237,14 +246,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = texts.select("tid", "text")
 
     # One exchange by gram serves the counts of runs and, over these, of grams.
-    runs = both.mapInArrow(_scan(length), scanned).repartition("gram").groupBy("gram", "run").agg(F.sum("n").alias("n"))
+    runs = both.mapInArrow(_count(length), scanned).repartition("gram").groupBy("gram", "run").agg(
+        F.sum("n").alias("n"), F.min("tid").alias("tid"))
     of_gram = Window.partitionBy("gram")
     known = cut(runs.select("*", F.count("*").over(of_gram).alias("runs"), F.min("n").over(of_gram).alias("fewest")).where("n > 1 or runs > 1"))
 
-    # The texts are read again, and only runs of such grams leave their task. The filter lets a few others pass; those have
-    # no count here.
-    asked = known.where("runs > 1 and fewest = 1").select("gram", "run", "n", (F.col("runs") > most_runs).alias("many"))
-    fetched = both.mapInArrow(_fetch(length, BloomFilter(asked, "gram")), "gram bigint, run bigint, at int, bytes binary")
+    # The texts are read again, and each run of such grams leaves its task once, from the text named for it. The filters let
+    # a few others pass; those have no count here.
+    asked = known.where("runs > 1 and fewest = 1").select("gram", "run", "n", (F.col("runs") > most_runs).alias("many"), "tid")
+    wanted = _fetch(length, BloomFilter(asked, "gram"), BloomFilter(asked.mapInArrow(_named, "key bigint"), "key"))
+    fetched = both.mapInArrow(wanted, "gram bigint, run bigint, at int, bytes binary")
+    asked = asked.drop("tid")
     found = fetched.unionByName(asked, allowMissingColumns=True).repartition("gram").groupBy("gram", "run").agg(
         F.max("n").alias("n"), F.max("many").alias("many"), F.max(F.struct("at", "bytes")).alias("own")).where("n is not null").select(
         "gram", "run", "n", "own.at", "own.bytes", "many")
@@ -260,8 +272,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     settled = known.where("n > 1").select("gram", "run", F.lit(None).cast(spans).alias("spans"))
     covered = settled.unionByName(sorted_).unionByName(windowed)
 
-    where = both.mapInArrow(_scan(length, BloomFilter(known, "gram")), scanned).select("gram", "run", "tid")
-    per_text = where.join(covered, ["gram", "run"]).groupBy("tid").agg(
-        F.collect_list(F.struct("gram", "run", "spans")).alias("covered"))
+    where = both.mapInArrow(_places(length, BloomFilter(known, "gram")), "gram bigint, run bigint, tid bigint, s bigint, e bigint")
+    place = F.struct("s", "e")
+    parts = F.transform("spans", lambda p: F.struct((F.col("s") + p["s"]).alias("s"), (F.col("s") + p["e"]).alias("e")))
+    per_text = where.join(covered, ["gram", "run"]).select("tid", F.explode(F.when(F.col("spans").isNull(), F.array(place)).otherwise(parts)).alias("place"))
+    per_text = per_text.groupBy("tid").agg(F.collect_set("place").alias("covered"))
     rows = texts.join(per_text, "tid", "left").select("id", "text", "covered")
-    return rows.mapInArrow(_remove(length), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return rows.mapInArrow(_remove, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
