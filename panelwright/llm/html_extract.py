@@ -6,8 +6,9 @@ labels a page's blocks together. It is trained here, by maximum likelihood, on l
 writes in several layouts; ``train`` takes any others.
 
 Cases: a null or empty page, and one without text, gives an empty text. Broken and cut-off markup is read as browsers
-do, as far as blocks go, but for a video, picture or the like that is never closed: its tag is passed over and the text
-after it kept. Null ids, repeated rows and extra columns don't matter, as each page is read by itself; an
+do, as far as blocks go, but that no text is lost: a tag or quoted value that never ends is taken to end at the tag's first
+``>`` (without one, the page ends there), and of a video, picture or the like that is never closed only the tag goes. Pages
+of any size and depth take time and memory in proportion. Null ids, repeated rows and extra columns don't matter, as each page is read by itself; an
 empty table gives an empty result.
 """
 
@@ -28,18 +29,10 @@ Page = tuple[list[Block], list[int]]
 PAGES, STEPS, RATE, DAMPING = 600, 150, 0.15, 0.3
 
 
-@functools.lru_cache(maxsize=4096)
-def _around(path: tuple[tuple[str, frozenset[str]], ...]) -> tuple[str, ...]:
-    tags = [tag for tag, _ in path]
-    words = {w for _, named in path for w in named}
-    inner = path[-1][1] if path else ()
-    return (*{f"in:{t}" for t in tags}, *{f"named:{w}" for w in words}, *{f"own:{w}" for w in inner}, f"tag:{tags[-1] if tags else '-'}",
-            f"parent:{tags[-2] if len(tags) > 1 else '-'}")
-
-
 def features(block: Block, at: int, n: int) -> list[str]:
     text, size = block.text, len(block.text)
-    out = list(_around(block.path))
+    place = block.place
+    out = [f"tag:{place.tag}", f"parent:{place.above}", *place.around, *(f"own:{w}" for w in place.words)] if place else ["tag:-", "parent:-"]
     share = block.linked / size
     out.append(f"links:{0 if not block.linked else 1 if share < 0.3 else 2 if share < 0.8 else 3}")
     out.append(f"size:{min(8, int(math.log2(size + 1)))}")
@@ -117,7 +110,7 @@ def decode(page: list[Block], weights: dict[str, float], change: list[list[float
 
 
 def main_text(page: str, model: tuple[dict[str, float], list[list[float]]]) -> str:
-    found = blocks(page)
+    found = blocks(page, model[0])
     return "\n".join(b.text for b, label in zip(found, decode(found, *model)) if label)
 
 
