@@ -5,9 +5,11 @@ such patterns miss: e-mail addresses that are spelled out, phone numbers without
 numbers, and secrets such as passwords and access keys. It scores whole candidate spans by what they look like and what
 stands before them, and dynamic programming over spans of bounded length picks boundaries and kinds together.
 
-A span of the field holds a trigger: a token with a digit, an @, or an "at" in brackets. So it is decoded on the tokens
-around triggers only, whole texts being scanned for those, and the result is that of decoding the whole text. Spans found
-by pattern stay and are barriers. The field is trained here by maximum likelihood on sentences that ``labelled`` writes.
+A span of the field holds a trigger: a token with a digit, an @, an "at" in brackets, or what a word such as password is
+said to be. So it is decoded on the tokens around triggers only, whole texts being scanned for those, and the result is that
+of decoding the whole text. Spans that can't have a positive score, by a bound from what stands before them and how long they
+are, are not looked at closer, which changes nothing and keeps tables of numbers cheap. Spans found by pattern stay and are
+barriers. The field is trained here by maximum likelihood on sentences that ``labelled`` writes.
 
 Cases: a null or empty text has no spans. Null ids, repeated rows and extra columns don't matter, as each text is read by
 itself. Ties between decodings go to fewer spans. An empty table gives an empty result.
@@ -15,9 +17,12 @@ itself. Ties between decodings go to fewer spans. An empty table gives an empty
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,7 @@ from .common import column, text_or_empty
 
 BASE = ("email", "ip", "card", "phone")
 LABELS = ("email", "phone", "id", "secret")
-LONGEST, AROUND = 14, 16
+LONGEST, AROUND = 24, 26
 Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -83,8 +88,13 @@ def base_spans(text: str) -> list[Span]:
 
 # --- the field -------------------------------------------------------------------------------------------------------
 
-_TRIGGER = re.compile(r"[^\W_]*[0-9][^\W_]*|@|[\[({<]\s?at\s?[\])}>]", re.I)
+#: A secret's own word comes before what it is set to.
+_TRIGGER = re.compile(r"[^\W_]*[0-9][^\W_]*|@|[\[({<]\s?at\s?[\])}>]|\b(?:password|passwd|passphrase|pwd|secret)\s?[:=]\s?[\"']?([^\W_]+)", re.I)
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+_AT = re.compile(r"[\[({<]\s?at\s?[\])}>]", re.I)
+_DOT = r"(?:\.|\s?[\[({<]\s?dot\s?[\])}>]\s?|\sdot\s)"
+_ADDRESS = re.compile(rf"[\w+-]+(?:{_DOT}[\w+-]+)*\s?[\[({{<]\s?at\s?[\])}}>]\s?[\w-]+(?:{_DOT}[\w-]+)+")
+_GOES_ON = re.compile(rf"{_DOT}[a-z]", re.I)
 _SHAPES = re.compile(r"[0-9]+|[^\W\d_]+|\s+")
 
 
@@ -98,29 +108,35 @@ def _mixture(text: str) -> str:
     return "".join(k for k, has in zip("dlu", kinds) if has)
 
 
+def _start_features(text: str, tokens: list[tuple[int, int]], i: int) -> list[str]:
+    """Of a span that starts at token i, whatever its end."""
+    start = tokens[i][0]
+    before = [text[a:b].lower() for a, b in tokens[max(0, i - 3): i]]
+    word = next((t for t in reversed(before) if t[0].isalpha()), "-")
+    out = ["bias", f"word:{word}", f"before:{before[-1] if before else '-'}", f"first:{text[start] if not text[start].isalnum() else 'x'}"]
+    if i and tokens[i - 1][1] == start and text[start - 1].isalnum() is False and text[start - 1] in "-.@_/":
+        out.append("joined before")
+    return out
+
+
 def span_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -> list[str]:
     """Of the span from token i to before token j, as a whole."""
     start, end = tokens[i][0], tokens[j - 1][1]
     span = text[start:end]
     plain = "".join(c for c in span if c.isalnum())
     n_digits, lower = len(_digits(plain)), span.lower()
-    before = [text[a:b].lower() for a, b in tokens[max(0, i - 3): i]]
-    word = next((t for t in reversed(before) if t[0].isalpha()), "-")
     shape = _shape(span)
     alone = j == i + 1
     kind = f"{_mixture(plain)}:{min(len(plain) // 4, 10)}"
-    out = ["bias", f"shape:{shape}", f"tokens:{j - i}", f"word:{word}", f"before:{before[-1] if before else '-'}",
-           f"first:{span[0] if not span[0].isalnum() else 'x'}", f"last:{span[-1] if not span[-1].isalnum() else 'x'}",
+    out = [*_start_features(text, tokens, i), f"shape:{shape}", f"tokens:{j - i}", f"last:{span[-1] if not span[-1].isalnum() else 'x'}",
            f"digits:{min(n_digits, 12)}", f"{'one' if alone else 'many'}:{kind}"]
     if alone and plain and n_digits and len(plain) >= 12 and n_digits < len(plain):
         out.append("hex" if all(c in "0123456789abcdef" for c in lower) else "key")
-    if re.search(r"[\[({<]\s?at\s?[\])}>]", lower):
+    if _AT.search(lower):
         out.append("at")
         out.append("dotted" if re.search(r"(?:\.|[\[({<]?\s?dot\s?[\])}>]?)\s?[a-z]{2,}$", lower) else "undotted")
-    if "\n" in span:
-        out.append("broken")
-    if i and tokens[i - 1][1] == start and text[start - 1].isalnum() is False and text[start - 1] in "-.@_/":
-        out.append("joined before")
+        if _ADDRESS.fullmatch(lower):
+            out.append("part of address" if _GOES_ON.match(text, end) or "joined before" in out else "whole address")
     if j < len(tokens) and tokens[j][0] == end and text[end] in "-@_/" or j + 1 < len(tokens) and text[end: end + 1] == "." and tokens[j + 1][0] == end + 1:
         out.append("joined after")
     return out
@@ -143,27 +159,118 @@ def candidates(text: str, tokens: list[tuple[int, int]], triggers: set[int]) ->
     return out
 
 
+def _trigger_spans(text: str) -> Iterator[tuple[int, int]]:
+    for m in _TRIGGER.finditer(text):
+        yield m.span(1) if m[1] is not None else m.span()
+
+
 def _triggers(text: str, tokens: list[tuple[int, int]]) -> set[int]:
-    spans = [(m.start(), m.end()) for m in _TRIGGER.finditer(text)]
-    return {k for k, (a, b) in enumerate(tokens) if any(a < e and b > s for s, e in spans)}
+    """The tokens that triggers touch; both come in order."""
+    found, k = set(), 0
+    for start, end in _trigger_spans(text):
+        while k < len(tokens) and tokens[k][1] <= start:
+            k += 1
+        t = k
+        while t < len(tokens) and tokens[t][0] < end:
+            found.add(t)
+            t += 1
+    return found
 
 
 Weights = dict[str, tuple[float, ...]]
 
 
-def decode(text: str, weights: Weights) -> list[Span]:
-    """The best segmentation of a short text into spans and single tokens (which score nothing)."""
+class Field:
+    """Weights, and for each label the most that features can add that aren't known before a span is looked at closely."""
+
+    #: Features of where a span starts, how many tokens, digits and letters it has and its shape, which are known; of
+    #: spelled-out addresses; of single tokens. All others are bounded for all spans.
+    KNOWN = ("bias", "tokens", "word", "before", "first", "joined before", "shape", "digits", "many")
+    ADDRESS = ("at", "dotted", "undotted", "part of address", "whole address")
+    ALONE = ("hex", "key", "one")
+
+    def __init__(self, weights: Weights):
+        self.weights = weights
+        groups: dict[str, list[tuple[float, ...]]] = {}
+        for name, w in weights.items():
+            groups.setdefault(name.partition(":")[0], []).append(w)
+
+        def most(wanted) -> list[float]:
+            best = [[max(0.0, *(w[k] for w in ws)) for k in range(len(LABELS))] for g, ws in groups.items() if wanted(g)]
+            return [sum(b[k] for b in best) for k in range(len(LABELS))]
+
+        self.address, self.alone = most(lambda g: g in self.ADDRESS), most(lambda g: g in self.ALONE)
+        self.others = most(lambda g: g not in (*self.KNOWN, *self.ADDRESS, *self.ALONE))
+
+    def sum(self, names: list[str]) -> list[float]:
+        found = [w for f in names if (w := self.weights.get(f)) is not None]
+        return [sum(w[k] for w in found) for k in range(len(LABELS))]
+
+    def spans(self, text: str, tokens: list[tuple[int, int]], triggers: set[int]) -> Iterator[tuple[int, int, int, float]]:
+        """(from token, to token, label, score) of the candidates with a positive score."""
+        weights, n_tokens, nothing = self.weights, len(tokens), (0.0,) * len(LABELS)
+        shapes = [_shape(text[a:b]) for a, b in tokens]
+        ends_well = [text[b - 1].isalnum() for _, b in tokens]
+        gaps = [text[a[1]: b[0]] for a, b in zip(tokens, tokens[1:])]
+        at_ends = [m.end() for m in _AT.finditer(text)]
+        chars = [text[a:b] for a, b in tokens]
+        sums = [[0] for _ in range(5)]  # of digits, of letters and digits, of tokens with a digit, a small and a great letter
+        for c in chars:
+            for total, n in zip(sums, (len(_digits(c)), len(c) if c[0].isalnum() else 0, any(map(str.isdigit, c)), any(map(str.islower, c)),
+                                       any(map(str.isupper, c)))):
+                total.append(total[-1] + n)
+        digits, plain, *mixed = sums
+        by_digits = [self.sum([f"digits:{n}"]) for n in range(13)]
+        by_kind = {(m, n): self.sum([f"many:{''.join(c for c, x in zip('dlu', m) if x)}:{n}"])
+                   for m in itertools.product((False, True), repeat=3) for n in range(11)}
+        most_of = [max(0.0, *(w[k] for w in by_digits)) + max(0.0, *(w[k] for w in by_kind.values())) for k in range(len(LABELS))]
+        # the most that a span of n tokens can have besides what stands before it and its shape, digits and letters
+        by_count = [[c + o for c, o in zip(self.sum([f"tokens:{n}"]), self.others)] for n in range(LONGEST + 1)]
+        by_count[1] = [x + y for x, y in zip(by_count[1], self.alone)]
+        next_held, held = n_tokens, [0] * n_tokens  # the next trigger at or after each token
+        for k in range(n_tokens - 1, -1, -1):
+            next_held = k if k in triggers else next_held
+            held[k] = next_held
+        for i, (a, _) in enumerate(tokens):
+            if held[i] >= min(n_tokens, i + LONGEST) or not (text[a].isalnum() or text[a] in "(+"):
+                continue
+            before = self.sum(_start_features(text, tokens, i))
+            last = tokens[min(n_tokens, i + LONGEST) - 1][1]
+            at = bisect.bisect_left(at_ends, a)
+            if at < len(at_ends) and at_ends[at] <= last:
+                before = [x + y for x, y in zip(before, self.address)]
+            possible = [any(x + c + m > 0 for x, c, m in zip(before, most, most_of)) for most in by_count]
+            shape = shapes[i]
+            for j in range(i + 1, min(n_tokens, i + LONGEST) + 1):
+                if j > i + 1:
+                    gap = gaps[j - 2]
+                    if "\n" in gap:
+                        break
+                    shape += (" " if gap else "") + shapes[j - 1]
+                if held[i] >= j or not ends_well[j - 1]:
+                    continue
+                own = weights.get("shape:" + shape, nothing)
+                if own is nothing and not possible[j - i]:
+                    continue
+                by_d = by_digits[min(digits[j] - digits[i], 12)]
+                by_k = by_kind[tuple(m[j] > m[i] for m in mixed), min((plain[j] - plain[i]) // 4, 10)] if j > i + 1 else nothing
+                if all(x + c + o + d + k <= 0 for x, c, o, d, k in zip(before, by_count[j - i], own, by_d, by_k)):
+                    continue
+                for k, score in enumerate(self.sum(span_features(text, tokens, i, j))):
+                    if score > 0:  # below, single tokens are better
+                        yield i, j, k, score
+
+
+def decode(text: str, field: Field | Weights) -> list[Span]:
+    """The best segmentation of a text into spans and single tokens (which score nothing)."""
+    field = field if isinstance(field, Field) else Field(field)
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
     triggers = _triggers(text, tokens)
     if not triggers:
         return []
     ending: dict[int, list[tuple[int, float, str]]] = {}
-    for i, j in candidates(text, tokens, triggers):
-        found = [w for f in span_features(text, tokens, i, j) if (w := weights.get(f)) is not None]
-        for k, label in enumerate(LABELS):
-            score = sum(w[k] for w in found)
-            if score > 0:  # below, single tokens are better
-                ending.setdefault(j, []).append((i, score, label))
+    for i, j, k, score in field.spans(text, tokens, triggers):
+        ending.setdefault(j, []).append((i, score, LABELS[k]))
     best: list[float] = [0.0]
     step: list[tuple[int, str | None]] = [(0, None)]
     for j in range(1, len(tokens) + 1):
@@ -182,22 +289,23 @@ def decode(text: str, weights: Weights) -> list[Span]:
     return out[::-1]
 
 
-def added_spans(text: str, base: list[Span], weights: Weights) -> list[Span]:
+def added_spans(text: str, base: list[Span], field: Field | Weights) -> list[Span]:
     """The field's spans outside those found by pattern. Stretches around triggers are decoded by themselves: between
     stretches no span can stand, and at their edges they hold all tokens that a span of LONGEST could use."""
+    field = field if isinstance(field, Field) else Field(field)
     taken, out, last = [(s, e) for _, s, e in base], [], None
     stretches: list[list[int]] = []
     at = 0
-    for m in _TRIGGER.finditer(text):
-        while at < len(taken) and taken[at][1] <= m.start():
+    for start, end in _trigger_spans(text):
+        while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if at < len(taken) and taken[at][0] < m.end():
+        if at < len(taken) and taken[at][0] < end:
             continue
-        if last is not None and m.start() - last < 4000 and not _apart(text, last, m.start()):
-            stretches[-1][1] = m.end()
+        if last is not None and not _apart(text, last, start):
+            stretches[-1][1] = end
         else:
-            stretches.append([m.start(), m.end()])
-        last = m.end()
+            stretches.append([start, end])
+        last = end
     for first, end in stretches:
         low, high = first, end
         for _ in range(AROUND):
@@ -211,12 +319,12 @@ def added_spans(text: str, base: list[Span], weights: Weights) -> list[Span]:
                 high = s
         cuts = [low, *[x for s, e in taken if s >= low and e <= high for x in (s, e)], high]
         for a, b in zip(cuts[::2], cuts[1::2]):
-            out.extend((kind, a + s, a + e) for kind, s, e in decode(text[a:b], weights))
+            out.extend((kind, a + s, a + e) for kind, s, e in decode(text[a:b], field))
     return sorted({s for s in out if not any(s[1] < e and s[2] > b for b, e in taken)}, key=lambda s: (s[1], s[2], s[0]))
 
 
 def _apart(text: str, a: int, b: int) -> bool:
-    return sum(1 for _ in _TOKEN.finditer(text, a, b)) > 2 * AROUND
+    return sum(1 for _ in itertools.islice(_TOKEN.finditer(text, a, b), 2 * AROUND + 1)) > 2 * AROUND
 
 
 def _before(text: str, at: int) -> int:
@@ -232,7 +340,7 @@ def _before(text: str, at: int) -> int:
 
 # --- training --------------------------------------------------------------------------------------------------------
 
-SENTENCES, STEPS, RATE, DAMPING = 700, 60, 0.1, 0.15
+SENTENCES, STEPS, RATE, DAMPING = 2000, 80, 0.1, 0.15
 
 
 class _Sentences:
@@ -262,7 +370,10 @@ class _Sentences:
             at = r.choice((" [at] ", "[at]", " (at) ", "(at)", " {at} ", " <at> "))
             dot = r.choice((".", " dot ", " [dot] ", "[dot]", ".", " (dot) "))
             local = w() + r.choice(("", "." + w(), "_" + w(), d(2), "." + d(2)))
-            return r.choice(("", "mail", "contact", "email:", "write to")), local + at + w() + dot + r.choice(("com", "org", "net", "de", "example.com")), label
+            parts = [w() for _ in range(r.choice((1, 1, 2, 2, 3)))]
+            if r.random() < 0.15:
+                local = dot.join((local, w()))
+            return r.choice(("", "mail", "contact", "email:", "write to")), local + at + dot.join(parts) + dot + r.choice(("com", "org", "net", "de", "example.com")), label
         if label == "phone":
             form = r.choice((f"({d(3)}) {d(3)}-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"({d(3)}){d(3)}-{d(4)}", f"0{d(2)} {d(3)} {d(4)}", f"0{d(3)}/{d(6)}"))
             return r.choice(("", "call", "tel", "phone:", "tel:", "phone")), form, label
@@ -271,7 +382,11 @@ class _Sentences:
                 return r.choice(("ssn", "ssn:", "SSN", "", "social security number")), f"{d(3)}-{d(2)}-{d(4)}", label
             return r.choice(("iban", "IBAN:", "account", "")), r.choice(("DE", "FR", "ES", "GB")) + d(2) + " " + " ".join(d(4) for _ in range(4)) + " " + d(2), label
         kind = r.random()
-        if kind < 0.35:
+        if kind < 0.2:
+            letters = "abcdefghijklmnopqrstuvwxyz"
+            before = r.choice(("password:", "password =", "passwd=", "secret=", "pwd:", 'password="', "passphrase:"))
+            return before, "".join(r.choices(letters + letters[::2].upper(), k=r.randint(7, 14))), label
+        if kind < 0.4:
             return r.choice(("password=", "password:", "passwd=", "pwd =", "password =")), self.of("0123456789abcdef", r.randint(10, 24)), label
         if kind < 0.7:
             return r.choice(('token = "', 'token="', "api_key=", 'secret: "', "token:", 'api_key = "', "secret=")), self.of("0123456789abcdef", r.choice((32, 40, 40, 64))), label
@@ -284,6 +399,7 @@ class _Sentences:
         return r.choice((f"{r.randint(1, 31)}.{r.randint(1, 12)}.20{d(2)}", f"20{d(2)}-0{r.randint(1, 9)}-{r.randint(10, 28)}", f"version {r.randint(1, 9)}.{r.randint(0, 9)}", f"{r.randint(1, 9)}.{r.randint(0, 9)}.{r.randint(0, 20)}",
                          f"${d(2)}.{d(2)}", f"{d(1)},{d(3)},{d(3)}", f"{r.randint(1, 12)}:{r.randint(10, 59)}", f"19{d(2)}", f"20{d(2)}", f"({d(4)})", f"{d(2)}%", f"page {d(3)}", f"{d(2)}-{d(2)}",
                          f"{w()}{d(2)}", f"[{d(1)}]", f"ISBN {d(3)}-{d(1)}-{d(4)}", f"{d(12)}", f"{d(16)}", f"{d(4)} {d(4)}", f"{d(2)} {w()}", f"@{w()}", f"{w()} {d(5)}", f"RFC {d(4)}", f"{d(3)}.{d(3)}", f"{w()}-{d(3)}-{d(2)}",
+                         f"secret: {r.choice(('the', 'of', 'a', 'in', 'not', 'it', 'we', 'for'))} {w()}", f"password: {r.choice(('see', 'is', 'the', 'to', 'your'))} {w()}",
                          "GNU General Public License, version 3.", "CC BY-NC 4.0.", "Apache License, Version 2.0.", f"{d(3)}.{d(3)}.{d(3)}.{d(3)}", f"{d(20)}"))
 
     def sentence(self) -> tuple[str, list[Span]]:
@@ -374,12 +490,13 @@ def _find(weights: Weights):
     order = {k: n for n, k in enumerate((*BASE, *(x for x in LABELS if x not in BASE)))}
 
     def run(batches):
+        field = Field(weights)
         for batch in batches:
             base, every = [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 fixed = base_spans(text)
-                more = added_spans(text, fixed, weights)
+                more = added_spans(text, fixed, field)
                 base.append(fixed)
                 every.append(sorted([*fixed, *more], key=lambda s: (s[1], order[s[0]])) if more else fixed)
             kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
