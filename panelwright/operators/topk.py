@@ -16,8 +16,8 @@ def top(df: DataFrame, k: int, measure: str, *ties: str) -> DataFrame:
 
 
 def only_members(df: DataFrame, key: str, members: DataFrame) -> DataFrame:
-    """Rows of the given members. ``members`` comes from a top-k, so it is at most k rows."""
-    return df.join(F.broadcast(members.select(key)), key, "left_semi")
+    """Rows of the given members; sizes decide how they meet. After a top-k, which is a limit, the plan knows that they are few."""
+    return df.join(members.select(key), key, "left_semi")
 
 
 def first_members(df: DataFrame, key: str, k: int) -> DataFrame:

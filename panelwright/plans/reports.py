@@ -330,7 +330,11 @@ def trend(market: DataFrame, field: str, k: int = 6, calendar: DataFrame | None
 
 
 def calendar_periods(calendar: DataFrame) -> list[int]:
-    """All periods from the calendar's first month to its last: the columns of a matrix, bounded by the calendar."""
+    """All periods from the calendar's first month to its last: the columns of a matrix, bounded by the calendar.
+
+    Columns have to be known when a plan is made, so this reads the calendar's first and last month at once (a job over the
+    calendar alone).
+    """
     low, high = calendar.agg(F.min("pidx"), F.max("pidx")).first()
     return [] if low is None else [dates.from_pidx(p) for p in range(low, high + 1)]
 

@@ -21,6 +21,7 @@ def idx(period: int) -> int:
 
 
 # Plain interval arithmetic for the SQL side, written out per window.
+# The first and last month of each window, by the month index of its anchor.
 def sql_interval(window: str, anchor: int = ANCHOR) -> tuple[int, int]:
     a, year = idx(anchor), anchor // 100
     return {
@@ -667,6 +668,7 @@ def yoy(spark, sf, year=1996):
 
 
 _es_months = ", ".join(f"({i}, '{m}')" for i, m in enumerate(
+    # Spanish month labels.
     ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"], 1))
 
 

@@ -78,6 +78,7 @@ def sql_latest(source: str, keys_: list[str], columns: list[str], where: str) ->
 
 
 ISO = "TRY_CAST(strftime(try_strptime({0}, '{1}'), '%Y%m%d') AS INTEGER)"
+# Portuguese month labels.
 LABEL = ("'20' || nullif(regexp_extract(PER_DSC, '([0-9]{2})\\s*$', 1), '') || CASE substr(lower(PER_DSC), 1, 3) "
          + " ".join(f"WHEN '{m}' THEN '{i:02d}'" for i, m in enumerate(
              ["jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"], 1))
@@ -185,6 +186,7 @@ def _es_sql(name: str, product: str, source_code: int, output: list[str], channe
             f"MAP_ES_UNITS WHERE SRC_DSC = '{name}') AS u ON u.label = upper(trim(KPI_FLG))")
 
 
+# The channel codes of panel E.
 E_CHANNEL = "CASE " + " ".join(
     f"WHEN CAT_DSC = 'CATEGORY_{c}' AND CHL_DSC = 'CHANNEL_{d}' THEN {code}"
     for c, d, code in [("A", "ONLINE", 2), ("A", "HYPER", 3), ("A", "SUPER", 4), ("A", "DISCOUNT", 5),

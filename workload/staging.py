@@ -24,6 +24,7 @@ FROM {lineitem} JOIN (
     month(o_orderdate) AS mon FROM {orders}) AS o
 ON l_orderkey = o_orderkey"""
 
+# Portuguese month labels.
 _PT_MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"]
 _LABEL = "CASE mon " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(_PT_MONTHS, 1)) + " END"
 _WIDE = {"SO_VALUES": "price", "SO_UNITS": "qty", "SO_KILOS": "disc"}

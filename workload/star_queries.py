@@ -114,6 +114,7 @@ def units_use(spark, sf):
         F.round("total", 4).alias("total"))
 
 
+# The measure catalogue.
 add("units_catalogue_use", units_use, f"""
 WITH {SQL_FACT}, u AS (SELECT * FROM (VALUES (1, 'Volume', 'Kg'), (2, 'Value', 'EUR'), (3, 'Units', 'Uds'),
   (4, 'Volume', 'L'), (99, 'Not Assigned', 'NA')) AS u(KPI_FLG_COD, KPI_FLG_DSC, UNT_LBL)),
