@@ -120,13 +120,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = cut(given.mapInArrow(_keyed(tables, hashes), f"id {kind}, node binary, vector binary, buckets binary"))
     nodes = cut(rows.where("node is not null").groupBy("node").agg(
         F.min("id").alias("least"), F.count("*").alias("weight"), F.max("vector").alias("vector"), F.max("buckets").alias("buckets")))
-    in_tables = nodes.select("*", F.posexplode(F.array(*[F.substring("buckets", 4 * t + 1, 4) for t in range(tables)])).alias("table", "bucket"))
+    # Only names are dealt into buckets; vectors are fetched for the places that are shared.
+    in_tables = nodes.select("node", F.posexplode(F.array(*[F.substring("buckets", 4 * t + 1, 4) for t in range(tables)])).alias("table", "bucket"))
     large = in_tables.groupBy("table", "bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1).select(
         "table", "bucket", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
-    dealt = in_tables.join(large, ["table", "bucket"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = cut(in_tables.join(large, ["table", "bucket"])).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).select(
-        "table", "bucket", "node", "weight", "vector", "buckets", "block",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        "table", "bucket", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = dealt.join(nodes.select("node", "weight", "vector", "buckets"), "node")
     met = dealt.repartition("table", "bucket", "i", "j").sortWithinPartitions("table", "bucket", "i", "j")
     links = cut(met.mapInArrow(_compare(threshold), "node binary, root binary, n bigint"))
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
