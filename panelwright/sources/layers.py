@@ -79,6 +79,10 @@ class Warehouse:
 
     def read_or_none(self, layer: str, table: str, schema: T.StructType | str | None = None) -> DataFrame | None:
         """The table, or None before its first load."""
+        if self.root is not None:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+            if not path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+                return None
         try:
             df = self.read(layer, table, schema)
             df.schema  # resolves the path
