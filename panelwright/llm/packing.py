@@ -3,7 +3,8 @@
 Documents longer than a sequence are cut into pieces of its length. Pieces are dealt into groups of a fixed size; each
 group runs best-fit decreasing and compares its sequences with a lower bound from dual feasible functions. A group that
 meets the bound is done but for its emptiest sequence; a group with a gap gives up every sequence with room. What is
-given up is dealt anew, so that pieces change groups, and packed again, for a fixed number of rounds.
+given up is dealt anew, so that pieces change groups, and packed again, for a fixed number of rounds; ``certificate`` tells
+what gap is left over all groups together.
 
 Cases: a null or empty text is one token, the end. Rows with the same id, or none, are documents of their own. Extra
 columns take no part. An empty table gives no sequences.
@@ -58,14 +59,16 @@ def _pieces(length: int, path: str | None, with_ids: bool):
 
 
 def lower_bound(lengths: np.ndarray, room: int) -> int:
-    """The best of the dual feasible bounds on the number of sequences of that room.
+    """The best of the dual feasible bounds on the number of sequences of that room."""
+    return bound_of(np.bincount(lengths, minlength=room + 1).astype(np.int64), room)
+
+
+def bound_of(count: np.ndarray, room: int) -> int:
+    """The bound from the number of pieces of each length.
 
     The first family counts pieces longer than all but e as whole and drops those under e; the second rounds a piece's
     (k + 1)-fold down to whole sequences. Everything is whole numbers.
     """
-    if not len(lengths):
-        return 0
-    count = np.bincount(lengths, minlength=room + 1).astype(np.int64)
     size = np.arange(room + 1)
     above, words = count[::-1].cumsum()[::-1], (count * size)[::-1].cumsum()[::-1]
     best = -(-int(words[0]) // room)
@@ -157,3 +160,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
         if last:
             break
     return done.drop("uid")
+
+
+def certificate(packed: DataFrame, length: int = 2048) -> tuple[int, int]:
+    """The sequences of a packing, and the lower bound over all its pieces together: equal numbers prove that no packing has
+    fewer; otherwise their difference bounds what the rounds have left open."""
+    used = packed.agg(F.count_distinct("sequence_id")).first()[0]
+    count = np.zeros(length + 1, np.int64)
+    for row in packed.groupBy("length").count().collect():  # at most as many rows as lengths
+        count[row["length"]] = row["count"]
+    return used, bound_of(count, length)
