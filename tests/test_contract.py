@@ -13,7 +13,9 @@ from tools.compare import TABLES, compare
 QUERIES, SQL = workload.QUERIES, workload.SQL
 SAMPLE = ["company_table", "kpi_parameter_42", "windows_all_anchors", "breakdown_channel", "reload_panel_a_milk",
           "load_panel_e_others", "load_panel_d_union", "product_or_join", "new_products_not_in", "derived_measures_tall",
-          "dim_calendar_daily", "top6_trend", "monthly_yoy", "dq_referential", "format_es_columns"]
+          "dim_calendar_daily", "top6_trend", "monthly_yoy", "dq_referential", "format_es_columns", "wide_fact", "flat_extract",
+          "trend_matrix_pivot", "dynamic_report_subtotals", "sales_in_calendar_quarter", "reload_after_emptied_period",
+          "append_exactly_once", "stream_panel_d_union", "star_csv_round_trip", "staging_to_report"]
 
 
 @pytest.fixture(scope="module")
