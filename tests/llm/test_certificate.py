@@ -1,8 +1,38 @@
 """What the packing reports of itself."""
 
-import numpy as np
+import collections
 
-from panelwright.llm import packing, queries
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from panelwright.llm import packing, queries, tokens
+
+from . import brute
+
+
+def test_pieces_of_the_query(spark, sf):
+    """Every piece of every document, against the tokenizer by itself."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.QUERIES["op5_best_fit_packing"](spark, sf).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    want = brute.pieces(docs, Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 2048)
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+
+
+def test_ids_of_odd_texts():
+    """Texts of any script, sign and white space, by parts and by the tokenizer at once; also with caches that run over."""
+    pick, encoder = np.random.default_rng(9), tokens.encoder()
+    signs = list("abcXYZ  '\t\n.,!%0129²½ªµÀßéİıŉǅɏ×÷¿ǀ-_'s're<|>") + ["日本", "\u0301", "\x1c", "<|endoftext|>", "\xa0", "\x85", "ﬁ", "İİ", "'S 'LL"]
+    texts = ["".join(pick.choice(signs, pick.integers(0, 30))) for _ in range(1500)]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    before = tokens.PARTS, tokens.TOGETHER
+    try:
+        for tokens.PARTS, tokens.TOGETHER in (before, (50, 200)):
+            got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)]
+            assert got == want
+    finally:
+        tokens.PARTS, tokens.TOGETHER = before
+        encoder.forget()
 
 
 def test_certificate_of_the_packing(spark, sf):
