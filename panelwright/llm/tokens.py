@@ -15,6 +15,8 @@ import numpy as np
 import regex
 
 CHUNKS, PARTS = 200_000, 600_000
+#: Parts that a worker keeps when a task ends or the cache is full.
+KEPT = 100_000
 #: Characters of texts whose new parts are learnt together.
 TOGETHER = 1 << 20
 _SIMPLE = re.compile(r"[\x21-\x7e¡-ɏ]+")
@@ -50,10 +52,11 @@ class Encoder:
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def forget(self) -> None:
-        """Empty the caches; the worker may go on with other work."""
+    def forget(self, kept: int = KEPT) -> None:
+        """Keep the parts that were learnt first, which are the frequent ones; the worker may go on with other work."""
         self.chunks.clear()
-        self.parts.clear()
+        for part in list(itertools.islice(reversed(self.parts), max(0, len(self.parts) - kept))):
+            del self.parts[part]
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -104,9 +107,8 @@ class Encoder:
         plain = {i: _LATIN_PARTS.findall(t.lower()) for i, t in enumerate(texts) if _LATIN.fullmatch(t) and "<|" not in t}
         new = set().union(*plain.values()).difference(self.parts)
         if len(self.parts) + len(new) > PARTS:
-            # the half that was learnt first goes; a part of these texts that goes with it is learnt anew
-            for part in list(itertools.islice(self.parts, len(self.parts) // 2)):
-                del self.parts[part]
+            # what was learnt last goes; a part of these texts that goes with it is learnt anew
+            self.forget(min(KEPT, PARTS // 2))
             new = set().union(*plain.values()).difference(self.parts)
         self._learn_parts(list(new))
         get = self.parts.__getitem__
