@@ -43,6 +43,13 @@ class Step:
     fixed: frozenset[str] = frozenset()
     #: depends on the day, too
     daily: bool = False
+    #: inputs of which only the periods are read: those are the names of their partitions, so no row is
+    periods_of: frozenset[str] = frozenset()
+    #: tables of the same layer and periods that ``make_finer`` makes the same rows of, if they are made from the same inputs
+    finer: list[str] = field(default_factory=list)
+    make_finer: Callable[[DataFrame], DataFrame] | None = None
+    #: ``make`` deals its rows to writers by ``partition_by``, before it makes several of one
+    dealt: bool = False
 
 
 def _measures(df: DataFrame) -> DataFrame:
@@ -65,7 +72,7 @@ def _top2(t: Tables) -> DataFrame:
 
 
 def _star_fact(t: Tables) -> DataFrame:
-    tall = star.tall_fact(star.base_fact(t["FACT_MARKETSHARE_ALL"]), t["DIM_PROD"])
+    tall = star.tall_fact(star.base_fact(t["FACT_MARKETSHARE_ALL"]), t["DIM_PROD"], deal_by="period_id")
     return tall.withColumn("value", F.col("value").cast("double"))
 
 
@@ -77,13 +84,21 @@ def _marketshare(t: Tables) -> DataFrame:
     """The consolidated mart: volume and value rows of the national fact, under product numbers and months. Codes are compared
     as the master writes them, trimmed and in capitals."""
     sold = t["FACT_NACIONAL"].withColumn("PDT_COD", keys.norm("PDT_COD"))
-    numbered = dictionary.number_of(sold, t["KEY_PROD"], "member", "number", "PDT_COD")
     described = t["DIM_PROD"].select(F.col("product_id").alias("_id"), "category_id", "product_pack")
-    amounts = F.array(*[F.struct(F.lit(k).alias("KPI"), F.col(c).alias("SO_VALUE")) for k, c in (("VOL", "SAL_WGT"), ("VAL", "SAL_VAL"))])
-    return numbered.join(described, F.col("number") == F.col("_id"), "left").select(
-        F.substring(F.col("PER_DSC").cast("string"), 1, 6).try_cast("int").alias("PER_DSC"), F.col("number").alias("PDT_COD"), "CHL_COD",
-        "SAL_TYP_COD", F.coalesce("category_id", F.lit(dictionary.NOT_ASSIGNED)).alias("CTG_COD"), F.col("product_pack").alias("PDT_PCK"),
-        F.inline(F.filter(amounts, lambda a: a["SO_VALUE"].isNotNull())))
+    # members and their products are joined first, so that sales are exchanged once
+    known = t["KEY_PROD"].join(described, F.col("number") == F.col("_id"), "left").select("member", "number", "category_id", "product_pack")
+    missing = described.where(F.col("_id") == dictionary.NOT_ASSIGNED)
+    found = F.col("number").isNotNull()
+    numbered = sold.join(known, F.col("PDT_COD") == F.col("member"), "left").withColumns({
+        "number": F.coalesce("number", F.lit(dictionary.NOT_ASSIGNED)),
+        **{c: F.when(found, F.col(c)).otherwise(missing.select(F.max(c)).scalar()) for c in ("category_id", "product_pack")},
+        "PER_DSC": F.substring(F.col("PER_DSC").cast("string"), 1, 6).try_cast("int")})
+    volume, amount = (F.struct(F.lit(k).alias("KPI"), F.col(c).alias("SO_VALUE")) for k, c in (("VOL", "SAL_WGT"), ("VAL", "SAL_VAL")))
+    there = {k: F.col(c).isNotNull() for k, c in (("VOL", "SAL_WGT"), ("VAL", "SAL_VAL"))}
+    amounts = F.when(there["VOL"] & there["VAL"], F.array(volume, amount)).when(there["VOL"], F.array(volume)).when(there["VAL"], F.array(amount))
+    return numbered.hint("rebalance", "PER_DSC").select(
+        "PER_DSC", F.col("number").alias("PDT_COD"), "CHL_COD", "SAL_TYP_COD", F.coalesce("category_id", F.lit(dictionary.NOT_ASSIGNED)).alias("CTG_COD"), F.col("product_pack").alias("PDT_PCK"),
+        F.inline(amounts))
 
 
 def _whole_number(value: str | None) -> str | None:
@@ -112,7 +127,7 @@ STEPS = [
     Step(_DMT, "DIM_PRODUCT", {"PRODUCT_MASTER": _TRA}, lambda t: mastering.product_dimension(t["PRODUCT_MASTER"])),
     Step(_DMT, "DIM_SALES_TYPE", {"SALES_TYPES": _TRA}, lambda t: mastering.sales_type_dimension(t["SALES_TYPES"])),
     Step(_DMT, "DIM_CALENDAR_NACIONAL", {"FACT_NACIONAL": _DMT}, lambda t: calendars.national_calendar(t["FACT_NACIONAL"]),
-         daily=True),
+         daily=True, periods_of=frozenset({"FACT_NACIONAL"})),
     Step(_TRA, "NEW_PRODUCTS", {"FACT_ES_PANEL_I": _DWH, "M_ES_PRODUCT": _TRA, "M_ES_CATEGORY": _TRA},
          lambda t: mastering.new_products(t["FACT_ES_PANEL_I"], t["M_ES_PRODUCT"], t["M_ES_CATEGORY"], "PANEL_I")),
     Step(_DMT, "NEW_PRODUCTS", {"STG_ES_PANEL_I_NP": "BRONZE_STG", "NEW_PRODUCTS": _TRA},
@@ -130,17 +145,18 @@ STEPS = [
     Step(_STAR, "DIM_SALES_TYPE", {"MAP_PT_SALES_TYPE": _DWH, "MAP_ES_SALES_TYPE": _DWH},
          lambda t: star.sales_type_dimension(t["MAP_PT_SALES_TYPE"].unionByName(t["MAP_ES_SALES_TYPE"]))),
     Step(_DMT, "FACT_MARKETSHARE_ALL", {"FACT_NACIONAL": _DMT, "KEY_PROD": _STAR, "DIM_PROD": _STAR}, _marketshare, "PER_DSC",
-         {"FACT_NACIONAL": _month}),
+         {"FACT_NACIONAL": _month}, dealt=True),
     Step(_STAR, "DIM_CALENDAR", {"FACT_MARKETSHARE_ALL": _DMT}, lambda t: calendars.month_calendar(
-        calendars.period_limits(t["FACT_MARKETSHARE_ALL"])).select(*[name for _, name, _ in STAR_COLUMNS["DIM_CALENDAR"]]), daily=True),
+        calendars.period_limits(t["FACT_MARKETSHARE_ALL"])).select(*[name for _, name, _ in STAR_COLUMNS["DIM_CALENDAR"]]), daily=True,
+         periods_of=frozenset({"FACT_MARKETSHARE_ALL"})),
     Step(_STAR, "FACT_TABLE", {"FACT_MARKETSHARE_ALL": _DMT, "DIM_PROD": _STAR}, _star_fact, "period_id",
-         {"FACT_MARKETSHARE_ALL": _whole_number}),
+         {"FACT_MARKETSHARE_ALL": _whole_number}, dealt=True),
     Step(_STAR, "FACT_BIRTH_RATE", {"FACT_BIRTH_RATE": _DMT, "DIM_CALENDAR": _STAR}, lambda t: star.context_fact(
         t["FACT_BIRTH_RATE"].select(F.col("PER_DSC").alias("period_id"), F.col("BIRTH_RATE").cast("double").alias("value")), t["DIM_CALENDAR"])),
     Step(_STAR, "FLAT_FACT", {"FACT_TABLE": _STAR, **{d: _STAR for d in star.RELATIONS}}, _flat, "period_id", {"FACT_TABLE": _whole_number},
          fixed=frozenset({"DIM_CALENDAR"})),
     *[Step(_STAR, r.table, {"FACT_TABLE": _STAR, **{d: _STAR for d in r.dimensions()}}, lambda t, r=r: r.of(t["FACT_TABLE"], t), "period_id",
-           {"FACT_TABLE": _whole_number}) for r in rollups.ROLLUPS],
+           {"FACT_TABLE": _whole_number}, finer=r.finer(), make_finer=r.of_finer) for r in reversed(rollups.ROLLUPS)],
 ]
 
 
@@ -175,15 +191,35 @@ def dirty_periods(warehouse: Warehouse, step: Step, own: Manifest | None, versio
     return dirty
 
 
-def _narrowed(warehouse: Warehouse, step: Step, table: str, rows: DataFrame, dirty: set[str | None]) -> DataFrame:
+def _narrowed(warehouse: Warehouse, layer: str, table: str, rows: DataFrame, follow: Callable[[str | None], str | None],
+              dirty: set[str | None]) -> DataFrame:
     """The rows of an input that belong to dirty periods: a filter on its partitions alone."""
-    manifest = warehouse.manifest(step.reads[table], table)
+    manifest = warehouse.manifest(layer, table)
     period = F.col(manifest.partition_by)
-    values = {v for v in manifest.values.values() if step.follows[table](v) in dirty}
+    values = {v for v in manifest.values.values() if follow(v) in dirty}
     chosen = period.cast("string").isin([v for v in values if v is not None])
     return rows.filter(chosen | period.isNull() if None in values else chosen)
 
 
+def _periods(warehouse: Warehouse, layer: str, table: str, rows: DataFrame) -> DataFrame:
+    """The periods of a table: the values of its partitions, as many as the calendar has. Without partitions, its rows'."""
+    manifest = warehouse.manifest(layer, table)
+    if manifest is None or manifest.partition_by is None:
+        return rows
+    kind = rows.schema[manifest.partition_by].dataType
+    values = rows.sparkSession.createDataFrame([(v,) for v in manifest.values.values()], f"`{manifest.partition_by}` string")
+    return values.select(F.col(manifest.partition_by).cast(kind).alias(manifest.partition_by))
+
+
+def _finer(warehouse: Warehouse, step: Step, versions: dict[str, str]) -> str | None:
+    """The first of a step's finer tables that is made from the same inputs, all of them, and has the step's partitions."""
+    for table in step.finer:
+        manifest = warehouse.manifest(step.layer, table)
+        if manifest is not None and manifest.partition_by == step.partition_by and versions.items() <= manifest.inputs.items():
+            return table
+    return None
+
+
 def _same(a: DataFrame, b: DataFrame) -> bool:
     return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
@@ -199,6 +235,7 @@ def run_step(warehouse: Warehouse, step: Step) -> bool:
         if manifest is not None and manifest.inputs in ({}, versions):
             return False  # supplied from outside, or made from the same
     tables = {t: warehouse.read(layer, t, STAGING.get(t)) for t, layer in step.reads.items()}
+    tables |= {t: _periods(warehouse, step.reads[t], t, tables[t]) for t in step.periods_of if own is not None}
     if step.grows:
         there = warehouse.read_or_none(step.layer, step.table)
         rows = step.make(tables | ({} if there is None else {step.table: there}))
@@ -207,20 +244,30 @@ def run_step(warehouse: Warehouse, step: Step) -> bool:
     if own is None:
         warehouse.replace(step.make(tables), step.layer, step.table, step.partition_by)
         return True
-    dirty = dirty_periods(warehouse, step, manifest, versions)
+    finer, dirty = _finer(warehouse, step, versions), dirty_periods(warehouse, step, manifest, versions)
     if dirty is not None:
         if not dirty:
             own.touch(own.read(manifest).schema, step.partition_by, receipt)
             return False
-        narrowed = tables | {t: _narrowed(warehouse, step, t, tables[t], dirty) for t in step.follows}
-        own.replace_parts(step.make(narrowed), step.partition_by, {part_of(step.partition_by, v) for v in dirty}, receipt)
+        if finer is not None:
+            rows = step.make_finer(_narrowed(warehouse, step.layer, finer, warehouse.read(step.layer, finer), _whole_number, dirty))
+        else:
+            rows = step.make(tables | {t: _narrowed(warehouse, step.reads[t], t, tables[t], f, dirty) for t, f in step.follows.items()})
+        own.replace_parts(rows, step.partition_by, {part_of(step.partition_by, v) for v in dirty}, receipt, dealt=step.dealt)
+        return True
+    rows = step.make(tables) if finer is None else step.make_finer(warehouse.read(step.layer, finer))
+    if manifest is None or not manifest.inputs or step.partition_by is not None:
+        own.replace_all(rows, step.partition_by, receipt, dealt=step.dealt)
+        return True
+    rows = rows.persist()  # compared both ways, then written
+    try:
+        if _same(rows, own.read(manifest)):
+            own.touch(rows.schema, None, receipt)  # so that nothing that reads it is made anew
+            return False
+        own.replace_all(rows, step.partition_by, receipt)
         return True
-    rows = step.make(tables)
-    if manifest is not None and manifest.inputs and step.partition_by is None and _same(rows, own.read(manifest)):
-        own.touch(rows.schema, None, receipt)  # so that nothing that reads it is made anew
-        return False
-    own.replace_all(rows, step.partition_by, receipt)
-    return True
+    finally:
+        rows.unpersist()
 
 
 def load_derived(warehouse: Warehouse) -> list[str]:

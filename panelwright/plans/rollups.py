@@ -4,6 +4,9 @@ A rollup has the sums of the star's measures by some columns, a row per member c
 period. It is a step of the lineage, so a load makes anew only the periods that it has changed. Reports sum, and take any
 table with their columns for the market: ``market`` gives them the smallest rollup that has the columns asked for, or the
 star join where none has. Sums are exact decimals.
+
+The star is joined once for all of them: the largest is summed from the flat extract, each other one from the rollup before
+it, as long as these are made from the same inputs.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from . import star
 LAYER = "GOLD_STAR"
 #: Columns that every rollup has besides its own.
 ALWAYS = ["metric", "period_id", "pidx", "value"]
+AMOUNT, SUM = "decimal(18,4)", "decimal(28,4)"
 
 
 @dataclass(frozen=True)
@@ -34,8 +38,19 @@ class Rollup:
         return [t for t in star.RELATIONS if t in needed]
 
     def of(self, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-        wide = star.wide_fact(fact, dims, [*self.columns, "metric", "period_id", "value"])
-        sums = wide.groupBy(*self.columns, "metric", "period_id").agg(F.sum(F.col("value").cast("decimal(18,4)")).alias("value"))
+        return self._sums(star.wide_fact(fact, dims, [*self.columns, "metric", "period_id", "value"]), AMOUNT)
+
+    def of_finer(self, rows: DataFrame) -> DataFrame:
+        """The same from a table that has its columns already: the flat extract, or a rollup by more columns."""
+        return self._sums(rows, SUM if rows.schema["value"].dataType.simpleString() == SUM else AMOUNT)
+
+    def finer(self) -> list[str]:
+        """The tables that it can be summed from, the smallest first."""
+        place = ROLLUPS.index(self)
+        return [*[r.table for r in ROLLUPS[place + 1:] if set(self.columns) <= set(r.columns)], "FLAT_FACT"]
+
+    def _sums(self, rows: DataFrame, kind: str) -> DataFrame:
+        sums = rows.groupBy(*self.columns, "metric", "period_id").agg(F.sum(F.col("value").cast(kind)).cast(SUM).alias("value"))
         return sums.withColumn("pidx", dates.pidx_of_period("period_id"))
 
 

@@ -159,19 +159,20 @@ def _with_derived(joined: DataFrame, keep: list[str]) -> DataFrame:
     def entry(flag: Column, value: Column) -> Column:
         return F.struct(flag.cast("int").alias("kpi_flag_id"), value.cast("decimal(18,4)").alias("value"))
 
-    rows = F.array_compact(
-        F.array(
-            entry(F.col("kpi_flag_id"), kg),
-            F.when(derivable, entry(F.lit(3), derived_units(kg, F.col("_weight")))),
-            F.when(derivable, entry(F.lit(4), derived_litres(kg, F.col("_litres_per_kg")))),
-        )
-    )
+    own = entry(F.col("kpi_flag_id"), kg)
+    derived = [entry(F.lit(3), derived_units(kg, F.col("_weight"))), entry(F.lit(4), derived_litres(kg, F.col("_litres_per_kg")))]
+    # a choice of arrays is compiled; a filter over one array is interpreted row by row
+    rows = F.when(derivable, F.array(own, *derived)).otherwise(F.array(own))
     return joined.select(*keep, F.inline(rows))
 
 
-def tall_fact(base: DataFrame, products: DataFrame) -> DataFrame:
-    """The star fact: base measures plus units (3) and litres (4) derived from the volume, in one pass over ``base``."""
+def tall_fact(base: DataFrame, products: DataFrame, deal_by: str | None = None) -> DataFrame:
+    """The star fact: base measures plus units (3) and litres (4) derived from the volume, in one pass over ``base``.
+
+    With ``deal_by``, rows are dealt to writers by that column before the derived ones are made: half the rows to exchange."""
     joined = base.join(_factors(products), base["product_id"] == F.col("_product"), "left")
+    if deal_by:
+        joined = joined.hint("rebalance", deal_by)
     keys_ = [name for _, name, _ in STAR_COLUMNS["FACT_TABLE"] if name not in ("kpi_flag_id", "value")]
     return _with_derived(joined, keys_).select(*[name for _, name, _ in STAR_COLUMNS["FACT_TABLE"]])
 

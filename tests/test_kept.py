@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import test_change
 from conftest import plan, rows
-from panelwright.plans import lineage, periods, reports, rollups
+from panelwright.plans import lineage, periods, reports, rollups, star
 from panelwright.sources import quarantine
 from panelwright.sources.rows import inline_rows
 
@@ -73,6 +73,28 @@ def test_a_rollup_follows_the_dirty_period(loaded):
     assert wide(rollups.market(loaded, columns)[0]) == wide(lineage.market(loaded, columns)[0])
 
 
+def test_the_star_is_joined_once_for_all_rollups(loaded, monkeypatch):
+    joins, wide_fact = [], star.wide_fact
+    monkeypatch.setattr(star, "wide_fact", lambda *a: joins.append(a[2]) or wide_fact(*a))
+    test_change.staged(loaded, "STG_PT_PANEL_C", [{"PDT_COD": "c1", "PER_DSC": "02/01/2024", "SO_VALUES": None, "SO_KILOS": D(4)},
+                                                  {"PDT_COD": "y", "PER_DSC": "03/01/2024", "SO_VALUES": D(5), "SO_KILOS": None}], test_change.amounts(1, 2))
+    lineage.run(loaded)
+    assert joins == [star.FLAT_COLUMNS]
+    read = {t: loaded.read("GOLD_STAR", t) for t in ("FACT_TABLE", *star.RELATIONS)}
+    for rollup in rollups.ROLLUPS:
+        kept, joined = loaded.read("GOLD_STAR", rollup.table), rollup.of(read["FACT_TABLE"], read)
+        assert sorted(map(str, kept.select(*joined.columns).collect())) == sorted(map(str, joined.collect()))
+        assert dict(kept.dtypes) == dict(joined.dtypes)
+    mart = loaded.read("GOLD_DMT", "FACT_MARKETSHARE_ALL")
+    late = rows(mart.where("PER_DSC >= 202402").select("PER_DSC", "PDT_COD", "PDT_PCK", "KPI", "SO_VALUE"), "PER_DSC")
+    assert [r[2:] for r in late] == [("PACK 1", "VOL", D(4)), ("NOT_ASSIGNED", "VAL", D(5))] and late[1][1] == 99
+    # derived rows and periods cost no interpreted filter and no scan
+    assert "lambda" not in plan(star.tall_fact(star.base_fact(mart), read["DIM_PROD"]))
+    months = lineage._periods(loaded, "GOLD_DMT", "FACT_MARKETSHARE_ALL", mart)
+    assert months.inputFiles() == [] and months.schema["PER_DSC"].dataType == mart.schema["PER_DSC"].dataType
+    assert rows(months, "PER_DSC") == rows(mart.select("PER_DSC").distinct(), "PER_DSC")
+
+
 def test_a_stale_rollup_is_not_read(loaded):
     fact = loaded.read("GOLD_STAR", "FACT_TABLE")
     loaded.append(fact.limit(1), "GOLD_STAR", "FACT_TABLE", "period_id")
