@@ -6,7 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from panelwright.plans import panels
 from panelwright.schemas import MAPPINGS, STAGING, STAR_COLUMNS, star_schema
 from panelwright.sources import star_csv
@@ -203,3 +203,18 @@ def test_calendar_csv_types(spark, tmp_path):
         header + "\n2022-01-01,2022,1,1,Jan,January,202201,2022-01,2022-Q1,2021,2021-01-01,0,0\n")
     row = star_csv.read_star_csv(spark, str(tmp_path), "DIM_CALENDAR").first()
     assert row["period_name"] == "2022-01" and row["date"] == dt.date(2022, 1, 1) and row["period_id"] == 202201
+
+
+def test_lines_are_joined_in_more_tasks_as_they_grow(spark, sf, monkeypatch):
+    from workload import staging
+
+    whole = staging.base(spark, sf)
+    assert staging.tasks_for(spark, sf) is None and "REPARTITION_BY_NUM" not in plan(whole)
+    monkeypatch.setattr(staging, "LINES_A_TASK", 10_000)
+    tasks = staging.tasks_for(spark, sf)
+    monkeypatch.setattr(staging, "LINES_A_TASK", 5_000)
+    assert tasks > spark.sparkContext.defaultParallelism and 2 * tasks - 1 <= staging.tasks_for(spark, sf) <= 2 * tasks
+    dealt = staging.base(spark, sf)
+    assert dealt.rdd.getNumPartitions() == staging.tasks_for(spark, sf)  # not merged by the bytes they read
+    assert dealt.count() == whole.count() and dealt.exceptAll(whole).isEmpty()
+    assert "l_tax" not in plan(dealt) and "PushedFilters: [IsNotNull(l_orderkey)" in plan(dealt)
