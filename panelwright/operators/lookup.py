@@ -6,6 +6,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import NOT_ASSIGNED_CODE, code_or_default, col, norm
 
+#: A table of more rows is not broadcast to be looked up in.
+BROADCAST_ROWS = 100_000
+
+
+def without_large_broadcast(table: DataFrame) -> DataFrame:
+    """A kept table to look up in; one of many rows is exchanged with the rows that look up, never broadcast.
+
+    Spark tells by the bytes of the files and the share of the columns that are read. Columns of few values take next to
+    nothing in a file, so that millions of members may count as a few megabytes; a broadcast holds every one of them as a row,
+    at the driver and at each executor. So rows are counted, by the footers of the files.
+    """
+    return table.hint("merge") if table.count() > BROADCAST_ROWS else table
+
 
 def map_slice(mapping: DataFrame, sources: list[str] | str, label: str, code: str) -> DataFrame:
     """Code per normalised label of the given sources, one row per label.

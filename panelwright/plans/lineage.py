@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dates, keys
-from ..operators import dictionary
+from ..operators import dictionary, lookup
 from ..schemas import STAGING, STAR_COLUMNS, star_schema
 from ..sources import star_csv
 from ..sources.layers import Warehouse
@@ -50,6 +50,11 @@ class Step:
     make_finer: Callable[[DataFrame], DataFrame] | None = None
     #: ``make`` deals its rows to writers by ``partition_by``, before it makes several of one
     dealt: bool = False
+    #: inputs that rows are looked up in and that may have many: products, and what is numbered like them
+    lookups: frozenset[str] = frozenset()
+
+    def rows(self, tables: Tables) -> DataFrame:
+        return self.make({t: lookup.without_large_broadcast(rows) if t in self.lookups else rows for t, rows in tables.items()})
 
 
 def _measures(df: DataFrame) -> DataFrame:
@@ -120,43 +125,52 @@ STEPS = [
     Step(_TRA, "PRODUCT_MASTER", {"STG_PT_PRODUCT": "BRONZE_STG"}, lambda t: mastering.product_master(t["STG_PT_PRODUCT"])),
     Step(_DMT, "FACT_NACIONAL", {"FACT_PT_PANEL_C": _DWH, "FACT_PT_PANEL_D_UNION": _DWH, "FACT_PT_PANEL_B": _DWH,
                                  "M_PT_PRODUCT_NACIONAL": _TRA}, _national, "PER_DSC",
-         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_D_UNION", "FACT_PT_PANEL_B"], _whole_number)),
+         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_D_UNION", "FACT_PT_PANEL_B"], _whole_number),
+         lookups=frozenset({"M_PT_PRODUCT_NACIONAL"})),
     Step(_DMT, "FACT_TOP2", {"FACT_PT_PANEL_C": _DWH, "FACT_PT_PANEL_A_FOOD": _DWH, "FACT_PT_PANEL_A_MILK": _DWH,
                              "M_PT_PRODUCT_TOP2": _TRA}, _top2, "PER_DSC",
-         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_A_FOOD", "FACT_PT_PANEL_A_MILK"], _whole_number)),
+         dict.fromkeys(["FACT_PT_PANEL_C", "FACT_PT_PANEL_A_FOOD", "FACT_PT_PANEL_A_MILK"], _whole_number),
+         lookups=frozenset({"M_PT_PRODUCT_TOP2"})),
     Step(_DMT, "DIM_PRODUCT", {"PRODUCT_MASTER": _TRA}, lambda t: mastering.product_dimension(t["PRODUCT_MASTER"])),
     Step(_DMT, "DIM_SALES_TYPE", {"SALES_TYPES": _TRA}, lambda t: mastering.sales_type_dimension(t["SALES_TYPES"])),
     Step(_DMT, "DIM_CALENDAR_NACIONAL", {"FACT_NACIONAL": _DMT}, lambda t: calendars.national_calendar(t["FACT_NACIONAL"]),
          daily=True, periods_of=frozenset({"FACT_NACIONAL"})),
     Step(_TRA, "NEW_PRODUCTS", {"FACT_ES_PANEL_I": _DWH, "M_ES_PRODUCT": _TRA, "M_ES_CATEGORY": _TRA},
-         lambda t: mastering.new_products(t["FACT_ES_PANEL_I"], t["M_ES_PRODUCT"], t["M_ES_CATEGORY"], "PANEL_I")),
+         lambda t: mastering.new_products(t["FACT_ES_PANEL_I"], t["M_ES_PRODUCT"], t["M_ES_CATEGORY"], "PANEL_I"),
+         lookups=frozenset({"M_ES_PRODUCT"})),
     Step(_DMT, "NEW_PRODUCTS", {"STG_ES_PANEL_I_NP": "BRONZE_STG", "NEW_PRODUCTS": _TRA},
          lambda t: mastering.new_product_attributes(t["STG_ES_PANEL_I_NP"], t["NEW_PRODUCTS"])),
-    Step(_STAR, "KEY_PROD", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("PDT_COD").alias("member")), "KEY_PROD"), grows=True),
-    Step(_STAR, "KEY_CATEGORY", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("CAT_DSC").alias("member")), "KEY_CATEGORY"), grows=True),
-    Step(_STAR, "KEY_SOURCE", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("ORG_DSC").alias("member")), "KEY_SOURCE"), grows=True),
+    Step(_STAR, "KEY_PROD", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("PDT_COD").alias("member")), "KEY_PROD"), grows=True,
+         lookups=frozenset({"KEY_PROD"})),
+    Step(_STAR, "KEY_CATEGORY", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("CAT_DSC").alias("member")), "KEY_CATEGORY"), grows=True,
+         lookups=frozenset({"KEY_CATEGORY"})),
+    Step(_STAR, "KEY_SOURCE", {"DIM_PRODUCT": _DMT}, _added(lambda t: t["DIM_PRODUCT"].select(F.col("ORG_DSC").alias("member")), "KEY_SOURCE"), grows=True,
+         lookups=frozenset({"KEY_SOURCE"})),
     Step(_STAR, "DIM_PROD", {"DIM_PRODUCT": _DMT, "KEY_PROD": _STAR, "KEY_CATEGORY": _STAR},
-         lambda t: star.product_dimension(t["DIM_PRODUCT"], t["KEY_PROD"], t["KEY_CATEGORY"])),
+         lambda t: star.product_dimension(t["DIM_PRODUCT"], t["KEY_PROD"], t["KEY_CATEGORY"]),
+         lookups=frozenset({"KEY_PROD", "KEY_CATEGORY"})),
     Step(_STAR, "DIM_CATEGORY", {"DIM_PRODUCT": _DMT, "KEY_CATEGORY": _STAR, "KEY_SOURCE": _STAR},
-         lambda t: star.category_dimension(t["DIM_PRODUCT"], t["KEY_CATEGORY"], t["KEY_SOURCE"])),
+         lambda t: star.category_dimension(t["DIM_PRODUCT"], t["KEY_CATEGORY"], t["KEY_SOURCE"]),
+         lookups=frozenset({"KEY_CATEGORY", "KEY_SOURCE"})),
     Step(_STAR, "DIM_SOURCE", {"KEY_SOURCE": _STAR}, lambda t: star.source_dimension(t["KEY_SOURCE"])),
     Step(_STAR, "DIM_CHANNEL", {"MAP_PT_CHANNEL": _DWH, "MAP_ES_CHANNEL": _DWH},
          lambda t: star.channel_dimension(t["MAP_PT_CHANNEL"].unionByName(t["MAP_ES_CHANNEL"]))),
     Step(_STAR, "DIM_SALES_TYPE", {"MAP_PT_SALES_TYPE": _DWH, "MAP_ES_SALES_TYPE": _DWH},
          lambda t: star.sales_type_dimension(t["MAP_PT_SALES_TYPE"].unionByName(t["MAP_ES_SALES_TYPE"]))),
     Step(_DMT, "FACT_MARKETSHARE_ALL", {"FACT_NACIONAL": _DMT, "KEY_PROD": _STAR, "DIM_PROD": _STAR}, _marketshare, "PER_DSC",
-         {"FACT_NACIONAL": _month}, dealt=True),
+         {"FACT_NACIONAL": _month}, dealt=True, lookups=frozenset({"KEY_PROD", "DIM_PROD"})),
     Step(_STAR, "DIM_CALENDAR", {"FACT_MARKETSHARE_ALL": _DMT}, lambda t: calendars.month_calendar(
         calendars.period_limits(t["FACT_MARKETSHARE_ALL"])).select(*[name for _, name, _ in STAR_COLUMNS["DIM_CALENDAR"]]), daily=True,
          periods_of=frozenset({"FACT_MARKETSHARE_ALL"})),
     Step(_STAR, "FACT_TABLE", {"FACT_MARKETSHARE_ALL": _DMT, "DIM_PROD": _STAR}, _star_fact, "period_id",
-         {"FACT_MARKETSHARE_ALL": _whole_number}, dealt=True),
+         {"FACT_MARKETSHARE_ALL": _whole_number}, dealt=True, lookups=frozenset({"DIM_PROD"})),
     Step(_STAR, "FACT_BIRTH_RATE", {"FACT_BIRTH_RATE": _DMT, "DIM_CALENDAR": _STAR}, lambda t: star.context_fact(
         t["FACT_BIRTH_RATE"].select(F.col("PER_DSC").alias("period_id"), F.col("BIRTH_RATE").cast("double").alias("value")), t["DIM_CALENDAR"])),
     Step(_STAR, "FLAT_FACT", {"FACT_TABLE": _STAR, **{d: _STAR for d in star.RELATIONS}}, _flat, "period_id", {"FACT_TABLE": _whole_number},
-         fixed=frozenset({"DIM_CALENDAR"})),
+         fixed=frozenset({"DIM_CALENDAR"}), lookups=frozenset({"DIM_PROD"})),
     *[Step(_STAR, r.table, {"FACT_TABLE": _STAR, **{d: _STAR for d in r.dimensions()}}, lambda t, r=r: r.of(t["FACT_TABLE"], t), "period_id",
-           {"FACT_TABLE": _whole_number}, finer=r.finer(), make_finer=r.of_finer) for r in reversed(rollups.ROLLUPS)],
+           {"FACT_TABLE": _whole_number}, finer=r.finer(), make_finer=r.of_finer,
+           lookups=frozenset({"DIM_PROD"})) for r in reversed(rollups.ROLLUPS)],
 ]
 
 
@@ -238,11 +252,11 @@ def run_step(warehouse: Warehouse, step: Step) -> bool:
     tables |= {t: _periods(warehouse, step.reads[t], t, tables[t]) for t in step.periods_of if own is not None}
     if step.grows:
         there = warehouse.read_or_none(step.layer, step.table)
-        rows = step.make(tables | ({} if there is None else {step.table: there}))
+        rows = step.rows(tables | ({} if there is None else {step.table: there}))
         warehouse.append(rows, step.layer, step.table, None, receipt if own is not None else None)
         return True
     if own is None:
-        warehouse.replace(step.make(tables), step.layer, step.table, step.partition_by)
+        warehouse.replace(step.rows(tables), step.layer, step.table, step.partition_by)
         return True
     finer, dirty = _finer(warehouse, step, versions), dirty_periods(warehouse, step, manifest, versions)
     if dirty is not None:
@@ -252,10 +266,10 @@ def run_step(warehouse: Warehouse, step: Step) -> bool:
         if finer is not None:
             rows = step.make_finer(_narrowed(warehouse, step.layer, finer, warehouse.read(step.layer, finer), _whole_number, dirty))
         else:
-            rows = step.make(tables | {t: _narrowed(warehouse, step.reads[t], t, tables[t], f, dirty) for t, f in step.follows.items()})
+            rows = step.rows(tables | {t: _narrowed(warehouse, step.reads[t], t, tables[t], f, dirty) for t, f in step.follows.items()})
         own.replace_parts(rows, step.partition_by, {part_of(step.partition_by, v) for v in dirty}, receipt, dealt=step.dealt)
         return True
-    rows = step.make(tables) if finer is None else step.make_finer(warehouse.read(step.layer, finer))
+    rows = step.rows(tables) if finer is None else step.make_finer(warehouse.read(step.layer, finer))
     if manifest is None or not manifest.inputs or step.partition_by is not None:
         own.replace_all(rows, step.partition_by, receipt, dealt=step.dealt)
         return True
@@ -293,6 +307,7 @@ def run(warehouse: Warehouse) -> list[str]:
 def market(warehouse: Warehouse, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """The wide fact and the calendar of the star, for reports."""
     dims = {t: warehouse.read(_STAR, t) for t in star.RELATIONS}
+    dims["DIM_PROD"] = lookup.without_large_broadcast(dims["DIM_PROD"])
     calendar = dims["DIM_CALENDAR"].withColumn("pidx", dates.pidx_of_period("period_id"))
     return star.wide_fact(warehouse.read(_STAR, "FACT_TABLE"), dims, columns), calendar
 

@@ -236,7 +236,8 @@ def wide_fact(fact: DataFrame, dims: dict[str, DataFrame], columns: list[str] |
 
     A left join to a dimension cannot be dropped by the optimizer when nothing
     of it is used (the key might repeat), so it is not built in the first place.
-    No join is hinted: dimensions are broadcast when their size allows it.
+    No join is hinted here: dimensions are broadcast when their size allows it,
+    but for those that come with a hint (``lookup.without_large_broadcast``).
     """
     columns = columns or WIDE_COLUMNS
     out = fact

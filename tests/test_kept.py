@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 import test_change
 from conftest import plan, rows
+from panelwright.operators import lookup
 from panelwright.plans import lineage, periods, reports, rollups, star
+from panelwright.schemas import STAGING
 from panelwright.sources import quarantine
 from panelwright.sources.rows import inline_rows
+from panelwright.sources.versions import VersionedTable
 
 D = decimal.Decimal
 
@@ -95,6 +98,31 @@ def test_the_star_is_joined_once_for_all_rollups(loaded, monkeypatch):
     assert rows(months, "PER_DSC") == rows(mart.select("PER_DSC").distinct(), "PER_DSC")
 
 
+def test_many_products_are_not_broadcast(warehouse, monkeypatch):
+    """A broadcast holds every product at the driver, however small the files are: here products differ in their codes alone."""
+    test_change.set_up(warehouse)
+    given = {"PNL_C_COD": "concat('P', id)", "CNY_DSC": "'Acme'", "CAT_DSC": "'Milk'", "FOR_WGH": "'500g'", "LOA_DAT": "TIMESTAMP '2024-03-02 00:00:00'"}
+    fields = inline_rows(warehouse.spark, STAGING["STG_PT_PRODUCT"], []).schema
+    products = warehouse.spark.range(120_000).selectExpr(*[f"CAST({given.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
+    warehouse.append(products, "BRONZE_STG", "STG_PT_PRODUCT")
+    test_change.staged(warehouse, "STG_PT_PANEL_C", [{"PDT_COD": c, "PER_DSC": "02/01/2024"} for c in ("c1", "P7", "P119999", "x")], test_change.amounts(20, 2))
+    plans, write = {}, VersionedTable.write
+    monkeypatch.setattr(VersionedTable, "write", lambda self, df, *a, **k: plans.update({self.path.rpartition("/")[2]: plan(df)}) or write(self, df, *a, **k))
+    lineage.run(warehouse)
+    plans["market"] = plan(lineage.market(warehouse, ["product", "value"])[0])
+    keys = next(s for s in lineage.STEPS if s.table == "KEY_PROD")
+    plans["KEY_PROD"] = plan(keys.rows({t: warehouse.read(layer, t) for t, layer in {**keys.reads, "KEY_PROD": "GOLD_STAR"}.items()}))
+    for table, key in {"DIM_PROD": "PDT_COD", "KEY_PROD": "PDT_COD", "FACT_MARKETSHARE_ALL": "number", "FACT_TABLE": "product_id", "FLAT_FACT": "product_id",
+                       "market": "product_id"}.items():
+        assert re.search(rf"SortMergeJoin \[{key}#", plans[table]) and not re.search(rf"BroadcastHashJoin \[{key}#", plans[table]), table
+    few = warehouse.read("GOLD_STAR", "KEY_CATEGORY")
+    assert lookup.without_large_broadcast(few) is few
+    flat = warehouse.read("GOLD_STAR", "FLAT_FACT").select("manufacturer", "metric", "value")
+    assert sorted(tuple(r) for r in flat.collect()) == sorted(
+        (m, k, v) for m, units in (("ACME", 3.0), ("ACME", 6.0), ("ACME", 6.0), ("NOT_ASSIGNED", 6.0))
+        for k, v in (("Valor €", 20.0), ("Volumen Kg", 3.0), ("Volumen L", 3.0), ("Unidades", units)))
+
+
 def test_a_stale_rollup_is_not_read(loaded):
     fact = loaded.read("GOLD_STAR", "FACT_TABLE")
     loaded.append(fact.limit(1), "GOLD_STAR", "FACT_TABLE", "period_id")
